@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("q_sources", "q_joins", "q_aggregates")
+MODULES = ("q_sources", "q_joins", "q_aggregates", "q_scalars", "q_jobs")
 
 
 def load_all() -> None:

@@ -184,7 +184,7 @@ pevents AS (
 runs AS (
   SELECT 'r' || o_orderkey AS run_id, 'm' || (o_custkey % 50) AS model_name, o_orderdate AS started_at,
     CASE WHEN o_orderstatus = 'F' THEN 'synthetic' ELSE 'ingested' END AS data_source,
-    o_totalprice / 100000 AS mape, CAST(o_custkey % 7 AS DOUBLE) AS naive, CAST(o_orderkey AS VARCHAR) AS version
+    sqrt(o_totalprice) / 100 AS mape, CAST(o_custkey % 7 AS DOUBLE) AS naive, CAST(o_orderkey AS VARCHAR) AS version
   FROM orders),
 aliases AS (
   SELECT 'm' || (o_custkey % 50) AS model_name, 'champion' AS alias, CAST(o_orderkey AS VARCHAR) AS version,
