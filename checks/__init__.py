@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("q_sources", "q_joins", "q_aggregates", "q_scalars", "q_jobs")
+MODULES = ("q_flagship", "q_sources", "q_joins", "q_aggregates", "q_scalars", "q_jobs", "q_models", "q_streams")
 
 
 def load_all() -> None:

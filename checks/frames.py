@@ -10,14 +10,30 @@ from loadloom.operators.resample import to_hourly
 from loadloom.operators.scores import to_long
 from loadloom.operators.stations import normalise_weights, weighted_mean
 from loadloom.plans.dataset import build_dataset
+from loadloom.session import through_table
 from loadloom.sources.canonical import read_table
 
 RUN = "run-test"
 MODELS = ["trees_weather", "day_ahead_reference", "naive_seasonal"]
 
 
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet", None)
+    return read_table(spark, f"{sf}/{name}.parquet", SCHEMAS[name])
+
+
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The canonical table as jobs find it: written once, then read."""
+    return through_table(canonical(spark, sf), "canonical")
 
 
 def events(spark, sf) -> DataFrame:

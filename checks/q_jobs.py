@@ -37,7 +37,7 @@ LEFT JOIN (SELECT * EXCLUDE (is_holiday) FROM merged) m ON m.series_id = a.serie
 @query("c3_merge_trailing_pull", C3, CANON)
 def _(spark, sf):
     """The hours of days 12 to 15 are in neither side and come back as null rows."""
-    c = fr.canonical(spark, sf)
+    c = fr.stored(spark, sf)
     d = F.dayofmonth("ts")
     old = c.filter(d < 12).withColumn("data_source_version", F.lit("run-old"))
     new = c.filter(d.between(10, 11) | (d > 15)).withColumns(
@@ -92,7 +92,7 @@ SELECT * FROM issues"""
 
 @query("c7_validation_report", C7)
 def _(spark, sf):
-    faulty = fr.canonical(spark, sf).filter(~((F.dayofmonth("ts") == 9) & F.hour("ts").between(3, 7))).withColumns(
+    faulty = fr.stored(spark, sf).filter(~((F.dayofmonth("ts") == 9) & F.hour("ts").between(3, 7))).withColumns(
         {"load_mw": F.when(F.hour("ts") != 4, F.col("load_mw") * 250), "tso_forecast_mw": F.col("tso_forecast_mw") * 250}
     )
     return quality.validate(faulty).select("series_id", "name", "severity", "n")
@@ -116,7 +116,7 @@ inf_full AS (SELECT a.series_id, a.ts, {CANON_COLS} FROM inf_axis a LEFT JOIN in
 
 def _serving(spark, sf):
     cut = F.lit("2024-01-25 12:00:00").cast("timestamp")
-    history = fr.canonical(spark, sf).filter(F.col("ts") <= cut)
+    history = fr.stored(spark, sf).filter(F.col("ts") <= cut)
     w = fr.weather(spark, sf).filter(F.col("ts") > cut - F.make_dt_interval(days=F.lit(2)))
     return history, w.withColumn("temp_c", F.col("temp_c") + 1)
 
@@ -317,7 +317,7 @@ SELECT series_id, ce AS checked_at,
 
 
 def _drift_checks(spark, sf):
-    c = fr.canonical(spark, sf)
+    c = fr.stored(spark, sf)
     log = c.filter("load_mw IS NOT NULL AND load_mw <> 0 AND tso_forecast_mw IS NOT NULL").select(
         F.xxhash64("series_id", "ts").alias("id"), "series_id", F.col("ts").alias("target_time"),
         F.col("ts").alias("predicted_at"), F.lit(24).alias("horizon_hours"), F.lit("1").alias("model_version"),

@@ -46,7 +46,7 @@ SELECT * FROM new UNION ALL SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM
 
 @query("j4_replace_rows", J4, "load_mw temp_c")
 def _(spark, sf):
-    c = fr.canonical(spark, sf)
+    c = fr.stored(spark, sf)
     old = c.filter(F.dayofmonth("ts") < 20).select("series_id", "ts", "load_mw", "temp_c")
     new = c.filter(F.dayofmonth("ts") > 15).select(
         "series_id", "ts", F.when(F.hour("ts") != 3, F.col("load_mw") + 1).alias("load_mw"),
@@ -80,7 +80,7 @@ WHERE n.naive_seasonal IS NOT NULL AND n.tso_forecast_mw IS NOT NULL"""
 
 @query("j8_references_on_scored_rows", J8, "actual naive_seasonal day_ahead_reference")
 def _(spark, sf):
-    c = fr.canonical(spark, sf)
+    c = fr.stored(spark, sf)
     base = features.make_features(c, 24).select("series_id", "ts", F.col("target").alias("actual"))
     return align.on_common_rows(base, [evaluation.references(c)])
 

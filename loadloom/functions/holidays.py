@@ -26,57 +26,39 @@ EASTER_OFFSETS = (0, 1, 49, 60)
 FIRST_YEAR, LAST_YEAR = 1990, 2100
 
 
+# Gregorian Easter by integer arithmetic: golden year, epact, then days to the Sunday.
+EASTER_SQL = """
+WITH years AS (
+  SELECT y, y % 19 AS golden, y div 100 AS c, y % 100 AS yy
+  FROM (SELECT cast(id AS int) AS y FROM range({first}, {last} + 1, 1, 1))),
+moon AS (
+  SELECT *, (19 * golden + c - c div 4 - (c - (c + 8) div 25 + 1) div 3 + 15) % 30 AS epact FROM years),
+week AS (
+  SELECT *, (32 + 2 * (c % 4) + 2 * (yy div 4) - epact - yy % 4) % 7 AS shift FROM moon),
+day AS (
+  SELECT y, epact + shift - 7 * ((golden + 11 * epact + 22 * shift) div 451) + 114 AS code FROM week)
+SELECT y AS year, make_date(y, cast(code div 31 AS int), cast(code % 31 + 1 AS int)) AS easter FROM day
+"""
+
+
 def easter_sundays(spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
-    """Gregorian Easter per year, integer arithmetic on a year range (Gauss/Butcher)."""
-    century = (
-        spark.range(first, last + 1, numPartitions=1)
-        .select(F.col("id").cast("int").alias("year"))
-        .selectExpr("year", "year % 19 AS golden", "year div 100 AS c", "year % 100 AS yy")
-    )
-    moon = century.selectExpr(
-        "year", "golden", "c", "yy",
-        "(19 * golden + c - c div 4 - (c - (c + 8) div 25 + 1) div 3 + 15) % 30 AS epact",
-    )
-    week = moon.selectExpr(
-        "year", "golden", "epact",
-        "(32 + 2 * (c % 4) + 2 * (yy div 4) - epact - yy % 4) % 7 AS shift",
-    )
-    day = week.selectExpr(
-        "year",
-        "epact + shift - 7 * ((golden + 11 * epact + 22 * shift) div 451) + 114 AS code",
-    )
-    return day.selectExpr(
-        "year",
-        "make_date(year, cast(code div 31 AS int), cast(code % 31 + 1 AS int)) AS easter",
-    )
+    return spark.sql(EASTER_SQL.format(first=int(first), last=int(last)))
 
 
 def holiday_dimension(
     spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_YEAR
 ) -> DataFrame:
     """One row per public holiday: at most 14 rows a year, so its size is fixed."""
-    easter = easter_sundays(spark, first, last)
-    movable = easter.select(
-        F.explode(F.array(*[F.date_add("easter", n) for n in EASTER_OFFSETS])).alias("holiday_date")
-    )
-    rules = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("m"),
-                F.lit(d).alias("d"),
-                F.lit(lo).alias("lo"),
-                F.lit(hi if hi is not None else 9999).alias("hi"),
-            )
-            for m, d, lo, hi in FIXED_DATE_HOLIDAYS
-        ]
-    )
-    fixed = (
-        easter.select("year", F.explode(rules).alias("r"))
-        .filter(F.col("year").between(F.col("r.lo"), F.col("r.hi")))
-        .select(F.make_date("year", "r.m", "r.d").alias("holiday_date"))
-    )
+    fixed = [
+        F.when(
+            F.col("year").between(since, until or 9999), F.make_date("year", F.lit(month), F.lit(day))
+        )
+        for month, day, since, until in FIXED_DATE_HOLIDAYS
+    ]
+    movable = [F.date_add("easter", n) for n in EASTER_OFFSETS]
     # 1 or 3 May may coincide with a movable feast, hence the distinct.
-    return fixed.union(movable).distinct()
+    every = F.array_distinct(F.array_compact(F.array(*fixed, *movable)))
+    return easter_sundays(spark, first, last).select(F.explode(every).alias("holiday_date"))
 
 
 def with_holiday_flag(

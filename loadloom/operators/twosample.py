@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import through_table
+
 # The method switches with the size of the reference sample; a p-value
 # below its threshold or a distance at or above its threshold means drift.
 LARGE_SAMPLE_ROWS = 1000
@@ -52,19 +54,30 @@ def _running_bounded(values: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
+def _with_bucket(df: DataFrame, v: str, edges: str, buckets: int) -> DataFrame:
+    """Add ``_b``, how many sorted edges lie below ``v``: a binary search, one step per
+    projection so that the steps stay compiled instead of nesting into each other."""
+    df, step = df.withColumn("_b", F.lit(0)), buckets // 2
+    while step:
+        hit = F.col(v) > F.get(edges, F.col("_b") + (step - 1))
+        df = df.withColumn("_b", F.col("_b") + step * hit.cast("int"))
+        step //= 2
+    return df.drop(edges)
+
+
 def _running_bucketed(values: DataFrame, group: Sequence[str], buckets: int) -> DataFrame:
     """The same running counts for samples of any size.
 
     Values are spread over quantile buckets (the sketch decides balance only, not the
     result); each bucket is ordered on its own and offset by the totals before it.
     """
+    if buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
     probs = [i / buckets for i in range(1, buckets)]
     edges = values.groupBy(*group).agg(
         F.percentile_approx("v", probs, 1000).alias("_edges")
     )
-    placed = values.join(edges, list(group)).withColumn(
-        "_b", F.size(F.filter("_edges", lambda e: e < F.col("v")))
-    ).drop("_edges")
+    placed = _with_bucket(values.join(edges, list(group)), "v", "_edges", buckets)
     before = Window.partitionBy(*group).orderBy("_b")
     past = before.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
@@ -86,7 +99,7 @@ def _running_bucketed(values: DataFrame, group: Sequence[str], buckets: int) ->
         placed.withColumn("_cc", F.sum("c").over(upto))
         .withColumn("_rr", F.sum("r").over(upto))
         .withColumn("_lead", F.lead("v").over(inside))
-        .join(totals, [*group, "_b"])
+        .join(totals, [*group, "_b"], "left")  # totals has every bucket; it is the small side
         .select(
             *group, "v", F.coalesce("_lead", "_next_lo").alias("v_next"),
             (F.col("_c0") + F.col("_cc")).alias("cc"),
@@ -103,14 +116,16 @@ def two_sample(
 
     ``samples`` is long: group columns, ``value`` and boolean ``is_current``. Both
     statistics are exact. ``buckets=None`` is for samples whose size is bounded by their
-    windows (hours of one series); otherwise no task sees a whole group.
+    windows (hours of one series); otherwise no task sees a whole group, and one job
+    stores the distinct values.
     """
     values = _distinct_values(samples, group, value)
-    running = (
-        _running_bounded(values, group)
-        if buckets is None
-        else _running_bucketed(values, group, buckets)
-    )
+    if buckets is None:
+        running = _running_bounded(values, group)
+    else:
+        # Read five times below: written once instead of recomputing the samples.
+        values = through_table(values, "two-sample")
+        running = _running_bucketed(values, group, buckets)
     gap = F.abs(F.try_divide("cc", "n_c") - F.try_divide("rr", "n_r"))
     step = F.coalesce(F.col("v_next") - F.col("v"), F.lit(0.0))
     v = F.col("v")

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.errors import ape
 from ..functions.scalars import finite
+from ..operators.history import seasonal_naive
 from ..operators.latest import latest_per_key
+from ..operators.splits import chronological_split
+from ..session import through_table
+from . import models
+from .features import feature_names, make_features
 
 # Cadence, retention and the tolerated relative regression.
 CADENCE_DAYS, KEEP_RUNS_DAYS, MAX_REGRESSION = 7, 120, 1.02
@@ -172,3 +179,74 @@ def model_card(
         *key, "version", "run_id", F.col("at").alias("promoted_at"),
         *[c for c in runs.columns if c not in ("run_id", *key)],
     )
+
+
+# Outcomes of a retrain job.
+SKIPPED, PROMOTED, NOT_PROMOTED, INSUFFICIENT_DATA = (
+    "skipped", "promoted", "trained_not_promoted", "insufficient_data",
+)
+
+
+@dataclass(frozen=True)
+class RetrainOutcome:
+    """What a retrain did, with the rows to append to the events, gate and alias tables."""
+
+    status: str
+    reason: str
+    events: DataFrame | None = None
+    decisions: DataFrame | None = None
+    moves: DataFrame | None = None
+    prune: DataFrame | None = None
+    champion: object | None = None
+
+
+def retrain(
+    dataset: DataFrame, events: DataFrame, aliases: DataFrame, runs: DataFrame, owner: str, model_name: str,
+    now, horizon: int = 24, validation_days: int = 60, params: dict | None = None, force: bool = False,
+    cadence_days: float = CADENCE_DAYS, keep_days: int = KEEP_RUNS_DAYS, data_source: str = "ingested",
+) -> RetrainOutcome:
+    """Due, then fit, gate, clear flag, mark success, list prunable runs. Runs jobs.
+
+    ``owner`` names the deployment in ``events.series_id``. Too little history is a
+    reported outcome that leaves flag and marker alone, so the question is asked again.
+    """
+    spark = dataset.sparkSession
+    mine = events.filter(F.col("series_id") == owner)
+    known = spark.createDataFrame([(owner,)], "series_id string")
+    done = last_success(mine.filter("pipeline = 'retrain_if_needed'"), now, ["series_id"])
+    asked = retrain_due(known, retrain_flag(mine), done, now, cadence_days, force=force).first()
+    if not asked["due"]:
+        return RetrainOutcome(SKIPPED, asked["due_reason"])
+
+    names = feature_names(horizon)
+    rows = through_table(
+        chronological_split(make_features(dataset, horizon), validation_days, horizon), "retrain"
+    )
+    train, later = rows.filter("block = 'train'"), rows.filter("block = 'validation'")
+    if train.isEmpty() or later.isEmpty():
+        return RetrainOutcome(INSUFFICIENT_DATA, f"{asked['due_reason']}; but a split has no rows")
+
+    fitted = models.fit_trees(train, later, names, params=params, horizon=horizon, name=model_name)
+    naive = seasonal_naive(dataset.select("series_id", "ts", "load_mw")).select("series_id", "ts", "naive_seasonal")
+    scored = fitted.predict(later).join(naive, ["series_id", "ts"], "left")
+    candidate = scored.agg(
+        (F.avg(ape("target", "prediction")) * 100).alias("candidate"),
+        (F.avg(ape("target", "naive_seasonal")) * 100).alias("naive"),
+    ).select(F.lit(model_name).alias("model_name"), F.lit("candidate").alias("version"), F.lit("candidate").alias("run_id"), "*")
+    champion = champion_metric(aliases.filter(F.col("model_name") == model_name), runs, "mape", data_source)
+    decided = promotion_decision(
+        candidate.join(champion.select("model_name", "champion"), "model_name", "left")
+    )
+    decided = through_table(decided, "gate")  # one row; fitted predictions are not repeated
+    decisions, moves = apply_gate(decided, now)
+    marks = known.select(
+        "series_id", F.explode(F.array(
+            F.struct(F.lit("retrain").alias("pipeline"), F.lit("clear").alias("event")),
+            F.struct(F.lit("retrain_if_needed").alias("pipeline"), F.lit("success").alias("event")),
+        )).alias("_m"), _instant(now).alias("at"),
+    ).select("series_id", "_m.*", "at", F.lit(None).cast("string").alias("reason"))
+    promoted = not moves.isEmpty()
+    return RetrainOutcome(
+        PROMOTED if promoted else NOT_PROMOTED, asked["due_reason"], marks, decisions, moves,
+        prunable_runs(runs, aliases, now, keep_days), fitted,
+    )

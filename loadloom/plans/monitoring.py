@@ -21,6 +21,7 @@ from ..operators.reference_window import (
     tag_windows,
 )
 from ..operators.twosample import drift_share, drift_verdict, two_sample
+from ..session import through_table
 from ..sources import tables
 from .features import feature_names, make_features
 from .predictions import MAPE_THRESHOLD, MIN_SCORED, performance
@@ -38,9 +39,13 @@ def input_drift(
     """Reference choice per series, and one verdict per (series, feature).
 
     The samples of a series are bounded by its windows (hours), so the ordered part runs
-    per (series, feature) without buckets.
+    per (series, feature) without buckets. Runs one job.
     """
-    tagged = tag_windows(inputs, windows, years, pad_days, current_days, keys, ts)
+    # The windows' rows, a small part of the history, feed several aggregations: written
+    # once so that the feature build behind them runs once.
+    tagged = through_table(
+        tag_windows(inputs, windows, years, pad_days, current_days, keys, ts), "drift-windows"
+    )
     chosen = choose_reference(
         tagged, strategy, years, pad_days, min_rows, fallback_to_trailing, current_days, keys, ts
     )
@@ -104,7 +109,7 @@ def check_drift(
     """One row per series: status, reasons and the numbers behind them.
 
     ``now`` defaults to each series' newest stored hour. ``scored`` are standing scored
-    predictions, ``log`` the prediction log.
+    predictions, ``log`` the prediction log. Runs one job (the window rows).
     """
     keys = list(keys)
     windows = current_windows(dataset, current_days, now, keys, ts)

@@ -21,7 +21,7 @@ from ..sources import tables
 LATENESS = "14 days"
 
 
-def read_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, folder: str, schema: T.StructType | str, glob: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files arriving in a folder."""
     reader = spark.readStream.schema(schema)
     if glob:
