@@ -105,8 +105,8 @@ hourly AS (SELECT series_id, date_trunc('hour', ts) AS ts, avg(value) AS load_mw
 spine AS (SELECT series_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM hourly GROUP BY series_id),
 hourly_full AS (SELECT s.series_id, s.ts, h.load_mw FROM spine s LEFT JOIN hourly h ON h.series_id = s.series_id AND h.ts = s.ts),
 reference AS (
-  SELECT event_type AS series_id, date_trunc('hour', ts) AS ts, avg(value) AS tso_forecast_mw
-  FROM events WHERE user_id % 3 <> 0 GROUP BY ALL),
+  SELECT event_type AS series_id, date_trunc('hour', ts) AS ts,
+    CASE WHEN count(*) > 1 THEN avg(value) END AS tso_forecast_mw FROM events GROUP BY ALL),
 load_frame AS (
   SELECT coalesce(l.series_id, r.series_id) AS series_id, coalesce(l.ts, r.ts) AS ts, load_mw, tso_forecast_mw
   FROM hourly l FULL JOIN reference r ON l.series_id = r.series_id AND l.ts = r.ts),
@@ -182,14 +182,14 @@ pevents AS (
     CASE event_type WHEN 'error' THEN 'raise' WHEN 'purchase' THEN 'clear' ELSE 'success' END AS event,
     ts AS "at", 'reason ' || event_id AS reason FROM events),
 runs AS (
-  SELECT 'r' || o_orderkey AS run_id, 'm' || (o_custkey % 50) AS model_name, o_orderdate AS started_at,
+  SELECT 'r' || o_orderkey AS run_id, 'm' || o_custkey AS model_name, o_orderdate AS started_at,
     CASE WHEN o_orderstatus = 'F' THEN 'synthetic' ELSE 'ingested' END AS data_source,
     sqrt(o_totalprice) / 100 AS mape, CAST(o_custkey % 7 AS DOUBLE) AS naive, CAST(o_orderkey AS VARCHAR) AS version
   FROM orders),
 aliases AS (
-  SELECT 'm' || (o_custkey % 50) AS model_name, 'champion' AS alias, CAST(o_orderkey AS VARCHAR) AS version,
+  SELECT 'm' || o_custkey AS model_name, 'champion' AS alias, CAST(o_orderkey AS VARCHAR) AS version,
     'r' || o_orderkey AS run_id, o_orderdate + to_hours(o_orderkey % 24) AS "at"
-  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 50 <> 7),
+  FROM orders WHERE o_orderpriority = '1-URGENT'),
 champions AS (
   SELECT * FROM aliases QUALIFY row_number() OVER (PARTITION BY model_name, alias ORDER BY "at" DESC, version DESC) = 1),
 feats AS ({feature_cte('canon')})

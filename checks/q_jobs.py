@@ -64,7 +64,7 @@ def _(spark, sf):
 
 @query("c5_rebuild_decision", """, k AS (SELECT DISTINCT 's' || (o_custkey % 9) AS series_id FROM orders),
 e AS (SELECT series_id, count(*) AS hours, min(ts) AS first_ts FROM hist WHERE series_id <> 's1' OR ts > TIMESTAMP '2001-10-01' GROUP BY 1)
-SELECT k.series_id, coalesce(hours, 0) AS hours, 1656 AS needed,
+SELECT k.series_id, coalesce(hours, 0) AS hours, 1656::BIGINT AS needed,
   CASE WHEN hours IS NULL THEN 'no dataset' WHEN hours < 1656 AND first_ts > TIMESTAMP '1995-01-01' + INTERVAL 1 DAY THEN 'too short and starts late' ELSE 'none' END AS rebuild_reason
 FROM k LEFT JOIN e USING (series_id)""")
 def _(spark, sf):
@@ -73,10 +73,10 @@ def _(spark, sf):
     return dataset.rebuild_decision(known, stored, "1995-01-01", 60, 24, 168)
 
 
-@query("c6_archive_then_forecast", ", a AS (SELECT series_id, ts, temp_c, wind_ms FROM weather WHERE ts <= TIMESTAMP '2024-01-20'), f AS (SELECT series_id, ts, temp_c + 1 AS temp_c, wind_ms + 1 AS wind_ms FROM weather WHERE hour(ts) % 2 = 0) SELECT coalesce(a.series_id, f.series_id) AS series_id, coalesce(a.ts, f.ts) AS ts, coalesce(a.temp_c, f.temp_c) AS temp_c, coalesce(a.wind_ms, f.wind_ms) AS wind_ms FROM a FULL JOIN f ON a.series_id = f.series_id AND a.ts = f.ts", "temp_c wind_ms")
+@query("c6_archive_then_forecast", ", a AS (SELECT series_id, ts, temp_c, wind_ms FROM weather WHERE ts <= TIMESTAMP '2024-01-20'), f AS (SELECT series_id, ts, temp_c + 1 AS temp_c, wind_ms + 1 AS wind_ms FROM weather) SELECT coalesce(a.series_id, f.series_id) AS series_id, coalesce(a.ts, f.ts) AS ts, coalesce(a.temp_c, f.temp_c) AS temp_c, coalesce(a.wind_ms, f.wind_ms) AS wind_ms FROM a FULL JOIN f ON a.series_id = f.series_id AND a.ts = f.ts", "temp_c wind_ms")
 def _(spark, sf):
     w = fr.weather(spark, sf).select("series_id", "ts", "temp_c", "wind_ms")
-    forecast = w.filter(F.hour("ts") % 2 == 0).withColumns({"temp_c": F.col("temp_c") + 1, "wind_ms": F.col("wind_ms") + 1})
+    forecast = w.withColumns({"temp_c": F.col("temp_c") + 1, "wind_ms": F.col("wind_ms") + 1})
     return dataset.archive_then_forecast(w, forecast, "2024-01-20")
 
 
@@ -165,7 +165,7 @@ def _(spark, sf):
     return splits.chronological_split(fr.history(spark, sf).select("series_id", "ts"), 60, 24)
 
 
-@query("c15_rolling_origins", SPLITS + "SELECT *, 24 AS horizon FROM splits")
+@query("c15_rolling_origins", SPLITS + "SELECT *, 24::BIGINT AS horizon FROM splits")
 def _(spark, sf):
     return splits.rolling_origins(fr.history(spark, sf), 24, 730, 42, 28, max_splits=26)
 
@@ -280,7 +280,7 @@ P_VALUE = """CASE WHEN lam < 0.04 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * lis
 VERDICT = f""", judged AS (SELECT *, n_reference > 1000 AS large, ks * ks * (n_current * n_reference / (n_current + n_reference)) AS lam FROM stats),
 verdicts AS (SELECT * EXCLUDE (large, lam), CASE WHEN large THEN 'wasserstein_normed' ELSE 'ks_p_value' END AS method,
   CASE WHEN large THEN wasserstein / greatest(reference_std, 0.001) ELSE {P_VALUE} END AS score,
-  CASE WHEN large THEN 0.1 ELSE 0.05 END AS threshold FROM judged)
+  CASE WHEN large THEN 0.1::DOUBLE ELSE 0.05::DOUBLE END AS threshold FROM judged)
 """
 SMALL = """SELECT series_id || ':' || station AS feature, temp_c AS value, day(ts) > 20 AS is_current FROM stations
   UNION ALL SELECT series_id || ':cloud', cloud_cover, day(ts) > 20 FROM stations"""
@@ -310,7 +310,7 @@ sp AS (SELECT s.series_id, count(*) AS scored_predictions, avg(abs(c.tso_forecas
 j AS (SELECT z.*, sh.*, coalesce(sp.scored_predictions, 0) AS sc, sp.m, z.current_rows < 24 OR z.reference_rows < 24 AS thin FROM sizes z LEFT JOIN (SELECT series_id AS sid, * EXCLUDE (series_id) FROM share) sh ON sh.sid = z.series_id LEFT JOIN sp USING (series_id))
 SELECT series_id, ce AS checked_at,
   CASE WHEN thin THEN 'insufficient_data' WHEN drift_share >= 0.3 OR (sc >= 100 AND m > 4.0) THEN 'drift' ELSE 'ok' END AS status,
-  CASE WHEN NOT thin THEN drift_share END AS drift_share, CASE WHEN thin THEN 0 ELSE drifted_features END AS drifted_features, 11 AS monitored_features,
+  CASE WHEN NOT thin THEN drift_share END AS drift_share, CASE WHEN thin THEN 0 ELSE drifted_features END AS drifted_features, 11::BIGINT AS monitored_features,
   CASE WHEN thin THEN '' ELSE drifted_names END AS drifted_names,
   CASE WHEN NOT thin AND sc >= 100 THEN m END AS rolling_mape, CASE WHEN thin THEN 0 ELSE sc END AS scored_predictions,
   CASE WHEN current_rows >= 24 THEN reference_rows ELSE 0 END AS reference_rows, current_rows FROM j"""

@@ -82,7 +82,7 @@ def _(spark, sf):
 
 @query(
     "s4_vintage_columns",
-    "SELECT series_id, ts, station, 1 AS lead_days, temp_c - 1 AS temp_c, wind_ms AS wind_ms FROM stations "
+    "SELECT series_id, ts, station, 1::BIGINT AS lead_days, temp_c - 1 AS temp_c, wind_ms AS wind_ms FROM stations "
     "UNION ALL SELECT series_id, ts, station, 2, temp_c - 2, wind_ms * 2 FROM stations",
     "temp_c wind_ms",
 )
