@@ -286,6 +286,17 @@ def _(spark, sf):
     return islands.hour_runs(fr.hourly(spark, sf), size=7)
 
 
+@query("w6_axis_breaks", """, d AS (SELECT series_id, date_trunc('hour', ts) AS ts FROM slots),
+o AS (SELECT series_id, ts, lag(ts) OVER (PARTITION BY series_id ORDER BY ts) AS p FROM d)
+SELECT series_id, CASE WHEN p = ts THEN 'duplicate' ELSE 'gap' END AS kind, CASE WHEN p = ts THEN ts ELSE p + INTERVAL 1 HOUR END AS first_ts,
+  CASE WHEN p = ts THEN ts ELSE ts - INTERVAL 1 HOUR END AS last_ts, CASE WHEN p = ts THEN 1 ELSE CAST((epoch(ts) - epoch(p)) / 3600 AS BIGINT) - 1 END AS hours
+FROM o WHERE p = ts OR epoch(ts) - epoch(p) > 3600""")
+def _(spark, sf):
+    """Gaps and surplus rows of an axis in one pass, with blocks far smaller than a series."""
+    rows = latest_revision(fr.readings(spark, sf)).select("series_id", F.date_trunc("hour", "ts").alias("ts"))
+    return spine.continuity(rows, size=11)
+
+
 @query("w7_last_revision", "SELECT series_id, ts, value FROM slots", "value")
 def _(spark, sf):
     return latest_revision(fr.readings(spark, sf))

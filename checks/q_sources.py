@@ -32,7 +32,7 @@ def _(spark, sf):
 @query("s2_write_canonical", "SELECT series_id, ts, load_mw, temp_c, is_holiday, data_source_version FROM canon", "load_mw temp_c")
 def _(spark, sf):
     path = canonical.write_table(fr.canonical(spark, sf), shared_dir(spark, "canonical"))
-    return canonical.read_table(spark, path).select("series_id", "ts", "load_mw", "temp_c", "is_holiday", "data_source_version")
+    return canonical.read_periods(spark, path).select("series_id", "ts", "load_mw", "temp_c", "is_holiday", "data_source_version")
 
 
 VARIABLES = tuple(payload.HOUSE_COLUMNS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import KEYS, TS
 from .islands import hour_runs
 from .latest import first_n_per_key
-from .spine import duplicate_counts, missing_hours
+from .spine import continuity
 
 # Plausible ranges, examples shown per issue, issue names.
 LOAD_MW_RANGE = (10000.0, 30000.0)
@@ -87,18 +87,18 @@ def first_examples(shown: DataFrame, group: Sequence[str], order: Sequence[str])
     )
 
 
-def _run_issue(rows: DataFrame, name: str, severity: str, keys, ts) -> DataFrame:
-    """One issue per key from a set of hours: their count, and runs as examples."""
-    runs = hour_runs(rows, keys, ts).withColumn(
+def _run_issue(runs: DataFrame, name: str, severity: str, keys) -> DataFrame:
+    """One issue per key from runs of hours: hours in total, and runs as examples."""
+    shown = runs.withColumn(
         "example",
         F.concat(
             F.date_format("first_ts", "yyyy-MM-dd HH:mm"), F.lit(" -> "),
             F.date_format("last_ts", "yyyy-MM-dd HH:mm"), F.lit("  ("), "hours", F.lit(" h)"),
         ),
     )
-    counts = runs.groupBy(*keys).agg(F.sum("hours").alias("n"), F.count(F.lit(1)).alias("groups"))
+    counts = shown.groupBy(*keys).agg(F.sum("hours").alias("n"), F.count(F.lit(1)).alias("groups"))
     return (
-        counts.join(first_examples(runs, keys, ["first_ts"]), list(keys), "left")
+        counts.join(first_examples(shown, keys, ["first_ts"]), list(keys), "left")
         .select(*keys, F.lit(name).alias("name"), F.lit(severity).alias("severity"), "n", "groups", "examples")
     )
 
@@ -107,8 +107,8 @@ def cross_column_issues(df: DataFrame, keys=KEYS, ts: str = TS) -> DataFrame:
     """Load without a reference forecast is an error; load missing is a warning."""
     no_reference = df.filter("load_mw IS NOT NULL AND tso_forecast_mw IS NULL")
     no_load = df.filter("load_mw IS NULL")
-    return _run_issue(no_reference, NO_REFERENCE, "error", keys, ts).unionByName(
-        _run_issue(no_load, NO_LOAD, "warning", keys, ts)
+    return _run_issue(hour_runs(no_reference, keys, ts), NO_REFERENCE, "error", keys).unionByName(
+        _run_issue(hour_runs(no_load, keys, ts), NO_LOAD, "warning", keys)
     )
 
 
@@ -119,16 +119,14 @@ def validate(df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, ts: str =
     "and n more".
     """
     keys = list(keys)
-    dup_rows = df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    breaks = continuity(df, keys, ts)
+    surplus = breaks.filter("kind = 'duplicate'").withColumn("example", F.date_format("first_ts", "yyyy-MM-dd HH:mm"))
     dups = (
-        duplicate_counts(df, keys, ts).filter("duplicates > 0")
-        .join(
-            first_examples(dup_rows.withColumn("example", F.date_format(ts, "yyyy-MM-dd HH:mm")), keys, [ts]),
-            keys, "left",
-        )
+        surplus.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        .join(first_examples(surplus, keys, ["first_ts"]), keys, "left")
         .select(
             *keys, F.lit(DUPLICATES).alias("name"), F.lit("error").alias("severity"),
-            F.col("duplicates").alias("n"), F.col("duplicates").alias("groups"), "examples",
+            "n", F.col("n").alias("groups"), "examples",
         )
     )
     schema = violation_counts(df, ranges, required, keys, ts).select(
@@ -136,7 +134,7 @@ def validate(df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, ts: str =
         F.concat(F.lit("schema: "), "column", F.lit(" failed "), "check_name").alias("name"),
         F.lit("error").alias("severity"), "n", F.col("n").alias("groups"), "examples",
     )
-    missing = _run_issue(missing_hours(df, keys, ts), MISSING, "error", keys, ts)
+    missing = _run_issue(breaks.filter("kind = 'gap'"), MISSING, "error", keys)
     return dups.unionByName(missing).unionByName(schema).unionByName(cross_column_issues(df, keys, ts))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import DEFAULT_TZ, KEYS, TS
@@ -35,9 +35,9 @@ def point_metrics(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
 def overall(df: DataFrame, reference: str = REFERENCE, by: Sequence[str] = ()) -> DataFrame:
     """Metrics per model and the gap to the reference model of the same group."""
     table = point_metrics(df, [*by, "model"])
-    ref = table.filter(F.col("model") == reference).select(*by, F.col("mape").alias("_ref"))
-    joined = table.join(ref, list(by), "left") if by else table.join(ref, how="left")
-    return joined.withColumn("mape_vs_reference", F.col("mape") - F.col("_ref")).drop("_ref")
+    # A group holds one row per model here, so the gap needs no second pass and no join.
+    own = F.max(F.when(F.col("model") == reference, F.col("mape"))).over(Window.partitionBy(*by))
+    return table.withColumn("mape_vs_reference", F.col("mape") - own)
 
 
 def present_in_order(table: DataFrame, order: Sequence[str] = TABLE_ORDER, model: str = "model") -> DataFrame:
@@ -126,8 +126,6 @@ def coverage_days(df: DataFrame, by: Sequence[str] = KEYS, ts: str = TS) -> Data
 
 def ranked(table: DataFrame, by: Sequence[str] = (), metric: str = "mape") -> DataFrame:
     """Rank models by a metric inside each small metrics table."""
-    from pyspark.sql import Window
-
     return table.withColumn("rank", F.rank().over(Window.partitionBy(*by).orderBy(metric)))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import KEYS, TS
@@ -61,3 +61,33 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) ->
         .groupBy(*keys)
         .agg(F.sum(F.col("n") - 1).alias("duplicates"))
     )
+
+
+def continuity(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS, size: int = BLOCK_HOURS) -> DataFrame:
+    """Breaks of the hourly axis in one pass: ``kind`` is ``gap`` or ``duplicate``.
+
+    A gap row is a whole run of missing hours, a duplicate row one surplus row. Rows are
+    compared with their predecessor inside a time block; only the first row of a block
+    looks at the end of the block before it. No spine is built and nothing is joined to it.
+    """
+    keys = list(keys)
+    rows = df.select(*keys, hour_number(ts).alias("_h")).withColumn("_b", block_of("_h", size))
+    ends = rows.groupBy(*keys, "_b").agg(F.min("_h").alias("_h"), F.max("_h").alias("_end"))
+    between = ends.select(
+        *keys, "_h", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_b")).alias("_prev")
+    )
+    inside = rows.select(
+        *keys, "_h", F.lag("_h").over(Window.partitionBy(*keys, "_b").orderBy("_h")).alias("_prev")
+    )
+    step = F.col("_h") - F.col("_prev")
+    return (
+        inside.unionByName(between)
+        .filter((step == 0) | (step > 1))
+        .select(
+            *keys,
+            F.when(step == 0, "duplicate").otherwise("gap").alias("kind"),
+            hour_start(F.when(step == 0, F.col("_h")).otherwise(F.col("_prev") + 1)).alias("first_ts"),
+            hour_start(F.when(step == 0, F.col("_h")).otherwise(F.col("_h") - 1)).alias("last_ts"),
+            F.when(step == 0, 1).otherwise(step - 1).cast("long").alias("hours"),
+        )
+    )

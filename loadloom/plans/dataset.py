@@ -15,6 +15,7 @@ from ..operators.align import outer_align, overlay_cells, replace_rows
 from ..operators.quality import validate
 from ..operators.spine import hours_between
 from ..operators.splits import minimum_training_hours
+from ..session import through_table
 from ..sources import canonical, tables
 
 # Re-pull and weather-archive settings.
@@ -121,25 +122,36 @@ def rebuild_decision(
     )
 
 
+def _first_touched_period(stored: DataFrame, incoming: DataFrame, pattern: str) -> str | None:
+    """Earliest folder a merge can change: where a pulled series' new rows, or the hole
+    between its stored end and them, begin. One scalar for the driver."""
+    ends = stored.groupBy(*KEYS).agg(F.max(TS).alias("_end"))
+    starts = incoming.groupBy(*KEYS).agg(F.min(TS).alias("_start"))
+    first = starts.join(ends, list(KEYS), "left").select(F.least("_start", "_end").alias("_from"))
+    return first.agg(F.date_format(F.min("_from"), pattern).alias("p")).first()["p"]
+
+
 def ingest(
     spark, path: str, load: DataFrame, weather: DataFrame, run_id: str | None = None,
-    events_path: str | None = None, at=None, tz: str = DEFAULT_TZ,
+    events_path: str | None = None, at=None, tz: str = DEFAULT_TZ, grain: str = "month",
 ) -> DataFrame:
     """Merge one pull into the stored table, write, then record the success. Runs jobs.
 
-    The same pull twice gives the same table. The table is written as a new version, and
-    also when it has issues, so the returned issue table describes what was stored; the
-    success marker is appended only after the write.
+    The same pull twice gives the same table. Only the folders the pull can change are
+    read, merged and replaced; the merged rows are stored aside first, so the table is
+    never read and overwritten in one plan. Data is written also when it has issues: the
+    returned issue table describes the rewritten folders. The success marker comes last.
     """
-    incoming = build_dataset(load, weather, run_id, tz)
-    version = tables.latest_version(spark, path)
-    if version:
-        stored = tables.read_version(spark, path, canonical.SCHEMA)
-        merged = merge_datasets(stored, incoming, tz)
+    incoming = through_table(build_dataset(load, weather, run_id, tz), "incoming")
+    if canonical.path_exists(spark, path):
+        pattern = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[grain]
+        stored = canonical.read_periods(spark, path)
+        first = _first_touched_period(stored, incoming, pattern)
+        touched = canonical.read_periods(spark, path, first)
+        merged = through_table(merge_datasets(touched, incoming, tz), "merged")
     else:
         merged = incoming
-    spread = merged.repartition(*[F.col(k) for k in KEYS], F.trunc(TS, "month"))
-    tables.write_version(spread.sortWithinPartitions(*KEYS, TS), path, version + 1)
+    canonical.write_table(merged, path, grain=grain)
     if events_path is not None:
         marker = spark.range(1).select(
             F.lit("ingest").alias("pipeline"),
@@ -147,4 +159,4 @@ def ingest(
             (F.current_timestamp() if at is None else F.lit(at).cast("timestamp")).alias("at"),
         )
         tables.append(marker, events_path, tables.EVENTS)
-    return validate(tables.read_version(spark, path, canonical.SCHEMA))
+    return validate(merged)

@@ -79,25 +79,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def write_table(df: DataFrame, path: str, keys: Sequence[str] = KEYS, ts: str = TS, mode: str = "overwrite") -> str:
-    """Write partitioned by year, clustered by key inside, so both prune.
+def write_table(
+    df: DataFrame, path: str, keys: Sequence[str] = KEYS, ts: str = TS, grain: str = "month"
+) -> str:
+    """Write in folders of one month (or day); only folders present in ``df`` are replaced.
 
     Partitioning by series would make one folder per series; sorting inside the files
-    gives row-group pruning on the key for any number of series. The rows of one year and
-    series are spread by month, so one long series is not one writer task.
+    gives row-group pruning on the key for any number of series. Rows of a folder are
+    spread by series and day, so neither a long series nor a month is one writer task.
     """
-    spread = df.withColumn("year", F.year(ts))
+    pattern = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[grain]
+    spread = df.withColumn("period", F.date_format(ts, pattern))
     (
-        spread.repartition(F.col("year"), *[F.col(k) for k in keys], F.month(ts))
-        .sortWithinPartitions("year", *keys, ts)
-        .write.mode(mode)
+        spread.repartition(F.col("period"), *[F.col(k) for k in keys], F.to_date(ts))
+        .sortWithinPartitions("period", *keys, ts)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year")
+        .partitionBy("period")
         .parquet(path)
     )
     return path
 
 
+def read_periods(spark: SparkSession, path: str, first: str | None = None, schema: T.StructType = SCHEMA) -> DataFrame:
+    """Read a table of ``write_table``; ``first`` skips the folders before that period."""
+    with_period = T.StructType([*schema, T.StructField("period", T.StringType())])
+    df = read_table(spark, path, with_period)
+    return (df.filter(F.col("period") >= first) if first is not None else df).drop("period")
+
+
 def value_column(df: DataFrame, preferred: str, out: str, other: Sequence[str] = (*KEYS, TS)) -> DataFrame:
     """The preferred value column when present, else the first that is not a key."""
     candidates = [c for c in df.columns if c not in other]
