@@ -11,6 +11,8 @@ from loadloom.session import shared_dir, through_table
 from loadloom.sources import tables
 
 from . import frames as fr
+from .base_sql import lead
+from .q_joins import SPLITS
 from .registry import query
 
 SCHEDULE = {"initial_train_days": 12, "test_days": 4, "step_days": 4}
@@ -44,6 +46,41 @@ def _(spark, sf):
     return models.apply_linear(later.join(fitted, "series_id"), LINEAR).select("series_id", "ts", "target", "prediction")
 
 
+ONE = """, ok AS (SELECT series_id, ts, load_mw AS target, tso_forecast_mw FROM hist WHERE load_mw IS NOT NULL AND tso_forecast_mw IS NOT NULL),
+fit AS (SELECT series_id, regr_slope(target, tso_forecast_mw) AS b, regr_intercept(target, tso_forecast_mw) AS a FROM ok GROUP BY 1)
+SELECT ok.series_id, ts, (a + b * tso_forecast_mw) / 1000 AS prediction_gw FROM ok JOIN fit USING (series_id)"""
+
+
+def _pairs(spark, sf):
+    h = fr.history(spark, sf).select("series_id", "ts", F.col("load_mw").alias("target"), "tso_forecast_mw")
+    return h.dropna("any")
+
+
+@query("m1_linear_one_feature", ONE, "prediction_gw")
+def _(spark, sf):
+    """Grouped least squares against the closed form, on the whole history."""
+    rows = _pairs(spark, sf)
+    fitted = models.fit_linear_groups(rows, ["tso_forecast_mw"])
+    predicted = models.apply_linear(rows.join(fitted, "series_id"), ["tso_forecast_mw"])
+    return predicted.select("series_id", "ts", (F.col("prediction") / 1000).alias("prediction_gw"))
+
+
+EXPANDING = SPLITS + """, ok AS (SELECT series_id, ts, load_mw AS target, tso_forecast_mw FROM hist WHERE load_mw IS NOT NULL AND tso_forecast_mw IS NOT NULL),
+fit AS (SELECT s.series_id, s.origin_no, test_start, test_end, regr_slope(target, tso_forecast_mw) AS b, regr_intercept(target, tso_forecast_mw) AS a
+  FROM splits s JOIN ok ON ok.series_id = s.series_id AND ok.ts <= s.train_end GROUP BY ALL)
+SELECT ok.series_id, ok.ts, arg_max(a + b * tso_forecast_mw, origin_no) / 1000 AS prediction_gw, max(origin_no) AS origin_no
+FROM ok JOIN fit ON fit.series_id = ok.series_id AND ok.ts BETWEEN test_start AND test_end GROUP BY ALL"""
+
+
+@query("m1_w8_linear_refitted_per_origin", EXPANDING, "prediction_gw")
+def _(spark, sf):
+    """Every origin of every series refitted in one pass; overlapping blocks, last one wins."""
+    h = fr.history(spark, sf)
+    table = through_table(splits.rolling_origins(h, 24, 730, 42, 28, max_splits=26), "splits")
+    served = evaluation.linear_by_origin(_pairs(spark, sf), table, ["tso_forecast_mw"])
+    return served.select("series_id", "ts", "origin_no", (F.col("y_pred") / 1000).alias("prediction_gw"))
+
+
 @query("m2_boosted_trees")
 def _(spark, sf):
     train, later = _train_later(spark, sf)
@@ -141,6 +178,25 @@ def _(spark, sf):
     return evaluation.run_gate_closure_backtest(fr.stored(spark, sf), **SCHEDULE)
 
 
+OWN = f""", own AS (SELECT series_id, ts, load_mw, {lead('ts')} AS h FROM canon WHERE load_mw IS NOT NULL AND temp_c IS NOT NULL AND wind_ms IS NOT NULL AND cloud_cover IS NOT NULL),
+roll AS (SELECT series_id, ts, CASE WHEN count(load_mw) OVER w = 24 THEN avg(load_mw) OVER w END AS m, CASE WHEN count(load_mw) OVER w = 24 THEN stddev_samp(load_mw) OVER w END AS s
+  FROM canon WINDOW w AS (PARTITION BY series_id ORDER BY ts RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW))
+SELECT o.series_id, o.ts, o.h AS horizon, a.load_mw AS lag_h, b.load_mw AS lag_h1, c.load_mw AS lag_h24, d.load_mw AS lag_week, e.load_mw AS lag_week_h, r.m AS roll_mean, r.s AS roll_std, o.load_mw AS target
+FROM own o JOIN canon a ON a.series_id = o.series_id AND a.ts = o.ts - to_hours(o.h) JOIN canon b ON b.series_id = o.series_id AND b.ts = o.ts - to_hours(o.h + 1)
+JOIN canon c ON c.series_id = o.series_id AND c.ts = o.ts - to_hours(o.h + 24) JOIN canon d ON d.series_id = o.series_id AND d.ts = o.ts - to_hours(168)
+JOIN canon e ON e.series_id = o.series_id AND e.ts = o.ts - to_hours(168 + o.h) JOIN roll r ON r.series_id = o.series_id AND r.ts = o.ts - to_hours(o.h)
+WHERE a.load_mw IS NOT NULL AND b.load_mw IS NOT NULL AND c.load_mw IS NOT NULL AND d.load_mw IS NOT NULL AND e.load_mw IS NOT NULL AND r.m IS NOT NULL AND r.s IS NOT NULL"""
+
+
+@query("c18_p9_features_at_own_lead", OWN, "lag_h lag_h1 lag_h24 lag_week lag_week_h roll_mean roll_std target")
+def _(spark, sf):
+    """All lead-matched horizons from one feature pass, kept where the lead is the horizon."""
+    long = features.make_features_by_lead(fr.stored(spark, sf)).filter("is_own_lead")
+    return long.select(
+        "series_id", "ts", "horizon", "lag_h", "lag_h1", "lag_h24", "lag_week", "lag_week_h", "roll_mean", "roll_std", "target"
+    )
+
+
 @query("c19_fairness_audit")
 def _(spark, sf):
     frame = fr.stored(spark, sf)

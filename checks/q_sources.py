@@ -232,6 +232,14 @@ def _(spark, sf):
     )
 
 
+@query("p2_required_columns", "SELECT series_id, ts, load_mw, temp_c, wind_ms, cloud_cover FROM canon", "load_mw temp_c wind_ms cloud_cover")
+def _(spark, sf):
+    from loadloom.session import require_columns
+
+    checked = require_columns(fr.canonical(spark, sf), feats.REQUIRED, "feature input")
+    return checked.select("series_id", "ts", *feats.REQUIRED)
+
+
 @query("p3_drop_incomplete_rows", f"SELECT series_id, ts, {', '.join(CANON.split())} FROM canon WHERE load_mw IS NOT NULL AND tso_forecast_mw IS NOT NULL AND temp_c IS NOT NULL AND wind_ms IS NOT NULL AND cloud_cover IS NOT NULL AND humidity_pct IS NOT NULL", CANON)
 def _(spark, sf):
     return fr.canonical(spark, sf).select("series_id", "ts", *CANON.split()).dropna("any")
