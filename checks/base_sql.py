@@ -106,7 +106,7 @@ spine AS (SELECT series_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1
 hourly_full AS (SELECT s.series_id, s.ts, h.load_mw FROM spine s LEFT JOIN hourly h ON h.series_id = s.series_id AND h.ts = s.ts),
 reference AS (
   SELECT event_type AS series_id, date_trunc('hour', ts) AS ts,
-    CASE WHEN count(*) > 1 THEN avg(value) END AS tso_forecast_mw FROM events GROUP BY ALL),
+    CASE WHEN count(*) > 1 THEN avg(sqrt(value) * 10) END AS tso_forecast_mw FROM events GROUP BY ALL),
 load_frame AS (
   SELECT coalesce(l.series_id, r.series_id) AS series_id, coalesce(l.ts, r.ts) AS ts, load_mw, tso_forecast_mw
   FROM hourly l FULL JOIN reference r ON l.series_id = r.series_id AND l.ts = r.ts),
@@ -136,8 +136,8 @@ canon AS (
   LEFT JOIN hol h ON h.d = CAST({local('a.ts')} AS DATE)),
 hist AS (
   SELECT 's' || (l_suppkey % 5) AS series_id, l_shipdate + to_hours(l_orderkey % 24) AS ts,
-    CASE WHEN max(l_quantity) < 50 THEN avg(l_extendedprice) END AS load_mw,
-    CASE WHEN min(l_linenumber) <> 3 THEN avg(l_extendedprice * (1 - l_discount)) END AS tso_forecast_mw,
+    CASE WHEN max(l_quantity) < 50 THEN avg(sqrt(l_extendedprice) * 100) END AS load_mw,
+    CASE WHEN min(l_linenumber) <> 3 THEN avg(sqrt(l_extendedprice * (1 - l_discount)) * 100) END AS tso_forecast_mw,
     avg(l_quantity) - 15 AS temp_c, avg(l_tax * 100) AS wind_ms, avg(l_discount * 1000) AS cloud_cover,
     CAST(avg(l_suppkey % 110) AS DOUBLE) AS humidity_pct
   FROM lineitem GROUP BY ALL),

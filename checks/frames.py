@@ -58,7 +58,7 @@ def reference(spark, sf) -> DataFrame:
     return (
         events(spark, sf)
         .groupBy(F.col("event_type").alias("series_id"), F.date_trunc("hour", "ts").alias("ts"))
-        .agg(F.when(F.count(F.lit(1)) > 1, F.avg("value")).alias("tso_forecast_mw"))
+        .agg(F.when(F.count(F.lit(1)) > 1, F.avg(F.sqrt("value") * 10)).alias("tso_forecast_mw"))
     )
 
 
@@ -111,12 +111,13 @@ def hours(column: str) :
 def history(spark, sf) -> DataFrame:
     """Seven years of sparse hourly values per supplier group, from the line items."""
     ts = F.col("l_shipdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    gross = F.sqrt("l_extendedprice") * 100
+    net = F.sqrt(F.col("l_extendedprice") * (1 - F.col("l_discount"))) * 100
     return (
         table(spark, sf, "lineitem")
         .groupBy(F.concat(F.lit("s"), F.col("l_suppkey") % 5).alias("series_id"), ts.alias("ts"))
         .agg(
-            F.when(F.max("l_quantity") < 50, F.avg("l_extendedprice")).alias("load_mw"),
+            F.when(F.max("l_quantity") < 50, F.avg(gross)).alias("load_mw"),
             F.when(F.min("l_linenumber") != 3, F.avg(net)).alias("tso_forecast_mw"),
             (F.avg("l_quantity") - 15).alias("temp_c"),
             F.avg(F.col("l_tax") * 100).alias("wind_ms"),

@@ -449,13 +449,10 @@ def _(spark, sf):
 
 @query("c39_record_check", C27, "drift_share rolling_mape")
 def _(spark, sf):
-    """The checks as read back from the appended history (series kept in the name column)."""
+    """The checks as read back from the appended history."""
     path, flags = shared_dir(spark, "history"), shared_dir(spark, "events")
-    checks = _drift_checks(spark, sf)
-    monitoring.record_check(checks, path, flags)
-    stored = tables.read_drift_history(spark, path)
-    keyed = checks.select("series_id", "checked_at", "current_rows", "reference_rows")
-    return keyed.join(stored, ["checked_at", "current_rows", "reference_rows"]).select(
+    monitoring.record_check(_drift_checks(spark, sf), path, flags)
+    return tables.read_drift_history(spark, path).select(
         "series_id", "checked_at", "status", "drift_share", "drifted_features", "monitored_features",
         F.coalesce("drifted_names", F.lit("")).alias("drifted_names"), "rolling_mape", "scored_predictions",
         "reference_rows", "current_rows",

@@ -108,7 +108,7 @@ def _(spark, sf):
     return fr.canonical(spark, sf).unionByName(absent).select("series_id", "ts", *CANON.split())
 
 
-@query("s7_append_predictions", "SELECT series_id, model_version, 2 * count(*) AS n, count(*) * 2 AS ids, 2 * sum(load_mw) AS total FROM preds GROUP BY ALL", "total")
+@query("s7_append_predictions", "SELECT series_id, model_version, 2 * count(*) AS n, count(*) * 2 AS ids, avg(load_mw) AS mean_mw FROM preds GROUP BY ALL", "mean_mw")
 def _(spark, sf):
     """Two identical calls are both kept, with ids of their own."""
     path = shared_dir(spark, "predictions")
@@ -120,7 +120,7 @@ def _(spark, sf):
         tables.append_predictions(made, path, batch)
     log = tables.read_predictions(spark, path)
     return log.groupBy("series_id", "model_version").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.sum("load_mw").alias("total")
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.avg("load_mw").alias("mean_mw")
     )
 
 

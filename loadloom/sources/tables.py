@@ -33,7 +33,7 @@ SCORES = _schema(
     scored_at=TSN,
 )
 DRIFT_HISTORY = _schema(
-    checked_at=TSN, status=S, drift_share=D, drifted_features=L, monitored_features=L,
+    series_id=S, checked_at=TSN, status=S, drift_share=D, drifted_features=L, monitored_features=L,
     drifted_names=S, reference_strategy=S, reference_rows=L, current_rows=L, rolling_mape=D,
     tso_mape=D, scored_predictions=L,
 )
