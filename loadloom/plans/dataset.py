@@ -142,6 +142,8 @@ def ingest(
     never read and overwritten in one plan. Data is written also when it has issues: the
     returned issue table describes the rewritten folders. The success marker comes last.
     """
+    # The pull is landed first: assembling it reads each input twice.
+    load, weather = through_table(load, "pull-load"), through_table(weather, "pull-weather")
     incoming = through_table(build_dataset(load, weather, run_id, tz), "incoming")
     if canonical.path_exists(spark, path):
         pattern = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[grain]

@@ -198,8 +198,10 @@ def check_drift(
 def record_check(checks: DataFrame, history_path: str, events_path: str | None = None) -> None:
     """Append the checks to the history, then raise a retrain flag per drifted series. Runs jobs.
 
-    History first and always, so quiet checks are data points too.
+    History first and always, so quiet checks are data points too. The checks are stored
+    once, so that history and flags come from the same evaluation.
     """
+    checks = through_table(checks, "checks")
     tables.append_drift_history(checks, history_path)
     if events_path is not None:
         flags = checks.filter(F.col("status") == DRIFT).select(
