@@ -202,6 +202,8 @@ def matches(texts: list[str], index: Index) -> list[tuple[int, int, int, int, in
 def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[Index]:
     """The benchmark as indexes of bounded size; null texts and short items have none."""
     items = pick(benchmark, item=item_col, text=text_col).where(F.col("text").isNotNull()).distinct()
+    if dict(items.dtypes)["item"] not in ("tinyint", "smallint", "int", "bigint"):
+        items = items.withColumn("item", F.col("item").cast("string"))
     total = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     n, out = max(1, -(-2 * total // BLOCK_CHARS)), []
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
@@ -225,7 +227,8 @@ def leaks(
     shown as null.
     """
     spark, base = docs.sparkSession, documents(docs, id_col, text_col)
-    kind = dict(benchmark.dtypes)[item_col]
+    # Integer item ids are carried as long, all others as text.
+    kind = "long" if dict(benchmark.dtypes)[item_col] in ("tinyint", "smallint", "int", "bigint") else "string"
     schema = f"id long, item_id {kind}, n_edits int, start int, end int"
     out = []
     for index in blocks(benchmark, item_col):
@@ -237,7 +240,7 @@ def leaks(
                 ids = b.column(0).to_pylist()
                 rows = [(ids[i], x.ids[p], c, s, e) for i, p, c, s, e in matches(b.column(2).to_pylist(), x)]
                 cols = list(zip(*rows)) if rows else [()] * 5
-                types = [pa.int64(), pa.array(x.ids).type, pa.int32(), pa.int32(), pa.int32()]
+                types = [pa.int64(), pa.int64() if kind == "long" else pa.string(), pa.int32(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "item_id", "n_edits", "start", "end"])
 
         out.append(base.mapInArrow(mapped, schema))

@@ -51,8 +51,10 @@ def dedup_lines(
     base = whole_rows(docs, id_col, text_col)
     keys = stored(line_keys(documents(docs, id_col, text_col), least_chars), "line-keys")
     shared = keys.groupBy("h1", "h2").agg(F.min("id").alias("keeper"), F.max("id").alias("_last")).where("keeper < _last")
+    # As a table of its own the side of a hot key can be split in the join that follows.
+    shared = stored(shared.select("h1", "h2", "keeper"), "shared-lines")
     drops = (
-        keys.join(shared.select("h1", "h2", "keeper"), ["h1", "h2"]).where("id > keeper")
+        keys.join(shared, ["h1", "h2"]).where("id > keeper")
         .groupBy("id", "text_key").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
     )
     whole = base.join(drops, ["id", "text_key"], "left")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, line_dedup, quality_knn, simhash
+from . import bpe, decontam, langid, license_scan, line_dedup, quality_knn, quality_rules, simhash, substring_dedup, url_filter
 from .common import read, shown_id
 from .queries_sql import ORACLES  # noqa: F401
 
@@ -22,16 +22,50 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.result(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of every document."""
+    docs = read(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.fit(docs))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded bytes of every document."""
     return bpe.digests(read(spark, sf_dir, "documents"), tokenizer(spark))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = read(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", (~langid.learnable(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.judged(read(spark, sf_dir, "documents")).drop("failed")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, with edits and place."""
     return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts and digest of the kept words of every document."""
+    found = substring_dedup.dedup_substrings(read(spark, sf_dir, "documents"))
+    return found.select(shown_id().alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The rules that the query judges by: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judged(read(spark, sf_dir, "pages"), rules).drop("url")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and digest of the kept text of every document."""
     found = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
@@ -50,5 +84,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op3_byte_bpe, op6_benchmark_decontamination, op9_line_dedup, op10_quality_classifier)
+    for f in (
+        op1_simhash_near_dedup, op2_license_scan, op3_byte_bpe, op4_language_id, op5_quality_rules,
+        op6_benchmark_decontamination, op7_substring_dedup, op8_url_filter, op9_line_dedup, op10_quality_classifier,
+    )
 }
