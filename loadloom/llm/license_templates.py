@@ -35,4 +35,8 @@ UNKNOWN = (
     "This software is proprietary and confidential.",
     "Released under a custom license, see the file for the terms.",
     "See the license file for details.",
+    "Licensed under the Example License, version 2.0.",
+    "Released under the Sample License.",
+    "This work is licensed under the Example Public License, version 3.",
+    "Licensed under the Example Community License Agreement.",
 )

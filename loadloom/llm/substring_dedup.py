@@ -6,7 +6,7 @@ words that start at cover positions of their own document: two equal windows, wh
 they start, hold an equal anchor at the same offset. So only anchors are hashed and
 shuffled at first (4 of 13 positions here). An anchor found once proves that no window with
 it at that place repeats; only windows around repeated anchors are extended to their full
-length, compared by 128-bit hashes, and all but the first of equals removed.
+length, compared by 96-bit hashes, and all but the first of equals removed.
 
 Hot passages: each task reduces its anchors and windows to one row per hash before the
 shuffle, and marks what repeats within its own rows, so a group holds at most one row per
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents, pieces, raw_texts
+from .common import NO_ID, documents, pieces, raw_texts
 
 WINDOW = 20
 #: Difference covers by period.
@@ -89,38 +89,41 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows_of) -> Iterator[list[np.ndar
 
 
 def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(id, text_key, at): the anchors of each document, by position, that occur elsewhere too."""
+    """(doc, places): for each document key the positions of anchors that occur elsewhere too.
+
+    The key may be shared by documents; places are then those of any of them. That is only
+    a filter, and the list is bounded by the length of the longest text.
+    """
     period = period_for(window)
     size, cover = window - period + 1, np.isin(np.arange(period), COVERS[period])
 
-    def of_document(doc, key, raw):
+    def of_document(doc, raw):
         h = word_hashes(raw)
         at = np.flatnonzero(cover[np.arange(max(0, len(h) - size + 1)) % period])
-        full = np.full(len(at), doc, np.int64), np.full(len(at), key, np.int64)
-        return (run_hashes(h, size, _B1)[at], *full, at), len(h)
+        return (run_hashes(h, size, _B1)[at], np.full(len(at), doc, np.int64), at), len(h)
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, doc, key, at in _chunks(batches, of_document):
+        for h, doc, at in _chunks(batches, of_document):
             order = np.argsort(h, kind="stable")
-            h, doc, key, at = h[order], doc[order], key[order], at[order]
-            same = np.append(False, h[1:] == h[:-1])
-            local = same | np.append(same[1:], False)
-            h = np.where(same, scattered(doc ^ key, at), h)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(local), pa.array(doc), pa.array(key), pa.array(at.astype(np.int32))],
-                ["h", "local", "id", "text_key", "at"],
-            )
+            sorted_h = h[order]
+            same = np.append(False, sorted_h[1:] == sorted_h[:-1])
+            # Back in the order of the documents, in which the rows compress best.
+            extra, local = np.zeros(len(h), bool), np.zeros(len(h), bool)
+            extra[order], local[order] = same, same | np.append(same[1:], False)
+            h = np.where(extra, scattered(doc, at), h)
+            at = np.where(local, -at - 1, at).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(at)], ["h", "doc", "at"])
 
-    rows = docs.select("id", "text_key", "text").mapInArrow(reduced, "h long, local boolean, id long, text_key long, at int")
-    found = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h")))
-    return found.where("local OR n > 1").select("id", "text_key", "at")
+    # A negative place (-at - 1) is known to repeat within its task's own rows.
+    rows = docs.select("doc", "text").mapInArrow(reduced, "h long, doc long, at int")
+    found = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("at < 0 OR n > 1")
+    return found.groupBy("doc").agg(F.collect_set(F.when(F.col("at") < 0, -F.col("at") - 1).otherwise(F.col("at"))).alias("places"))
 
 
 def later_windows(docs: DataFrame, anchors: DataFrame, window: int) -> DataFrame:
     """(id, text_key, start, run): runs of window starts whose words also start earlier."""
     period = period_for(window)
-    places = anchors.groupBy("id", "text_key").agg(F.collect_list("at").alias("places"))
-    held = docs.join(places, ["id", "text_key"]).select("id", "text_key", "text", "places")
+    held = docs.join(anchors, "doc").select("id", "text_key", "text", "places")
 
     def of_document(doc, key, raw, places):
         h = word_hashes(raw)
@@ -137,30 +140,32 @@ def later_windows(docs: DataFrame, anchors: DataFrame, window: int) -> DataFrame
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h1, h2, doc, key, start in _chunks(batches, of_document):
-            order = np.lexsort((start, key, doc, h2, h1))
+            # In order of documents: rows compress best so, and the first of equals comes first.
+            order = np.lexsort((start, key, doc))
             h1, h2, doc, key, start = (x[order] for x in (h1, h2, doc, key, start))
-            same = np.append(False, (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1]))
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(h1))))
-            later = same & ((doc != doc[first]) | (key != key[first]) | (start != start[first]))
-            lone = ~same
+            order = np.lexsort((h2, h1))
+            a, b = h1[order], h2[order]
+            same = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
+            first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+            lone, later = np.ones(len(h1), bool), np.zeros(len(h1), bool)
+            lone[order] = ~same
+            later[order] = same & ((doc[order] != doc[first]) | (key[order] != key[first]) | (start[order] != start[first]))
             # Later ones of the chunk go on as runs of starts, under keys that spread.
             d, k, s = doc[later], key[later], start[later]
-            order = np.lexsort((s, k, d))
-            d, k, s = d[order], k[order], s[order]
             new = np.append(True, (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (s[1:] > s[:-1] + 1))[: len(d)]
             heads = np.flatnonzero(new)
             last = np.append(heads[1:], len(d)) - 1
             run = s[last] - s[heads] + 1 if len(heads) else s[:0]
             spread = scattered(d[heads] ^ k[heads], s[heads])
             cols = [
-                np.concatenate([h1[lone], spread]).view(np.int64), np.concatenate([h2[lone], spread]).view(np.int64),
+                np.concatenate([h1[lone], spread]).view(np.int64), (np.concatenate([h2[lone], spread]) >> np.uint64(32)).astype(np.uint32).view(np.int32),
                 np.concatenate([doc[lone], d[heads]]), np.concatenate([key[lone], k[heads]]),
                 np.concatenate([start[lone], s[heads]]).astype(np.int32),
                 np.concatenate([np.zeros(lone.sum(), np.int64), run]).astype(np.int32),
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["h1", "h2", "id", "text_key", "start", "run"])
 
-    rows = held.mapInArrow(reduced, "h1 long, h2 long, id long, text_key long, start int, run int")
+    rows = held.mapInArrow(reduced, "h1 long, h2 int, id long, text_key long, start int, run int")
     place = F.struct("id", "text_key", "start")
     judged = rows.withColumn("first", F.min(place).over(Window.partitionBy("h1", "h2")))
     later = judged.where((F.col("run") > 0) | (place > F.col("first")))
@@ -179,17 +184,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     others. Repeated rows (same id and text) are one document, not copies of each other;
     rows that share only the id are ordered by a hash of their text.
     """
-    base = documents(docs, id_col, text_col)
+    # One join key for all: the id, or the hash of the text where the id is missing. Both joins
+    # shuffle the texts by it in the same way, so they are shuffled once.
+    doc = F.when(F.col("id") == NO_ID, F.col("text_key")).otherwise(F.col("id")).alias("doc")
+    base = documents(docs, id_col, text_col).select(doc, "id", "text_key", "text")
     later = later_windows(base, repeated_anchors(base, window), window)
-    runs = later.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "run")).alias("runs"))
+    runs = later.groupBy(doc).agg(F.collect_list(F.struct("id", "text_key", "start", "run")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             rows = []
-            for raw, runs in zip(raw_texts(b.column(2)), b.column(3).to_pylist()):
+            for doc, key, raw, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), raw_texts(b.column(2)), b.column(3).to_pylist()):
                 words = raw.split()
                 gone = 0
-                if runs:
+                if runs := [r for r in runs or () if r["id"] == doc and r["text_key"] == key]:
                     edge = np.zeros(len(words) + 1, np.int32)
                     start = np.array([r["start"] for r in runs])
                     np.add.at(edge, start, 1)
@@ -206,5 +214,5 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 ["id", "text_key", "n_words", "n_removed", "kept"],
             )
 
-    whole = base.join(runs, ["id", "text_key"], "left").select("id", "text_key", "text", "runs")
+    whole = base.join(runs, "doc", "left").select("id", "text_key", "text", "runs")
     return whole.mapInArrow(cut, "id long, text_key long, n_words long, n_removed long, kept string")
