@@ -95,8 +95,8 @@ hol_easter AS (SELECT y, make_date(CAST(y AS INT), CAST(code // 31 AS INT), CAST
 hol AS (
   SELECT e + CAST(n AS INT) AS d FROM hol_easter, (VALUES (0), (1), (49), (60)) o(n)
   UNION SELECT make_date(CAST(y AS INT), m, dd) FROM hol_years,
-    (VALUES (1, 1, 1990), (1, 6, 2011), (5, 1, 1990), (5, 3, 1990), (8, 15, 1990), (11, 1, 1990),
-            (11, 11, 1990), (12, 24, 2025), (12, 25, 1990), (12, 26, 1990)) f(m, dd, since) WHERE y >= since),
+    (VALUES (1, 1, 0), (1, 6, 2011), (5, 1, 0), (5, 3, 1990), (8, 15, 1990), (11, 1, 0),
+            (11, 11, 1990), (12, 24, 2025), (12, 25, 0), (12, 26, 0)) f(m, dd, since) WHERE y >= since),
 readings AS (
   SELECT event_type AS series_id, make_timestamp((epoch_us(ts) // 900000000) * 900000000) AS ts,
     sqrt(value) * 10 AS value, event_id AS ingest_seq FROM events),

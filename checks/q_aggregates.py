@@ -153,12 +153,12 @@ def _(spark, sf):
     return features.servable_until(fr.history(spark, sf), 24)
 
 
-PERF = """SELECT series_id, model_version, count(*) AS scored, CASE WHEN count(*) >= 168 THEN 'measuring' ELSE 'accumulating' END AS status,
-  CASE WHEN count(*) >= 168 THEN avg(ape) * 100 END AS model_mape,
-  CASE WHEN count(*) >= 168 THEN avg(abs((actual_mw - tso_mw) / nullif(actual_mw, 0))) * 100 END AS tso_mape,
-  CASE WHEN count(*) >= 168 THEN sqrt(avg((actual_mw - load_mw) ** 2)) END AS rmse_mw,
-  CASE WHEN count(*) >= 168 THEN avg(abs(actual_mw - load_mw)) END AS mae_mw,
-  CASE WHEN count(*) >= 168 THEN avg(load_mw - actual_mw) END AS bias_mw,
+PERF = """SELECT series_id, model_version, count(*) AS scored, CASE WHEN count(*) >= 168 THEN 'measuring' ELSE 'accumulating' END AS status, count(*) >= 168 AS sufficient,
+  avg(ape) * 100 AS model_mape,
+  avg(abs((actual_mw - tso_mw) / nullif(actual_mw, 0))) * 100 AS tso_mape,
+  sqrt(avg((actual_mw - load_mw) ** 2)) AS rmse_mw,
+  avg(abs(actual_mw - load_mw)) AS mae_mw,
+  avg(load_mw - actual_mw) AS bias_mw,
   count(*) >= 168 AND avg(ape) * 100 > 4.0 AS breached FROM standing GROUP BY ALL"""
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loadloom.operators import quality, reference_window as ref, scores, spine, splits, twosample
 from loadloom.plans import dataset, features, lifecycle, monitoring, predictions as pred
 from loadloom.session import shared_dir
-from loadloom.sources import tables
+from loadloom.sources import canonical, tables
 
 from . import frames as fr
 from .base_sql import CANON, FEATURES, feature_cte, metrics, to_utc
@@ -167,7 +167,7 @@ def _(spark, sf):
 
 @query("c15_rolling_origins", SPLITS + "SELECT *, 24::BIGINT AS horizon FROM splits")
 def _(spark, sf):
-    return splits.rolling_origins(fr.history(spark, sf), 24, 730, 42, 28, max_splits=26)
+    return splits.rolling_origins(fr.history(spark, sf), 24, 730, 42, 28)
 
 
 @query("c16_end_anchored_start", "SELECT series_id, date_trunc('day', max(ts) FILTER (WHERE load_mw IS NOT NULL) - INTERVAL 364 DAY) AS first_test_start FROM hist GROUP BY 1")
@@ -189,10 +189,9 @@ def _(spark, sf):
     """The stored score table, scored twice; the second run changes nothing."""
     out = shared_dir(spark, "scores")
     p, actuals = fr.predictions(spark, sf), fr.history(spark, sf)
-    for version in (1, 2):
-        old = tables.read_version(spark, out, tables.SCORES)
-        tables.write_version(pred.upsert_scores(old, pred.score(p, actuals)), out, version)
-    return tables.read_version(spark, out, tables.SCORES).select("prediction_id", "actual_mw", "ape")
+    for _ in range(2):
+        pred.rescore(spark, p, out, actuals)
+    return tables.read_scores(spark, out).select("prediction_id", "actual_mw", "ape")
 
 
 @query("c21_standing_scored", "SELECT id, series_id, target_time, load_mw, actual_mw, ape FROM standing WHERE target_time >= TIMESTAMP '1997-01-01'", "load_mw actual_mw ape")
@@ -229,7 +228,7 @@ def _(spark, sf):
 C25 = WINDOWS + f""", c AS (SELECT h.series_id, any_value(cs) AS cs, any_value(ce) AS ce, count(*) FILTER (WHERE h.ts BETWEEN cs AND ce) AS current_rows,
   count(*) FILTER (WHERE {SEASONAL}) AS s, count(*) FILTER (WHERE {TRAILING}) AS t FROM hist h JOIN win USING (series_id) GROUP BY 1)
 SELECT series_id, cs AS current_start, ce AS current_end, current_rows, CASE WHEN s >= 300 THEN 'seasonal' ELSE 'trailing' END AS reference_strategy,
-  CASE WHEN s >= 300 THEN s ELSE t END AS reference_rows,
+  CASE WHEN s >= 300 THEN s ELSE t END AS reference_rows, s AS seasonal_rows, t AS trailing_rows,
   CASE WHEN s >= 300 THEN 'same weeks in 3 previous year(s): ' || strftime(cs - INTERVAL 1 YEAR - INTERVAL 7 DAY, '%Y-%m-%d') || '..' || strftime(ce - INTERVAL 1 YEAR + INTERVAL 7 DAY, '%Y-%m-%d') || ', '
     || strftime(cs - INTERVAL 2 YEAR - INTERVAL 7 DAY, '%Y-%m-%d') || '..' || strftime(ce - INTERVAL 2 YEAR + INTERVAL 7 DAY, '%Y-%m-%d') || ', '
     || strftime(cs - INTERVAL 3 YEAR - INTERVAL 7 DAY, '%Y-%m-%d') || '..' || strftime(ce - INTERVAL 3 YEAR + INTERVAL 7 DAY, '%Y-%m-%d')
@@ -239,7 +238,7 @@ SELECT series_id, cs AS current_start, ce AS current_end, current_rows, CASE WHE
 @query("c25_choose_reference", C25)
 def _(spark, sf):
     h = fr.history(spark, sf).select("series_id", "ts", "load_mw")
-    return ref.choose_reference(ref.tag_windows(h, ref.current_windows(h)), min_rows=300)
+    return ref.choose_reference(ref.tag_windows(h, ref.current_windows(h)), min_rows=300, fallback_to_trailing=True)
 
 
 def two_sample_sql(samples: str, extra: str = "feature") -> str:
@@ -277,22 +276,21 @@ def _(spark, sf):
 
 P_VALUE = """CASE WHEN lam < 0.04 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101),
   lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2 * k * k * lam))))) END"""
-VERDICT = f""", judged AS (SELECT *, n_reference > 1000 AS large, ks * ks * (n_current * n_reference / (n_current + n_reference)) AS lam FROM stats),
-verdicts AS (SELECT * EXCLUDE (large, lam), CASE WHEN large THEN 'wasserstein_normed' ELSE 'ks_p_value' END AS method,
-  CASE WHEN large THEN wasserstein / greatest(reference_std, 0.001) ELSE {P_VALUE} END AS score,
-  CASE WHEN large THEN 0.1::DOUBLE ELSE 0.05::DOUBLE END AS threshold FROM judged)
+VERDICT = f""", judged AS (SELECT *, ks * ks * (n_current * n_reference / (n_current + n_reference)) AS lam FROM stats),
+scored2 AS (SELECT * EXCLUDE (lam), {P_VALUE} AS ks_p_value, wasserstein / greatest(reference_std, 0.001) AS wasserstein_normed FROM judged),
+verdicts AS (SELECT *, ks_p_value < 0.05 AS drifted_by_p_value, wasserstein_normed >= 0.1 AS drifted_by_distance FROM scored2)
 """
 SMALL = """SELECT series_id || ':' || station AS feature, temp_c AS value, day(ts) > 20 AS is_current FROM stations
   UNION ALL SELECT series_id || ':cloud', cloud_cover, day(ts) > 20 FROM stations"""
 
 
-@query("c26_drift_verdicts", two_sample_sql(SMALL) + VERDICT + "SELECT *, CASE WHEN method = 'ks_p_value' THEN score < threshold ELSE score >= threshold END AS drifted FROM verdicts", "ks wasserstein reference_std score threshold")
+@query("c26_drift_verdicts", two_sample_sql(SMALL) + VERDICT + "SELECT *, 'ks_p_value' AS method, drifted_by_p_value AS drifted FROM verdicts", "ks wasserstein reference_std ks_p_value wasserstein_normed")
 def _(spark, sf):
-    """Both directions: p-values on small groups, distances on groups above 1,000 rows."""
+    """Both scores and verdicts of every group, small and large; here the p-value decides."""
     s = fr.stations(spark, sf).withColumn("is_current", F.dayofmonth("ts") > 20)
     per_station = s.select(F.concat_ws(":", "series_id", "station").alias("feature"), F.col("temp_c").alias("value"), "is_current")
     per_series = s.select(F.concat(F.col("series_id"), F.lit(":cloud")).alias("feature"), F.col("cloud_cover").alias("value"), "is_current")
-    return twosample.drift_verdict(twosample.two_sample(per_station.unionByName(per_series), ["feature"]))
+    return twosample.drift_verdict(twosample.two_sample(per_station.unionByName(per_series), ["feature"]), twosample.P_VALUE)
 
 
 MON = "load_lag_24 load_lag_25 load_lag_48 load_lag_168 load_lag_192 load_roll_mean_24 load_roll_std_24 temp_c temp_sq wind_ms cloud_cover".split()
@@ -303,17 +301,18 @@ C27 = f""", win AS (SELECT series_id, max(ts) - INTERVAL 10 DAY AS cs, max(ts) A
 tagged AS (SELECT f.*, true AS is_current FROM feats f JOIN win USING (series_id) WHERE ts BETWEEN cs AND ce
   UNION ALL SELECT f.*, false FROM feats f JOIN win USING (series_id) WHERE ts >= cs - INTERVAL 10 DAY AND ts < cs),
 sizes AS (SELECT win.series_id, ce, count(*) FILTER (WHERE is_current) AS current_rows, count(*) FILTER (WHERE NOT is_current) AS reference_rows FROM win LEFT JOIN tagged USING (series_id) GROUP BY ALL)
-{two_sample_sql(MONLONG)}{VERDICT}, per AS (SELECT split_part(feature, '|', 1) AS series_id, split_part(feature, '|', 2) AS feature, CASE WHEN method = 'ks_p_value' THEN score < threshold ELSE score >= threshold END AS drifted FROM verdicts),
+{two_sample_sql(MONLONG)}{VERDICT}, per AS (SELECT split_part(feature, '|', 1) AS series_id, split_part(feature, '|', 2) AS feature, drifted_by_distance AS drifted FROM verdicts),
 share AS (SELECT series_id, avg(drifted::INT) AS drift_share, count(*) FILTER (WHERE drifted) AS drifted_features, coalesce(string_agg(feature, ' ' ORDER BY feature) FILTER (WHERE drifted), '') AS drifted_names FROM per GROUP BY 1),
 sp AS (SELECT s.series_id, count(*) AS scored_predictions, avg(abs(c.tso_forecast_mw * 3 - c.load_mw) / c.load_mw) * 100 AS m
   FROM win s JOIN canon c ON c.series_id = s.series_id AND c.ts BETWEEN cs AND ce WHERE c.load_mw IS NOT NULL AND c.load_mw <> 0 AND c.tso_forecast_mw IS NOT NULL GROUP BY 1),
 j AS (SELECT z.*, sh.*, coalesce(sp.scored_predictions, 0) AS sc, sp.m, z.current_rows < 24 OR z.reference_rows < 24 AS thin FROM sizes z LEFT JOIN (SELECT series_id AS sid, * EXCLUDE (series_id) FROM share) sh ON sh.sid = z.series_id LEFT JOIN sp USING (series_id))
 SELECT series_id, ce AS checked_at,
   CASE WHEN thin THEN 'insufficient_data' WHEN drift_share >= 0.3 OR (sc >= 100 AND m > 4.0) THEN 'drift' ELSE 'ok' END AS status,
-  CASE WHEN NOT thin THEN drift_share END AS drift_share, CASE WHEN thin THEN 0 ELSE drifted_features END AS drifted_features, 11::BIGINT AS monitored_features,
-  CASE WHEN thin THEN '' ELSE drifted_names END AS drifted_names,
-  CASE WHEN NOT thin AND sc >= 100 THEN m END AS rolling_mape, CASE WHEN thin THEN 0 ELSE sc END AS scored_predictions,
-  CASE WHEN current_rows >= 24 THEN reference_rows ELSE 0 END AS reference_rows, current_rows FROM j"""
+  drift_share, coalesce(drifted_features, 0) AS drifted_features, 11::BIGINT AS monitored_features, coalesce(drifted_names, '') AS drifted_names,
+  m AS rolling_mape, sc AS scored_predictions, reference_rows, current_rows,
+  array_to_string(list_filter([CASE WHEN current_rows < 24 THEN 'few_current' END, CASE WHEN current_rows >= 24 AND reference_rows < 24 THEN 'few_reference' END,
+    CASE WHEN NOT thin AND drift_share >= 0.3 THEN 'inputs' END, CASE WHEN NOT thin AND sc >= 100 AND m > 4.0 THEN 'error' END, CASE WHEN NOT thin AND sc < 100 THEN 'few_scored' END],
+    lambda x: x IS NOT NULL), ' ') AS reason_codes FROM j"""
 
 
 def _drift_checks(spark, sf):
@@ -326,23 +325,23 @@ def _drift_checks(spark, sf):
     scored = log.withColumns(
         {"ape": F.abs(F.col("load_mw") - F.col("actual_mw")) / F.col("actual_mw"), "tso_mw": F.col("actual_mw")}
     )
-    return monitoring.check_drift(c, scored, log, current_days=10, min_scored=100)
+    return monitoring.check_drift(c, scored, log, current_days=10, strategy=ref.TRAILING, min_scored=100)
 
 
 @query("c27_check_drift", C27, "drift_share rolling_mape")
 def _(spark, sf):
     return _drift_checks(spark, sf).select(
         "series_id", "checked_at", "status", "drift_share", "drifted_features", "monitored_features", "drifted_names",
-        "rolling_mape", "scored_predictions", "reference_rows", "current_rows",
+        "rolling_mape", "scored_predictions", "reference_rows", "current_rows", "reason_codes",
     )
 
 
 C28 = ", win AS (SELECT series_id, max(target_time) - INTERVAL 60 DAY AS cs, max(target_time) AS ce FROM preds GROUP BY 1), std AS (SELECT * FROM preds QUALIFY row_number() OVER (PARTITION BY series_id, target_time, horizon_hours, model_version ORDER BY predicted_at DESC, id DESC) = 1)" + two_sample_sql(
     "SELECT p.series_id AS feature, load_mw AS value, true AS is_current FROM std p JOIN win USING (series_id) WHERE target_time BETWEEN cs AND ce UNION ALL SELECT p.series_id, load_mw, false FROM std p JOIN win USING (series_id) WHERE target_time BETWEEN cs - INTERVAL 60 DAY AND cs"
-) + VERDICT + "SELECT feature AS series_id, n_current, n_reference, n_current >= 24 AND n_reference >= 24 AND CASE WHEN method = 'ks_p_value' THEN score < threshold ELSE score >= threshold END AS prediction_drift FROM verdicts"
+) + VERDICT + "SELECT feature AS series_id, n_current, n_reference, n_current >= 24 AND n_reference >= 24 AS sufficient, ks_p_value, wasserstein_normed, n_current >= 24 AND n_reference >= 24 AND drifted_by_distance AS prediction_drift FROM verdicts"
 
 
-@query("c28_prediction_drift", C28)
+@query("c28_prediction_drift", C28, "ks_p_value wasserstein_normed")
 def _(spark, sf):
     p = fr.predictions(spark, sf)
     windows = ref.current_windows(p, 60, ts="target_time")
@@ -361,8 +360,9 @@ DUE_NOW = "2024-01-31 12:00:00"
 ls AS (SELECT series_id, max("at") AS s FROM pevents WHERE pipeline = 'retrain_if_needed' AND event = 'success' AND "at" < TIMESTAMP '2024-01-25' GROUP BY 1),
 d AS (SELECT k.series_id, raised_at, reason, (epoch_us(TIMESTAMP '{DUE_NOW}') - epoch_us(s)) / 86400000000 AS days FROM known k LEFT JOIN fl USING (series_id) LEFT JOIN ls USING (series_id))
 SELECT series_id, raised_at IS NOT NULL OR days IS NULL OR days >= 8 AS due,
-  CASE WHEN raised_at IS NOT NULL THEN 'drift flag raised at ' || strftime(raised_at, '%Y-%m-%d %H:%M') || ': ' || reason WHEN days IS NULL THEN 'no model has been retrained by this pipeline yet'
-    WHEN days >= 8 THEN 'scheduled cadence elapsed (' || printf('%.1f', days) || ' days >= 8)' ELSE 'last retrain ' || printf('%.1f', days) || ' days ago, cadence is 8 days' END AS due_reason FROM d""")
+  CASE WHEN raised_at IS NOT NULL THEN 'flag' WHEN days IS NULL THEN 'never' WHEN days >= 8 THEN 'cadence' ELSE 'fresh' END AS due_code,
+  CASE WHEN raised_at IS NOT NULL THEN 'open drift flag of ' || strftime(raised_at, '%Y-%m-%d %H:%M') || ': ' || reason WHEN days IS NULL THEN 'no successful retrain on record'
+    WHEN days >= 8 THEN printf('%.1f', days) || ' days since the last success; the cadence is 8' ELSE printf('%.1f', days) || ' of 8 days since the last success' END AS due_reason FROM d""")
 def _(spark, sf):
     e = fr.pipeline_events(spark, sf)
     known = fr.events(spark, sf).select(F.concat(F.lit("u"), F.col("user_id") % 45).alias("series_id")).distinct()
@@ -383,8 +383,8 @@ def _(spark, sf):
 GATE = """, cand AS (SELECT r.run_id, r.model_name, r.version, CASE WHEN o.o_orderkey % 13 = 0 THEN 'nan'::DOUBLE ELSE r.mape END AS candidate, r.naive, k.mape AS champion
   FROM runs r JOIN orders o ON 'r' || o.o_orderkey = r.run_id LEFT JOIN (SELECT c.model_name, x.mape FROM champions c JOIN runs x ON x.run_id = c.run_id) k ON k.model_name = r.model_name),
 gate AS (SELECT *, CASE WHEN isnan(candidate) THEN false WHEN candidate >= naive THEN false WHEN champion IS NULL THEN true WHEN candidate > champion * 1.02 THEN false ELSE true END AS promote,
-  CASE WHEN isnan(candidate) THEN 'candidate metric is not a finite number' WHEN candidate >= naive THEN 'candidate does not beat the naive baseline' WHEN champion IS NULL THEN 'no champion yet'
-    WHEN candidate > champion * 1.02 THEN 'candidate regresses' ELSE 'candidate stays within' END AS verdict FROM cand)
+  CASE WHEN isnan(candidate) THEN 'candidate_invalid' WHEN candidate >= naive THEN 'worse_than_naive' WHEN champion IS NULL THEN 'first'
+    WHEN candidate > champion * 1.02 THEN 'regression' ELSE 'accepted' END AS gate_code FROM cand)
 """
 
 
@@ -396,15 +396,9 @@ def _gate(spark, sf):
     return lifecycle.promotion_decision(cand)
 
 
-@query("c32_promotion_decision", GATE + "SELECT run_id, candidate, naive, champion, promote, verdict FROM gate", "candidate naive champion")
+@query("c32_promotion_decision", GATE + "SELECT run_id, candidate, naive, champion, promote, gate_code FROM gate", "candidate naive champion")
 def _(spark, sf):
-    r = F.col("gate_reason")
-    verdict = (
-        F.when(r.contains("not a finite"), r).when(r.contains("does not beat"), "candidate does not beat the naive baseline")
-        .when(r.contains("no champion yet"), "no champion yet").when(r.contains("regresses"), "candidate regresses")
-        .otherwise("candidate stays within")
-    )
-    return _gate(spark, sf).select("run_id", "candidate", "naive", "champion", "promote", verdict.alias("verdict"))
+    return _gate(spark, sf).select("run_id", "candidate", "naive", "champion", "promote", "gate_code")
 
 
 @query("c33_champion_metric", "SELECT c.model_name, c.alias, c.version, c.run_id, CASE WHEN r.data_source = 'ingested' THEN r.mape END AS champion FROM champions c LEFT JOIN runs r ON r.run_id = c.run_id", "champion")
@@ -412,9 +406,9 @@ def _(spark, sf):
     return lifecycle.champion_metric(fr.aliases(spark, sf), fr.runs(spark, sf), "mape", "ingested")
 
 
-@query("c34_apply_gate", GATE + ", moves AS (SELECT model_name, arg_max(version, version) AS version FROM gate WHERE promote GROUP BY 1) SELECT c.model_name, coalesce(m.version, c.version) AS version, (SELECT count(*) FROM gate g WHERE g.model_name = c.model_name) AS decisions FROM (SELECT DISTINCT model_name FROM gate) d LEFT JOIN champions x USING (model_name) LEFT JOIN moves m USING (model_name) JOIN LATERAL (SELECT d.model_name AS model_name, x.version AS version) c ON true WHERE coalesce(m.version, c.version) IS NOT NULL")
+@query("c34_apply_gate", GATE + ", moves AS (SELECT model_name, arg_min(version, candidate) AS version FROM gate WHERE promote GROUP BY 1) SELECT c.model_name, coalesce(m.version, c.version) AS version, (SELECT count(*) FROM gate g WHERE g.model_name = c.model_name) AS decisions FROM (SELECT DISTINCT model_name FROM gate) d LEFT JOIN champions x USING (model_name) LEFT JOIN moves m USING (model_name) JOIN LATERAL (SELECT d.model_name AS model_name, x.version AS version) c ON true WHERE coalesce(m.version, c.version) IS NOT NULL")
 def _(spark, sf):
-    """Every decision is recorded; the alias is where the last promotion left it."""
+    """Every decision is recorded; of a model's promoted candidates the best gets the alias."""
     log, moves = lifecycle.apply_gate(_gate(spark, sf), "2010-01-01")
     now = lifecycle.current_alias(fr.aliases(spark, sf).unionByName(moves))
     counts = log.groupBy("model_name").agg(F.count(F.lit(1)).alias("decisions"))
@@ -447,7 +441,11 @@ def _(spark, sf):
     return scores.present_in_order(scores.overall(long))
 
 
-@query("c39_record_check", C27, "drift_share rolling_mape")
+FLAGGED = C27.replace("SELECT series_id, ce AS checked_at,", ", chk AS (SELECT series_id, ce AS checked_at,", 1) + """)
+SELECT series_id, 'check_drift' AS pipeline, 'success' AS event, checked_at AS "at" FROM chk UNION ALL SELECT series_id, 'retrain', 'raise', checked_at FROM chk WHERE status = 'drift'"""
+
+
+@query("c39_record_check", C27.replace(" AS reason_codes FROM j", " AS rc FROM j").replace("SELECT series_id, ce AS checked_at,", ", chk AS (SELECT series_id, ce AS checked_at,", 1) + ") SELECT * EXCLUDE (rc) FROM chk", "drift_share rolling_mape")
 def _(spark, sf):
     """The checks as read back from the appended history."""
     path, flags = shared_dir(spark, "history"), shared_dir(spark, "events")
@@ -459,24 +457,43 @@ def _(spark, sf):
     )
 
 
+@query("c39_raised_flags", FLAGGED)
+def _(spark, sf):
+    """The events of a recorded check: a success per series, a flag per drifted one."""
+    path, flags = shared_dir(spark, "history"), shared_dir(spark, "events")
+    monitoring.record_check(_drift_checks(spark, sf), path, flags)
+    return tables.read(spark, flags, tables.EVENTS).select("series_id", "pipeline", "event", "at")
+
+
 C40 = """, e AS (SELECT series_id, max(target_time) AS m FROM preds GROUP BY 1), s AS (SELECT p.* FROM standing p JOIN e USING (series_id) WHERE target_time BETWEEN m - INTERVAL 400 DAY AND m)
 SELECT e.series_id, count(id) AS scored, CASE WHEN count(id) = 0 THEN 'empty' WHEN count(id) >= 40 THEN 'measuring' ELSE 'accumulating' END AS status,
-  CASE WHEN count(id) >= 40 THEN avg(ape) * 100 END AS model_mape, CASE WHEN count(id) >= 40 THEN avg(abs((actual_mw - tso_mw) / nullif(actual_mw, 0))) * 100 END AS tso_mape,
-  CASE WHEN count(id) >= 40 THEN avg(ape) * 100 - avg(abs((actual_mw - tso_mw) / nullif(actual_mw, 0))) * 100 END AS gap FROM e LEFT JOIN s USING (series_id) GROUP BY 1"""
+  count(id) >= 40 AS sufficient, avg(ape) * 100 AS model_mape, avg(abs((actual_mw - tso_mw) / nullif(actual_mw, 0))) * 100 AS tso_mape,
+  avg(ape) * 100 - avg(abs((actual_mw - tso_mw) / nullif(actual_mw, 0))) * 100 AS gap FROM e LEFT JOIN s USING (series_id) GROUP BY 1"""
 
 
 @query("c40_evaluate", C40, "model_mape tso_mape gap")
 def _(spark, sf):
     table = pred.evaluate(fr.predictions(spark, sf), fr.history(spark, sf), window_days=400, min_scored=40)
-    return table.select("series_id", "scored", "status", "model_mape", "tso_mape", "gap")
+    return table.select("series_id", "scored", "status", "sufficient", "model_mape", "tso_mape", "gap")
 
 
-@query("c42_ingest_twice", "SELECT series_id, name, severity, n FROM (SELECT series_id, 'load missing' AS name, 'warning' AS severity, count(*) AS n FROM canon WHERE load_mw IS NULL GROUP BY 1 UNION ALL SELECT series_id, 'load present but TSO forecast missing', 'error', count(*) FROM canon WHERE load_mw IS NOT NULL AND tso_forecast_mw IS NULL GROUP BY 1 UNION ALL SELECT series_id, 'schema: load_mw failed in_range(10000, 30000)', 'error', count(*) FROM canon WHERE NOT load_mw BETWEEN 10000 AND 30000 GROUP BY 1 UNION ALL SELECT series_id, 'schema: tso_forecast_mw failed in_range(10000, 30000)', 'error', count(*) FROM canon WHERE NOT tso_forecast_mw BETWEEN 10000 AND 30000 GROUP BY 1)")
-def _(spark, sf):
-    """The same pull ingested twice: the second run changes nothing."""
+def _ingested(spark, sf):
     path, marks = shared_dir(spark, "dataset"), shared_dir(spark, "marks")
     load, w = fr.load_frame(spark, sf), fr.weather(spark, sf)
     for _ in range(2):
         issues = dataset.ingest(spark, path, load, w, "run-test", marks, "2024-02-01")
-    return issues.select("series_id", "name", "severity", "n")
+    return path, issues
+
+
+@query("c42_ingest_twice", "SELECT * FROM canon", CANON)
+def _(spark, sf):
+    """The stored table after the same pull twice: the second run changes nothing."""
+    path, _ = _ingested(spark, sf)
+    return canonical.read_periods(spark, path)
+
 
+@query("c42_ingest_issues", "SELECT series_id, name, severity, n FROM (SELECT series_id, 'load missing' AS name, 'warning' AS severity, count(*) AS n FROM canon WHERE load_mw IS NULL GROUP BY 1 UNION ALL SELECT series_id, 'load present but TSO forecast missing', 'error', count(*) FROM canon WHERE load_mw IS NOT NULL AND tso_forecast_mw IS NULL GROUP BY 1 UNION ALL SELECT series_id, 'schema: load_mw failed in_range(10000, 30000)', 'error', count(*) FROM canon WHERE NOT load_mw BETWEEN 10000 AND 30000 GROUP BY 1 UNION ALL SELECT series_id, 'schema: tso_forecast_mw failed in_range(10000, 30000)', 'error', count(*) FROM canon WHERE NOT tso_forecast_mw BETWEEN 10000 AND 30000 GROUP BY 1)")
+def _(spark, sf):
+    """The issues of the whole stored table after an ingest."""
+    _, issues = _ingested(spark, sf)
+    return issues.select("series_id", "name", "severity", "n")

@@ -6,17 +6,18 @@ from pyspark.sql import functions as F
 
 from loadloom.functions.names import feature_columns
 from loadloom.operators import scores, splits
-from loadloom.plans import evaluation, features, lifecycle, models, predictions as pred
+from loadloom.operators.scores import WEATHER_TREES
+from loadloom.plans import evaluation, features, lifecycle, models, predictions as pred, training
 from loadloom.session import shared_dir, through_table
 from loadloom.sources import tables
 
 from . import frames as fr
-from .base_sql import lead
+from .base_sql import lag, lead, rolling
+from .q_jobs import FLAGS
 from .q_joins import SPLITS
 from .registry import query
 
 SCHEDULE = {"initial_train_days": 12, "test_days": 4, "step_days": 4}
-SMALL_TREES = {"maxIter": 6, "maxDepth": 3}
 NAMES = features.feature_names(24)
 LINEAR = feature_columns(NAMES, include_lags=False)
 
@@ -76,7 +77,7 @@ FROM ok JOIN fit ON fit.series_id = ok.series_id AND ok.ts BETWEEN test_start AN
 def _(spark, sf):
     """Every origin of every series refitted in one pass; overlapping blocks, last one wins."""
     h = fr.history(spark, sf)
-    table = through_table(splits.rolling_origins(h, 24, 730, 42, 28, max_splits=26), "splits")
+    table = through_table(splits.rolling_origins(h, 24, 730, 42, 28), "splits")
     served = evaluation.linear_by_origin(_pairs(spark, sf), table, ["tso_forecast_mw"])
     return served.select("series_id", "ts", "origin_no", (F.col("y_pred") / 1000).alias("prediction_gw"))
 
@@ -84,14 +85,14 @@ def _(spark, sf):
 @query("m2_boosted_trees")
 def _(spark, sf):
     train, later = _train_later(spark, sf)
-    fitted = models.fit_trees(train, later, NAMES, params=SMALL_TREES)
+    fitted = models.fit_trees(train, later, NAMES)
     return fitted.predict(later).select("series_id", "ts", "target", "prediction")
 
 
 @query("a20_feature_importance")
 def _(spark, sf):
     train, later = _train_later(spark, sf)
-    fitted = models.fit_trees(train, later, NAMES, params=SMALL_TREES)
+    fitted = models.fit_trees(train, later, NAMES)
     return models.feature_importance(spark, fitted).orderBy(F.desc("gain"))
 
 
@@ -113,29 +114,30 @@ def _(spark, sf):
 @query("m4_parameter_search")
 def _(spark, sf):
     train, later = _train_later(spark, sf)
-    _, trials = models.tune(train, later, NAMES, {"maxDepth": [2, 3], "maxIter": [4]})
+    _, trials = models.tune(train, later, NAMES, {"maxDepth": [3, 5], "stepSize": [0.1]})
     return spark.createDataFrame(
         [(str(sorted(p.items())), float(m)) for p, m in trials], "params string, validation_mape double"
     )
 
 
-@query("m5_m8_train_variants")
+def _trained(spark, sf):
+    stored = fr.stored(spark, sf)
+    f = through_table(features.make_features(stored, 24), "features")
+    labelled = through_table(splits.chronological_split(f, 6, 24), "labelled")
+    none = spark.createDataFrame([], tables.RUNS)
+    return stored, training.train(labelled, NAMES, evaluation.references(stored), none, "load_trees", dataset_version="data-1")
+
+
+@query("m5_m8_train_variants", "SELECT * FROM (VALUES ('trees_calendar', 'load_trees', '1', 24::BIGINT, true, true), ('trees_weather', 'load_trees', '2', 24, true, true)) v(name, model_name, version, horizon, all_metrics, band_scored)")
 def _(spark, sf):
-    """Calendar-only and weather variants, scored on the later block, as run records."""
-    train, later = _train_later(spark, sf)
-    records = None
-    for name, columns in (("trees_calendar", feature_columns(NAMES, include_weather=False)), ("trees_weather", NAMES)):
-        fitted = models.fit_trees(train, later, columns, params=SMALL_TREES)
-        scored = fitted.predict(later).select(F.lit(name).alias("model"), F.col("target").alias("y_true"), F.col("prediction").alias("y_pred"))
-        m = scores.point_metrics(scored).first()
-        record = models.run_record(
-            spark, name, 24, "data-1", columns, "ingested", fitted.params, {k: m[k] for k in ("mape", "rmse_mw", "mae_mw", "bias_mw")}
-        )
-        records = record if records is None else records.unionByName(record)
+    """Every variant has a run row with its own version, all metrics and the band's loss."""
     path = shared_dir(spark, "runs")
-    tables.append(records, path, tables.RUNS)
-    stored = tables.read(spark, path, tables.RUNS)
-    return stored.select("name", "feature_set", "horizon", F.element_at("metrics", "mape").alias("mape"))
+    tables.append(_trained(spark, sf)[1].runs, path, tables.RUNS)
+    has = lambda *names: F.size(F.array_intersect(F.map_keys("metrics"), F.array(*[F.lit(n) for n in names]))) == len(names)
+    return tables.read(spark, path, tables.RUNS).select(
+        "name", "model_name", "version", "horizon", has(*training.METRICS, "naive_mape").alias("all_metrics"),
+        has("pinball_p10", "pinball_p50", "pinball_p90").alias("band_scored"),
+    )
 
 
 @query("m6_reference_from_column", "SELECT series_id, ts, tso_forecast_mw AS day_ahead_reference FROM canon", "day_ahead_reference")
@@ -143,26 +145,37 @@ def _(spark, sf):
     return evaluation.references(fr.stored(spark, sf)).select("series_id", "ts", "day_ahead_reference")
 
 
-@query("m7_c13_forecast_records")
+CUT = "2024-01-25 12:00:00"
+SERVED = f""", last AS (SELECT series_id, max(ts) AS m FROM canon WHERE ts <= TIMESTAMP '{CUT}' AND load_mw IS NOT NULL GROUP BY 1),
+want AS (SELECT series_id, m + to_hours(k) AS ts FROM last, range(1, 25) t(k)),
+serve AS (SELECT series_id, ts, CASE WHEN ts <= TIMESTAMP '{CUT}' THEN load_mw END AS load_mw, temp_c, wind_ms, cloud_cover FROM canon),
+l AS (SELECT *, {", ".join(f"{lag(n)} AS l{n}" for n in (24, 25, 48, 168, 192))}, {rolling("avg")} AS rm, {rolling("stddev_samp")} AS rs FROM serve)
+SELECT w.series_id, TIMESTAMP '2024-01-25 12:30:00' AS predicted_at, w.ts AS target_time, 24::BIGINT AS horizon_hours, '2' AS model_version, true AS has_point, true AS ordered_band
+FROM want w JOIN l ON l.series_id = w.series_id AND l.ts = w.ts
+WHERE l24 + l25 + l48 + l168 + l192 + rm + rs + temp_c + wind_ms + cloud_cover IS NOT NULL"""
+
+
+@query("m7_c13_forecast_records", SERVED)
 def _(spark, sf):
-    """Fit, band, forecast the reachable hours, append to the log, read back."""
-    stored = fr.stored(spark, sf)
-    train, later = _train_later(spark, sf)
-    fitted = models.fit_trees(train, later, NAMES, params=SMALL_TREES, version="7", run_id="run-7")
-    cut = F.lit("2024-01-25 12:00:00").cast("timestamp")
+    """Train, forecast the reachable hours with their band, append to the log, read back."""
+    stored, trained = _trained(spark, sf)
+    cut = F.lit(CUT).cast("timestamp")
     history = stored.filter(F.col("ts") <= cut)
     weather = stored.filter(F.col("ts") > cut).select("series_id", "ts", "temp_c", "wind_ms", "cloud_cover", "humidity_pct")
     path = shared_dir(spark, "forecast-log")
-    tables.append_predictions(pred.forecast(history, weather, fitted, "2024-01-25 12:30:00"), path)
+    tables.append_predictions(pred.forecast(history, weather, trained.by_version("2"), "2024-01-25 12:30:00"), path)
     log = tables.in_log_order(tables.read_predictions(spark, path))
-    return log.select("series_id", "predicted_at", "target_time", "horizon_hours", "load_mw", "model_version", "run_id")
+    return log.select(
+        "series_id", "predicted_at", "target_time", "horizon_hours", "model_version",
+        F.col("load_mw").isNotNull().alias("has_point"), F.expr("p10 <= p50 AND p50 <= p90").alias("ordered_band"),
+    )
 
 
 @query("c17_rolling_origin_backtest")
 def _(spark, sf):
     """References, linear and boosted trees over rolling origins, on common hours."""
     long = evaluation.run_backtest(
-        fr.stored(spark, sf), 24, **SCHEDULE, max_splits=2, trees=[], tuned_params=SMALL_TREES, inner_validation_days=4
+        fr.stored(spark, sf), 24, **SCHEDULE, trees=[WEATHER_TREES], inner_validation_days=4
     )
     return scores.overall(long)
 
@@ -204,14 +217,22 @@ def _(spark, sf):
     return evaluation.audit_table(evaluation.audit(frame, archived, **SCHEDULE))
 
 
-@query("c41_retrain_job")
-def _(spark, sf):
-    """Due, fit, gate, then clear the flag and record the success."""
-    events = fr.pipeline_events(spark, sf)
-    out = lifecycle.retrain(
-        fr.stored(spark, sf), events, fr.aliases(spark, sf), fr.runs(spark, sf), owner="u3", model_name="m3",
-        now="2024-02-01", validation_days=6, params=SMALL_TREES,
-    )
-    return out.events.select("pipeline", "event", "at").unionByName(
-        out.decisions.select(F.lit("gate").alias("pipeline"), F.col("promote").cast("string").alias("event"), "at")
+C41 = FLAGS + """, known AS (SELECT DISTINCT 'u' || (user_id % 45) AS series_id FROM events),
+ls AS (SELECT series_id, max("at") AS s FROM pevents WHERE pipeline = 'retrain_if_needed' AND event = 'success' GROUP BY 1),
+due AS (SELECT k.series_id FROM known k LEFT JOIN fl USING (series_id) LEFT JOIN ls USING (series_id)
+  WHERE raised_at IS NOT NULL OR s IS NULL OR epoch_us(TIMESTAMP '2024-02-01') - epoch_us(s) >= 7 * 86400000000)
+SELECT series_id, p AS pipeline, e AS event, TIMESTAMP '2024-02-01' AS "at" FROM due, (VALUES ('retrain', 'clear'), ('retrain_if_needed', 'success')) v(p, e)"""
+
+
+def _retrained(spark, sf):
+    owners = fr.events(spark, sf).select(F.concat(F.lit("u"), F.col("user_id") % 45).alias("series_id")).distinct()
+    return lifecycle.retrain(
+        fr.stored(spark, sf), fr.pipeline_events(spark, sf), fr.aliases(spark, sf), fr.runs(spark, sf), "m3",
+        "2024-02-01", owners, validation_days=6,
     )
+
+
+@query("c41_retrain_job", C41)
+def _(spark, sf):
+    """Everyone who is due: one training, then their flags are cleared and successes recorded."""
+    return _retrained(spark, sf).events

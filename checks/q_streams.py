@@ -28,50 +28,52 @@ def _folder_stream(df, name):
     return streams.read_stream(spark, path, df.schema)
 
 
-CUT = "(SELECT max(ts) - INTERVAL 14 DAY FROM readings)"
-
-
-@query("x1_hourly_stream", f"SELECT * FROM (SELECT series_id, date_trunc('hour', ts) AS ts, avg(value) AS load_mw, count(*) AS readings FROM readings GROUP BY ALL) WHERE ts + INTERVAL 1 HOUR <= {CUT}", "load_mw")
+@query("x1_hourly_stream", "SELECT series_id, date_trunc('hour', ts) AS ts, avg(value) AS load_mw, count(*) AS readings FROM readings GROUP BY ALL", "load_mw")
 def _(spark, sf):
-    """Append mode emits only hours older than the watermark; the oracle cuts there too."""
-    return streams.run_available(streams.hourly_stream(_readings_stream(spark, sf)), "x1")
+    return streams.run_upserted(streams.hourly_stream(_readings_stream(spark, sf)), "x1", ["series_id", "ts"])
 
 
-@query("x2_revised_hourly_stream", f"SELECT * FROM (SELECT series_id, date_trunc('hour', ts) AS ts, avg(value) AS load_mw, count(*) AS slots FROM slots GROUP BY ALL) WHERE ts + INTERVAL 1 HOUR <= {CUT}", "load_mw")
+@query("x2_revised_hourly_stream", "SELECT series_id, date_trunc('hour', ts) AS ts, avg(value) AS load_mw, count(*) AS slots FROM slots GROUP BY ALL", "load_mw")
 def _(spark, sf):
-    return streams.run_available(streams.revised_hourly_stream(_readings_stream(spark, sf)), "x2")
+    slots = streams.run_upserted(streams.revised_slots_stream(_readings_stream(spark, sf)), "x2", ["series_id", "ts"])
+    return streams.hourly_of_slots(slots)
 
 
 @query("x3_score_upsert_stream", "SELECT prediction_id, actual_mw, ape FROM scores", "actual_mw ape")
 def _(spark, sf):
-    p = fr.predictions(spark, sf)
-    actuals = _folder_stream(fr.history(spark, sf).coalesce(2), "actuals")
-    done = streams.rescore_stream(actuals, p, shared_dir(spark, "stream-scores"))
+    """Two revisions of every hour, the wrong one first; a micro-batch for each file."""
+    p, h = fr.predictions(spark, sf), fr.history(spark, sf)
+    first = h.withColumn("load_mw", F.col("load_mw") * 2).withColumn("seq", F.lit(1))
+    both = first.unionByName(h.withColumn("seq", F.lit(2)))
+    path = shared_dir(spark, "actuals")
+    both.repartition(4, F.year("ts")).write.parquet(path)
+    actuals = streams.read_stream(spark, path, both.schema, files_per_trigger=2)
+    done = streams.rescore_stream(actuals, p, shared_dir(spark, "stream-scores"), arrival="seq")
     return done.select("prediction_id", "actual_mw", "ape")
 
 
 X4 = """, b AS (SELECT series_id, ape, unnest(generate_series(CAST(floor(epoch(target_time) / 86400) AS BIGINT) - 13, CAST(floor(epoch(target_time) / 86400) AS BIGINT))) AS d FROM standing)
 SELECT series_id, make_timestamp(d * 86400000000) AS window_start, make_timestamp((d + 14) * 86400000000) AS window_end, count(*) AS scored, avg(ape) * 100 AS model_mape
-FROM b GROUP BY ALL HAVING make_timestamp((d + 14) * 86400000000) <= (SELECT max(target_time) - INTERVAL 14 DAY FROM standing)"""
+FROM b GROUP BY ALL"""
 
 
 @query("x4_sliding_performance_stream", X4, "model_mape")
 def _(spark, sf):
     p = fr.predictions(spark, sf)
     standing = pred.scored_predictions(p, pred.score(p, fr.history(spark, sf))).select("series_id", "target_time", "ape")
-    return streams.run_available(streams.sliding_performance_stream(_folder_stream(standing, "standing")), "x4")
+    windows = streams.sliding_performance_stream(_folder_stream(standing, "standing"))
+    return streams.run_upserted(windows, "x4", ["series_id", "window_start"])
 
 
 X5 = """, m AS (SELECT series_id, ts FROM spine EXCEPT SELECT series_id, ts FROM hourly),
 g AS (SELECT *, CAST(epoch(ts) / 3600 AS BIGINT) - row_number() OVER (PARTITION BY series_id ORDER BY ts) AS k FROM m)
-SELECT series_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS hours FROM g GROUP BY series_id, k
-HAVING max(ts) + INTERVAL 1 HOUR + INTERVAL 1 SECOND <= (SELECT max(ts) - INTERVAL 14 DAY FROM m)"""
+SELECT series_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS hours FROM g GROUP BY series_id, k"""
 
 
 @query("x5_outage_session_stream", X5)
 def _(spark, sf):
     missing = spine.missing_hours(fr.hourly(spark, sf))
-    return streams.run_available(streams.outage_sessions_stream(_folder_stream(missing, "missing")), "x5")
+    return streams.run_complete(streams.outage_sessions_stream(_folder_stream(missing, "missing")), "x5")
 
 
 @query("x6_prediction_actual_stream_join", "SELECT p.id, p.series_id, p.target_time, p.load_mw, h.load_mw AS actual_mw FROM preds p JOIN hist h ON h.series_id = p.series_id AND h.ts = p.target_time", "load_mw actual_mw")

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadloom.session import default_shared_dir
+
 from .base_sql import BASE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 DIGITS = 6
+#: Working folder of a local session that names none.
+SCRATCH = f"/tmp/loadloom-{os.getpid()}"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -37,6 +42,7 @@ def query(name: str, sql: str | None = None, floats: str = ""):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            default_shared_dir(spark, SCRATCH)
             return plain(fn(spark, sf_dir))
 
         run.__name__, run.__doc__ = name, fn.__doc__

@@ -1,77 +1,74 @@
-"""The public-holiday calendar as a small dimension table."""
+"""The public-holiday calendar."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import DEFAULT_TZ
 from .clock import local_time
 
-# The Polish public holidays (month, day, first year, last year or None).
+# The Polish public holidays (month, day, first year or None).
 FIXED_DATE_HOLIDAYS = (
-    (1, 1, 1990, None),
-    (1, 6, 2011, None),
-    (5, 1, 1990, None),
-    (5, 3, 1990, None),
-    (8, 15, 1990, None),
-    (11, 1, 1990, None),
-    (11, 11, 1990, None),
-    (12, 24, 2025, None),
-    (12, 25, 1990, None),
-    (12, 26, 1990, None),
+    (1, 1, None),
+    (1, 6, 2011),
+    (5, 1, None),
+    (5, 3, 1990),
+    (8, 15, 1990),
+    (11, 1, None),
+    (11, 11, 1990),
+    (12, 24, 2025),
+    (12, 25, None),
+    (12, 26, None),
 )
 # Days after Easter Sunday (Sunday, Monday, Pentecost, Corpus Christi).
 EASTER_OFFSETS = (0, 1, 49, 60)
-FIRST_YEAR, LAST_YEAR = 1990, 2100
-
-
-# Gregorian Easter by integer arithmetic: golden year, epact, then days to the Sunday.
-EASTER_SQL = """
-WITH years AS (
-  SELECT y, y % 19 AS golden, y div 100 AS c, y % 100 AS yy
-  FROM (SELECT cast(id AS int) AS y FROM range({first}, {last} + 1, 1, 1))),
-moon AS (
-  SELECT *, (19 * golden + c - c div 4 - (c - (c + 8) div 25 + 1) div 3 + 15) % 30 AS epact FROM years),
-week AS (
-  SELECT *, (32 + 2 * (c % 4) + 2 * (yy div 4) - epact - yy % 4) % 7 AS shift FROM moon),
-day AS (
-  SELECT y, epact + shift - 7 * ((golden + 11 * epact + 22 * shift) div 451) + 114 AS code FROM week)
-SELECT y AS year, make_date(y, cast(code div 31 AS int), cast(code % 31 + 1 AS int)) AS easter FROM day
-"""
 
 
-def easter_sundays(spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
-    return spark.sql(EASTER_SQL.format(first=int(first), last=int(last)))
+def easter_sunday(year: Column) -> Column:
+    """Gregorian Easter of any year, by integer arithmetic: golden year, epact, then days to
+    the Sunday."""
+    golden, c, yy = year % 19, F.floor(year / 100), year % 100
+    epact = (19 * golden + c - F.floor(c / 4) - F.floor((c - F.floor((c + 8) / 25) + 1) / 3) + 15) % 30
+    shift = (32 + 2 * (c % 4) + 2 * F.floor(yy / 4) - epact - yy % 4) % 7
+    code = epact + shift - 7 * F.floor((golden + 11 * epact + 22 * shift) / 451) + 114
+    return F.make_date(year.cast("int"), F.floor(code / 31).cast("int"), (code % 31 + 1).cast("int"))
 
 
-def holiday_dimension(
-    spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_YEAR
-) -> DataFrame:
-    """One row per public holiday: at most 14 rows a year, so its size is fixed."""
+def is_public_holiday(day: Column) -> Column:
+    """Whether a date is a public holiday, from its own year alone: no range, no join."""
+    month, dom, year = F.month(day), F.dayofmonth(day), F.year(day)
     fixed = [
-        F.when(
-            F.col("year").between(since, until or 9999), F.make_date("year", F.lit(month), F.lit(day))
-        )
-        for month, day, since, until in FIXED_DATE_HOLIDAYS
+        (month == m) & (dom == d) & (F.lit(True) if since is None else year >= since) for m, d, since in FIXED_DATE_HOLIDAYS
     ]
-    movable = [F.date_add("easter", n) for n in EASTER_OFFSETS]
-    # 1 or 3 May may coincide with a movable feast, hence the distinct.
-    every = F.array_distinct(F.array_compact(F.array(*fixed, *movable)))
-    return easter_sundays(spark, first, last).select(F.explode(every).alias("holiday_date"))
+    movable = F.datediff(day, easter_sunday(year)).isin(*EASTER_OFFSETS)
+    return reduce(lambda a, b: a | b, fixed, movable)
+
+
+def holiday_dimension(spark: SparkSession, first: int, last: int) -> DataFrame:
+    """One row per public holiday of the given years: at most 14 rows a year."""
+    days = spark.range(1).select(
+        F.explode(F.sequence(F.make_date(F.lit(first), F.lit(1), F.lit(1)), F.make_date(F.lit(last), F.lit(12), F.lit(31)))).alias("holiday_date")
+    )
+    return days.where(is_public_holiday(F.col("holiday_date")))
 
 
 def with_holiday_flag(
     df: DataFrame, ts: str = "ts", tz: str = DEFAULT_TZ, name: str = "is_holiday",
     dimension: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join on the *local* date. The default dimension is fixed in size, so broadcast."""
+    """Flag by the *local* date; null times have a false flag.
+
+    The public calendar is an expression. A calendar of one's own (``dimension`` with
+    ``holiday_date``) is joined.
+    """
+    day = F.to_date(local_time(ts, tz))
     if dimension is None:
-        dimension = F.broadcast(holiday_dimension(df.sparkSession))
-    marked = dimension.select(F.col("holiday_date").alias("_holiday"))
-    joined = df.drop(name).join(
-        marked, F.to_date(local_time(ts, tz)) == F.col("_holiday"), "left"
-    )
+        return df.withColumn(name, F.coalesce(is_public_holiday(day), F.lit(False)))
+    marked = dimension.select(F.col("holiday_date").alias("_holiday")).distinct()
+    joined = df.drop(name).join(marked, day == F.col("_holiday"), "left")
     return joined.withColumn(name, F.col("_holiday").isNotNull()).drop("_holiday")
 
 

@@ -10,9 +10,25 @@ from pyspark.sql import functions as F
 
 from .. import KEYS, TS
 from ..functions.clock import hour_number
+from ..session import through_table
 from .blocks import block_of
 
 
+#: A side of at most so many rows, counted first, is broadcast.
+BROADCAST_ROWS = 50_000
+
+
+def with_scalars(df: DataFrame, scalars: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a few values per key onto a table. Runs a job: the values are stored and counted.
+
+    Up to ``BROADCAST_ROWS`` keys they are broadcast, so the table is not shuffled and one
+    hot key is not one task. Beyond that the join shuffles, and its skewed keys are split.
+    """
+    scalars = through_table(scalars, "scalars")
+    few = scalars.count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(scalars) if few else scalars, list(keys), how)
+
+
 def outer_align(left: DataFrame, right: DataFrame, keys=KEYS, ts: str = TS) -> DataFrame:
     """Full outer join: an hour known to either side is kept."""
     return left.join(right, [*keys, ts], "full")

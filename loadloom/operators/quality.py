@@ -12,7 +12,7 @@ from .islands import hour_runs
 from .latest import first_n_per_key
 from .spine import continuity
 
-# Plausible ranges, examples shown per issue, issue names.
+# Plausible ranges, default examples per issue, issue names.
 LOAD_MW_RANGE = (10000.0, 30000.0)
 TEMPERATURE_RANGE = (-35.0, 45.0)
 PERCENT_RANGE = (0.0, 100.0)
@@ -62,7 +62,9 @@ def violations(df: DataFrame, ranges=None, required: Sequence[str] = REQUIRED, k
     )
 
 
-def violation_counts(df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, ts: str = TS) -> DataFrame:
+def violation_counts(
+    df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, ts: str = TS, n_examples: int = MAX_EXAMPLES
+) -> DataFrame:
     """Counts and first examples per (key, column, check)."""
     found = violations(df, ranges, required, keys, ts)
     group = [*keys, "column", "check_name"]
@@ -70,16 +72,16 @@ def violation_counts(df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, t
     shown = found.withColumn(
         "example", F.concat_ws("  ", F.date_format(ts, "yyyy-MM-dd HH:mm"), F.coalesce("value", F.lit("null")))
     )
-    return counts.join(first_examples(shown, group, [ts, "value"]), group, "left")
+    return counts.join(first_examples(shown, group, [ts, "value"], n_examples), group, "left")
 
 
-def first_examples(shown: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first eight examples per group in order, as an array.
+def first_examples(shown: DataFrame, group: Sequence[str], order: Sequence[str], n_examples: int = MAX_EXAMPLES) -> DataFrame:
+    """The first ``n_examples`` per group in order, as an array: a report's illustration.
 
-    The row-number filter is pushed below the shuffle as a group limit, so a rule broken
-    by most rows still sends eight rows per task and collects at most eight.
+    ``violations`` and ``hour_runs`` give every one. The row-number filter is pushed below
+    the shuffle as a group limit, so a rule broken by most rows sends few rows per task.
     """
-    top = first_n_per_key(shown, group, order, MAX_EXAMPLES)
+    top = first_n_per_key(shown, group, order, n_examples)
     return top.groupBy(*group).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("position", "example"))), lambda x: x["example"]
@@ -87,7 +89,7 @@ def first_examples(shown: DataFrame, group: Sequence[str], order: Sequence[str])
     )
 
 
-def _run_issue(runs: DataFrame, name: str, severity: str, keys) -> DataFrame:
+def _run_issue(runs: DataFrame, name: str, severity: str, keys, n_examples: int = MAX_EXAMPLES) -> DataFrame:
     """One issue per key from runs of hours: hours in total, and runs as examples."""
     shown = runs.withColumn(
         "example",
@@ -98,21 +100,23 @@ def _run_issue(runs: DataFrame, name: str, severity: str, keys) -> DataFrame:
     )
     counts = shown.groupBy(*keys).agg(F.sum("hours").alias("n"), F.count(F.lit(1)).alias("groups"))
     return (
-        counts.join(first_examples(shown, keys, ["first_ts"]), list(keys), "left")
+        counts.join(first_examples(shown, keys, ["first_ts"], n_examples), list(keys), "left")
         .select(*keys, F.lit(name).alias("name"), F.lit(severity).alias("severity"), "n", "groups", "examples")
     )
 
 
-def cross_column_issues(df: DataFrame, keys=KEYS, ts: str = TS) -> DataFrame:
+def cross_column_issues(df: DataFrame, keys=KEYS, ts: str = TS, n_examples: int = MAX_EXAMPLES) -> DataFrame:
     """Load without a reference forecast is an error; load missing is a warning."""
     no_reference = df.filter("load_mw IS NOT NULL AND tso_forecast_mw IS NULL")
     no_load = df.filter("load_mw IS NULL")
-    return _run_issue(hour_runs(no_reference, keys, ts), NO_REFERENCE, "error", keys).unionByName(
-        _run_issue(hour_runs(no_load, keys, ts), NO_LOAD, "warning", keys)
+    return _run_issue(hour_runs(no_reference, keys, ts), NO_REFERENCE, "error", keys, n_examples).unionByName(
+        _run_issue(hour_runs(no_load, keys, ts), NO_LOAD, "warning", keys, n_examples)
     )
 
 
-def validate(df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, ts: str = TS) -> DataFrame:
+def validate(
+    df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, ts: str = TS, n_examples: int = MAX_EXAMPLES
+) -> DataFrame:
     """All issues per key: ``name, severity, n, groups, examples``. Empty means valid.
 
     ``groups`` is the number of runs or examples there are in total, so a reader can say
@@ -123,19 +127,19 @@ def validate(df: DataFrame, ranges=None, required=REQUIRED, keys=KEYS, ts: str =
     surplus = breaks.filter("kind = 'duplicate'").withColumn("example", F.date_format("first_ts", "yyyy-MM-dd HH:mm"))
     dups = (
         surplus.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .join(first_examples(surplus, keys, ["first_ts"]), keys, "left")
+        .join(first_examples(surplus, keys, ["first_ts"], n_examples), keys, "left")
         .select(
             *keys, F.lit(DUPLICATES).alias("name"), F.lit("error").alias("severity"),
             "n", F.col("n").alias("groups"), "examples",
         )
     )
-    schema = violation_counts(df, ranges, required, keys, ts).select(
+    schema = violation_counts(df, ranges, required, keys, ts, n_examples).select(
         *keys,
         F.concat(F.lit("schema: "), "column", F.lit(" failed "), "check_name").alias("name"),
         F.lit("error").alias("severity"), "n", F.col("n").alias("groups"), "examples",
     )
-    missing = _run_issue(breaks.filter("kind = 'gap'"), MISSING, "error", keys)
-    return dups.unionByName(missing).unionByName(schema).unionByName(cross_column_issues(df, keys, ts))
+    missing = _run_issue(breaks.filter("kind = 'gap'"), MISSING, "error", keys, n_examples)
+    return dups.unionByName(missing).unionByName(schema).unionByName(cross_column_issues(df, keys, ts, n_examples))
 
 
 def is_valid(issues: DataFrame) -> bool:
@@ -147,10 +151,15 @@ class ValidationError(ValueError):
     """Raised by ``raise_for_status`` when a table has error-level issues."""
 
 
-def raise_for_status(issues: DataFrame) -> None:
-    first = issues.filter("severity = 'error'").select("name", "n").take(5)
-    if first:
-        raise ValidationError("; ".join(f"{r['name']}: {r['n']}" for r in first))
+def raise_for_status(issues: DataFrame, shown: int = 5) -> None:
+    """Raise if there is an error-level issue; the message names ``shown`` of them and says
+    how many there are in total."""
+    errors = issues.filter("severity = 'error'")
+    total = errors.count()
+    if total:
+        first = errors.orderBy(F.desc("n"), "name").select("name", "n").take(shown)
+        listed = "; ".join(f"{r['name']}: {r['n']}" for r in first)
+        raise ValidationError(f"{total} issue(s): {listed}" + ("; and others" if total > len(first) else ""))
 
 
 def rows_per_year(df: DataFrame, keys=KEYS, ts: str = TS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import KEYS, TS
 from ..functions.clock import years_back
+from .align import with_scalars
 
 SEASONAL, TRAILING = "seasonal", "trailing"
 # Default monitoring settings.
@@ -45,13 +46,13 @@ def in_seasonal(ts: str, years: int, pad_days: int) -> Column:
 
 
 def trailing_reference(df, windows, current_days: int = CURRENT_DAYS, keys=KEYS, ts: str = TS) -> DataFrame:
-    return df.join(windows, list(keys)).filter(in_trailing(ts, current_days)).select(df.columns)
+    return with_scalars(df, windows, keys).filter(in_trailing(ts, current_days)).select(df.columns)
 
 
 def seasonal_reference(
     df, windows, years: int = YEARS_BACK, pad_days: int = PAD_DAYS, keys=KEYS, ts: str = TS
 ) -> DataFrame:
-    return df.join(windows, list(keys)).filter(in_seasonal(ts, years, pad_days)).select(df.columns)
+    return with_scalars(df, windows, keys).filter(in_seasonal(ts, years, pad_days)).select(df.columns)
 
 
 def tag_windows(
@@ -59,7 +60,7 @@ def tag_windows(
     current_days: int = CURRENT_DAYS, keys=KEYS, ts: str = TS,
 ) -> DataFrame:
     """Rows of any window, flagged current / seasonal / trailing, in one pass."""
-    tagged = df.join(windows, list(keys)).withColumns(
+    tagged = with_scalars(df, windows, keys).withColumns(
         {
             "in_current": F.col(ts).between(F.col("current_start"), F.col("current_end")),
             "in_seasonal": in_seasonal(ts, years, pad_days),
@@ -69,12 +70,37 @@ def tag_windows(
     return tagged.filter("in_current OR in_seasonal OR in_trailing")
 
 
+def within_reach(
+    df: DataFrame, windows: DataFrame, reach_hours: int, strategy: str = SEASONAL, years: int = YEARS_BACK,
+    pad_days: int = PAD_DAYS, current_days: int = CURRENT_DAYS, keys: Sequence[str] = KEYS, ts: str = TS,
+) -> DataFrame:
+    """Rows of the windows and of the ``reach_hours`` before them. Runs a job.
+
+    The earliest bound over all keys is also given as a literal, which a scan can use.
+    """
+    back = F.make_dt_interval(hours=F.lit(reach_hours))
+    spans = [(F.col("current_start") - days(current_days), F.col("current_end"))]
+    if strategy == SEASONAL:
+        spans += [
+            (years_back("current_start", y) - days(pad_days), years_back("current_end", y) + days(pad_days))
+            for y in range(1, years + 1)
+        ]
+    low = windows.agg(F.min(reduce(F.least, [a - back for a, _ in spans]))).first()[0]
+    inside = reduce(lambda a, b: a | b, [F.col(ts).between(a - back, b) for a, b in spans])
+    bounded = df if low is None else df.filter(F.col(ts) >= F.lit(low))
+    return with_scalars(bounded, windows, keys).filter(inside).select(df.columns)
+
+
 def choose_reference(
     tagged: DataFrame, strategy: str = SEASONAL, years: int = YEARS_BACK, pad_days: int = PAD_DAYS,
-    min_rows: int = MIN_ROWS, fallback_to_trailing: bool = True,
+    min_rows: int = MIN_ROWS, fallback_to_trailing: bool = False,
     current_days: int = CURRENT_DAYS, keys: Sequence[str] = KEYS, ts: str = TS,
 ) -> DataFrame:
-    """Per key: the strategy used, its rows and a text saying how it was chosen."""
+    """Per key: the strategy used, the rows of both and a text on the one used.
+
+    The asked strategy is used whatever its size. Only ``fallback_to_trailing`` lets a
+    seasonal reference below ``min_rows`` give way to the trailing one.
+    """
     per_year = [F.count_if(in_year(ts, y, pad_days)).alias(f"_y{y}") for y in range(1, years + 1)]
     counts = tagged.groupBy(*keys).agg(
         F.min("current_start").alias("current_start"),
@@ -109,6 +135,7 @@ def choose_reference(
         *keys, "current_start", "current_end", "current_rows",
         F.when(seasonal, SEASONAL).otherwise(TRAILING).alias("reference_strategy"),
         F.when(seasonal, F.col("_s")).otherwise(F.col("_t")).alias("reference_rows"),
+        F.col("_s").alias("seasonal_rows"), F.col("_t").alias("trailing_rows"),
         F.when(
             seasonal,
             F.concat(F.lit("same weeks in "), F.size(covered), F.lit(" previous year(s): "), listed),

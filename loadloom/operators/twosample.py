@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import through_table
 
-# The method switches with the size of the reference sample; a p-value
-# below its threshold or a distance at or above its threshold means drift.
-LARGE_SAMPLE_ROWS = 1000
+# A p-value below its threshold or a distance at or above its threshold
+# means drift.
 P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1
 MINIMUM_SPREAD = 0.001
@@ -154,25 +153,29 @@ def two_sample(
 
 
 def drift_verdict(
-    stats: DataFrame, large_sample_rows: int = LARGE_SAMPLE_ROWS,
+    stats: DataFrame, method: str = DISTANCE,
     p_threshold: float = P_VALUE_THRESHOLD, distance_threshold: float = DISTANCE_THRESHOLD,
 ) -> DataFrame:
-    """Pick the method by reference size, then read its value in the right direction."""
-    large = F.col("n_reference") > large_sample_rows
-    distance = F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(MINIMUM_SPREAD))
-    p = kolmogorov_p(F.col("ks"), F.col("n_current"), F.col("n_reference"))
-    return (
-        stats.withColumn("method", F.when(large, DISTANCE).otherwise(P_VALUE))
-        .withColumn("score", F.when(large, distance).otherwise(p))
-        .withColumn("threshold", F.when(large, distance_threshold).otherwise(p_threshold))
-        .withColumn("drifted", is_drifted("score", "method", "threshold"))
-    )
-
+    """Both scores and both verdicts of every row; ``method`` says which one is ``drifted``.
 
-def is_drifted(value: str, method: str, threshold: str) -> Column:
-    """A p-value drifts low, a distance drifts high."""
-    low = F.col(method).contains("p_value")
-    return F.when(low, F.col(value) < F.col(threshold)).otherwise(F.col(value) >= F.col(threshold))
+    The method is the caller's, the same for every group and at every size. A p-value
+    drifts low, a distance drifts high.
+    """
+    if method not in (P_VALUE, DISTANCE):
+        raise ValueError(f"method is {P_VALUE} or {DISTANCE}, not {method!r}")
+    judged = stats.withColumns(
+        {
+            P_VALUE: kolmogorov_p(F.col("ks"), F.col("n_current"), F.col("n_reference")),
+            DISTANCE: F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(MINIMUM_SPREAD)),
+        }
+    )
+    by_p, by_distance = F.col(P_VALUE) < p_threshold, F.col(DISTANCE) >= distance_threshold
+    return judged.withColumns(
+        {
+            "drifted_by_p_value": by_p, "drifted_by_distance": by_distance,
+            "method": F.lit(method), "drifted": by_p if method == P_VALUE else by_distance,
+        }
+    )
 
 
 def drift_share(verdicts: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -122,25 +122,38 @@ def rebuild_decision(
     )
 
 
-def _first_touched_period(stored: DataFrame, incoming: DataFrame, pattern: str) -> str | None:
-    """Earliest folder a merge can change: where a pulled series' new rows, or the hole
-    between its stored end and them, begin. One scalar for the driver."""
-    ends = stored.groupBy(*KEYS).agg(F.max(TS).alias("_end"))
-    starts = incoming.groupBy(*KEYS).agg(F.min(TS).alias("_start"))
-    first = starts.join(ends, list(KEYS), "left").select(F.least("_start", "_end").alias("_from"))
-    return first.agg(F.date_format(F.min("_from"), pattern).alias("p")).first()["p"]
+def touched_periods(stored: DataFrame, incoming: DataFrame, pattern: str, keys=KEYS, ts: str = TS) -> list[str]:
+    """Folders a merge can change, over all series: those of the pulled hours, and those of
+    the hole between a series' stored hours and them. A list of months or days for the driver.
+    """
+    hours = incoming.select(F.date_format(ts, pattern).alias("p")).distinct()
+    h = hour_number(ts)
+    spans = [d.groupBy(*keys).agg(F.min(h).alias(f"{n}_lo"), F.max(h).alias(f"{n}_hi")) for n, d in (("s", stored), ("i", incoming))]
+    both = spans[0].join(spans[1], list(keys))
+    # Hours after the stored end and before the pull, or after the pull and before the stored start.
+    hole = both.select(
+        F.explode(F.array(
+            F.struct((F.col("s_hi") + 1).alias("a"), (F.col("i_lo") - 1).alias("b")),
+            F.struct((F.col("i_hi") + 1).alias("a"), (F.col("s_lo") - 1).alias("b")),
+        )).alias("x")
+    ).select("x.*").filter("a <= b")
+    step = F.expr("INTERVAL 1 DAY")
+    days = F.sequence(F.to_date(F.timestamp_seconds(F.col("a") * 3600)), F.to_date(F.timestamp_seconds(F.col("b") * 3600)), step)
+    filled = hole.select(F.explode(days).alias("d")).select(F.date_format("d", pattern).alias("p")).distinct()
+    return sorted(r["p"] for r in hours.union(filled).distinct().collect())
 
 
 def ingest(
     spark, path: str, load: DataFrame, weather: DataFrame, run_id: str | None = None,
-    events_path: str | None = None, at=None, tz: str = DEFAULT_TZ, grain: str = "month",
+    events_path: str | None = None, at=None, tz: str = DEFAULT_TZ, grain: str = "month", whole: bool = True,
 ) -> DataFrame:
     """Merge one pull into the stored table, write, then record the success. Runs jobs.
 
-    The same pull twice gives the same table. Only the folders the pull can change are
-    read, merged and replaced; the merged rows are stored aside first, so the table is
-    never read and overwritten in one plan. Data is written also when it has issues: the
-    returned issue table describes the rewritten folders. The success marker comes last.
+    The same pull twice gives the same table. Only the folders the pull can change, for any
+    series, are read, merged and replaced; the merged rows are stored aside first, so the
+    table is never read and overwritten in one plan. Data is written also when it has
+    issues: the returned issue table is that of the whole stored table (``whole=False``:
+    of the rewritten folders). The success marker comes last.
     """
     # The pull is landed first: assembling it reads each input twice.
     load, weather = through_table(load, "pull-load"), through_table(weather, "pull-weather")
@@ -148,17 +161,20 @@ def ingest(
     if canonical.path_exists(spark, path):
         pattern = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[grain]
         stored = canonical.read_periods(spark, path)
-        first = _first_touched_period(stored, incoming, pattern)
-        touched = canonical.read_periods(spark, path, first)
-        merged = through_table(merge_datasets(touched, incoming, tz), "merged")
+        periods = touched_periods(stored, incoming, pattern)
+        touched = canonical.read_periods(spark, path, periods)
+        # Folders between touched ones are complete as they are and stay out of the merge.
+        rows = merge_datasets(touched, incoming, tz).filter(F.date_format(TS, pattern).isin(*periods))
+        merged = through_table(rows, "merged")
     else:
         merged = incoming
     canonical.write_table(merged, path, grain=grain)
     if events_path is not None:
         marker = spark.range(1).select(
+            F.lit(None).cast("string").alias("series_id"),
             F.lit("ingest").alias("pipeline"),
             F.lit("success").alias("event"),
             (F.current_timestamp() if at is None else F.lit(at).cast("timestamp")).alias("at"),
         )
         tables.append(marker, events_path, tables.EVENTS)
-    return validate(merged)
+    return validate(canonical.read_periods(spark, path) if whole else merged)

@@ -15,11 +15,12 @@ from .. import DEFAULT_TZ, KEYS, TS
 from ..functions.clock import calendar_columns, hour_number, lead_hours, plus_hours
 from ..functions.holidays import with_holiday_flag
 from ..functions.names import TARGET
-from ..operators.align import overlay_cells
+from ..operators.align import overlay_cells, with_scalars
 from ..operators.history import (
     DEFAULT_ROLLING_WINDOW,
     DEFAULT_WEEKLY_LAG,
     lag_hours,
+    look_back_hours,
     with_history,
 )
 from ..operators.spine import hours_between
@@ -141,8 +142,16 @@ def features_for_targets(
     rolling_window: int = DEFAULT_ROLLING_WINDOW, weekly_lag: int = DEFAULT_WEEKLY_LAG,
     tz: str = DEFAULT_TZ, keys=KEYS, ts: str = TS,
 ) -> DataFrame:
-    """Feature rows for the requested hours that can be built."""
-    frame = inference_frame(history, weather_forecast, tz, keys, ts)
+    """Feature rows for the requested hours that can be built. Runs a job.
+
+    The history is cut to what those hours can reach before anything is joined or sorted;
+    the bound is a literal, so a partitioned table is read from there on only.
+    """
+    span = targets.agg(F.min(hour_number(ts)).alias("a"), F.max(hour_number(ts)).alias("b")).first()
+    low = (span["a"] or 0) - look_back_hours(horizon, weekly_lag, rolling_window)
+    from_reach = F.col(ts) >= F.timestamp_seconds(F.lit(low * 3600))
+    upto = F.col(ts) < F.timestamp_seconds(F.lit(((span["b"] or 0) + 1) * 3600))
+    frame = inference_frame(history.filter(from_reach & upto), weather_forecast.filter(from_reach & upto), tz, keys, ts)
     built = make_features(frame, horizon, rolling_window, weekly_lag, False, tz, keys, ts)
     return built.join(targets.select(*keys, ts), [*keys, ts], "left_semi")
 
@@ -193,9 +202,11 @@ def swap_weather(
     complete = F.col("_hit")
     for c in columns:
         complete = complete & F.col(f"_new_{c}").isNotNull()
-    joined = frame.join(fresh, [*keys, ts], "left")
-    span = joined.filter(complete).groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"))
-    swapped = joined.join(span, list(keys)).filter(F.col(ts).between(F.col("_from"), F.col("_to")))
+    # The span comes from the archive's hours that the frame has, the join is made once.
+    whole = fresh.filter(complete).join(frame.select(*keys, ts), [*keys, ts], "left_semi")
+    span = whole.groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"))
+    inside = with_scalars(frame, span, keys).filter(F.col(ts).between(F.col("_from"), F.col("_to")))
+    swapped = inside.join(fresh, [*keys, ts], "left")
     return swapped.select(
         *[F.col(f"_new_{c}").alias(c) if c in columns else F.col(c) for c in frame.columns]
     )
@@ -205,7 +216,7 @@ def recent_actuals(df: DataFrame, days: int = 14, keys=KEYS, ts: str = TS) -> Da
     """Load and reference over the last days up to the newest actual, both ends inclusive."""
     last = high_water(df, keys=keys, ts=ts)
     return (
-        df.join(last, list(keys))
+        with_scalars(df, last, keys)
         .filter(
             F.col(ts).between(
                 F.timestamp_seconds(F.unix_seconds("last_actual") - days * 86400), F.col("last_actual")

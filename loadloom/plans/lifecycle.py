@@ -8,13 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.errors import ape
 from ..functions.scalars import finite
-from ..operators.history import seasonal_naive
 from ..operators.latest import latest_per_key
 from ..operators.splits import chronological_split
 from ..session import through_table
-from . import models
+from ..sources import tables
+from . import models, training
+from .evaluation import references
 from .features import feature_names, make_features
 
 # Cadence, retention and the tolerated relative regression.
@@ -63,21 +63,18 @@ def retrain_due(
     elapsed = (F.unix_micros(_instant(now)) - F.unix_micros("last_success")) / 86_400_000_000
     flagged = F.col("raised_at").isNotNull()
     overdue = elapsed >= cadence_days
-    reason = (
-        F.when(F.lit(force), "forced from the command line")
-        .when(
-            flagged,
-            F.concat(
-                F.lit("drift flag raised at "), F.date_format("raised_at", "yyyy-MM-dd HH:mm"),
-                F.lit(": "), F.col("reason"),
-            ),
-        )
-        .when(elapsed.isNull(), "no model has been retrained by this pipeline yet")
-        .when(overdue, F.format_string(f"scheduled cadence elapsed (%.1f days >= {cadence_days})", elapsed))
-        .otherwise(F.format_string(f"last retrain %.1f days ago, cadence is {cadence_days} days", elapsed))
-    )
-    due = F.lit(force) | flagged | elapsed.isNull() | overdue
-    return state.select(*known.columns, F.coalesce(due, F.lit(True)).alias("due"), reason.alias("due_reason"))
+    rules = [
+        (F.lit(force), "forced", F.lit("asked for by hand")),
+        (flagged, "flag", F.concat(F.lit("open drift flag of "), F.date_format("raised_at", "yyyy-MM-dd HH:mm"), F.lit(": "), F.col("reason"))),
+        (elapsed.isNull(), "never", F.lit("no successful retrain on record")),
+        (overdue, "cadence", F.format_string(f"%.1f days since the last success; the cadence is {cadence_days}", elapsed)),
+    ]
+    code, text = F, F
+    for condition, name, words in rules:
+        code, text = code.when(condition, name), text.when(condition, words)
+    code = code.otherwise("fresh")
+    text = text.otherwise(F.format_string(f"%.1f of {cadence_days} days since the last success", elapsed))
+    return state.select(*known.columns, (code != "fresh").alias("due"), code.alias("due_code"), text.alias("due_reason"))
 
 
 def promotion_decision(
@@ -96,67 +93,64 @@ def promotion_decision(
     )
     c, n, k = F.col(candidate), F.col(naive), F.col(champion)
     ceiling = k * tolerance
-    four = lambda x: F.format_string("%.4f", x)
     rules = [
-        (~finite(c), False, F.lit("candidate metric is not a finite number")),
-        (~finite(n), False, F.lit("naive baseline metric is not a finite number")),
-        (
-            c >= n, False,
-            F.concat(F.lit("candidate "), four(c), F.lit(" does not beat the naive baseline "), four(n)),
-        ),
-        (
-            k.isNull(), True,
-            F.concat(F.lit("candidate "), four(c), F.lit(" beats naive "), four(n), F.lit(" and there is no champion yet")),
-        ),
-        (~finite(k), False, F.lit("champion metric is not a finite number")),
-        (
-            c > ceiling, False,
-            F.concat(F.lit("candidate "), four(c), F.lit(" regresses past the champion's tolerance "), four(ceiling)),
-        ),
+        (~finite(c), False, "candidate_invalid", F.lit("the candidate has no usable metric")),
+        (~finite(n), False, "baseline_invalid", F.lit("the naive baseline has no usable metric")),
+        (c >= n, False, "worse_than_naive", F.format_string("naive %.4f is as good as the candidate's %.4f", n, c)),
+        (k.isNull(), True, "first", F.format_string("%.4f against naive %.4f; no champion to compare with", c, n)),
+        (~finite(k), False, "champion_invalid", F.lit("a champion is set but its metric is unknown")),
+        (c > ceiling, False, "regression", F.format_string("%.4f is over the limit of %.4f set by the champion", c, ceiling)),
     ]
-    promote, reason = F, F
-    for condition, verdict, text in rules:
-        promote = promote.when(condition, F.lit(verdict))
-        reason = reason.when(condition, text)
-    return candidates.withColumn("promote", promote.otherwise(F.lit(True))).withColumn(
-        "gate_reason",
-        reason.otherwise(
-            F.concat(
-                F.lit("candidate "), four(c), F.lit(" beats naive "), four(n), F.lit(" and stays within "),
-                four(ceiling), F.lit(" of the champion "), four(k),
-            )
-        ),
+    promote, code, reason = F, F, F
+    for condition, verdict, name, text in rules:
+        promote, code, reason = promote.when(condition, F.lit(verdict)), code.when(condition, name), reason.when(condition, text)
+    return candidates.withColumns(
+        {
+            "promote": promote.otherwise(F.lit(True)), "gate_code": code.otherwise("accepted"),
+            "gate_reason": reason.otherwise(F.format_string("%.4f against naive %.4f and champion %.4f", c, n, k)),
+        }
     )
 
 
 def current_alias(aliases: DataFrame, key: Sequence[str] = ("model_name", "alias")) -> DataFrame:
-    """The version an alias points at now: its newest row."""
-    return latest_per_key(aliases, key, ["at", "version"])
+    """The version an alias points at now: its newest row; of equal times the larger number."""
+    return latest_per_key(aliases, key, ["at", F.expr("try_cast(version AS bigint)"), "version"])
 
 
 def champion_metric(
     aliases: DataFrame, runs: DataFrame, metric: str, data_source: str | None = None,
     alias: str = "champion", key: Sequence[str] = ("model_name", "alias"),
 ) -> DataFrame:
-    """Champion's value of a metric, null when its data source is not comparable."""
+    """Champion's value of a metric.
+
+    Null when its data source is not comparable, which is like having no champion. NaN when
+    the alias points at a run that is not on record or lacks the metric: the gate then holds.
+    """
     now = current_alias(aliases.filter(F.col("alias") == alias), key)
-    value = F.element_at("metrics", metric)
+    value = F.coalesce(F.try_element_at("metrics", F.lit(metric)), F.lit(float("nan")))
     if data_source is not None:
-        value = F.when(F.col("data_source") == data_source, value)
+        value = F.when(F.col("data_source").isNull() | (F.col("data_source") == data_source), value)
     return now.join(runs.select("run_id", "data_source", "metrics"), "run_id", "left").select(
         *key, "version", "run_id", value.alias("champion")
     )
 
 
-def apply_gate(decisions: DataFrame, at, alias: str = "champion") -> tuple[DataFrame, DataFrame]:
-    """Rows to append: one decision per candidate, an alias move only where promoted."""
+def apply_gate(
+    decisions: DataFrame, at, alias: str = "champion", metric: str = "candidate"
+) -> tuple[DataFrame, DataFrame]:
+    """Rows to append: one decision per candidate, and one alias move per model.
+
+    Of several promoted candidates of a model the best (lowest metric, then the larger
+    version number) gets the alias.
+    """
     log = decisions.select(
-        "model_name", "version", "run_id", "promote", F.col("gate_reason").alias("reason"),
+        "model_name", "version", "run_id", "promote", F.col("gate_code").alias("code"), F.col("gate_reason").alias("reason"),
         _instant(at).alias("at"),
     )
-    moves = decisions.filter("promote").select(
-        "model_name", F.lit(alias).alias("alias"), "version", "run_id", _instant(at).alias("at")
+    best = latest_per_key(
+        decisions.filter("promote"), ["model_name"], [-F.col(metric), F.expr("try_cast(version AS bigint)"), F.col("version")]
     )
+    moves = best.select("model_name", F.lit(alias).alias("alias"), "version", "run_id", _instant(at).alias("at"))
     return log, moves
 
 
@@ -189,64 +183,71 @@ SKIPPED, PROMOTED, NOT_PROMOTED, INSUFFICIENT_DATA = (
 
 @dataclass(frozen=True)
 class RetrainOutcome:
-    """What a retrain did, with the rows to append to the events, gate and alias tables."""
+    """What a retrain did, with the rows to append to the events, run, gate and alias tables."""
 
     status: str
-    reason: str
+    due: DataFrame
     events: DataFrame | None = None
+    runs: DataFrame | None = None
     decisions: DataFrame | None = None
     moves: DataFrame | None = None
     prune: DataFrame | None = None
-    champion: object | None = None
+    champion: models.Champion | None = None
 
 
 def retrain(
-    dataset: DataFrame, events: DataFrame, aliases: DataFrame, runs: DataFrame, owner: str, model_name: str,
-    now, horizon: int = 24, validation_days: int = 60, params: dict | None = None, force: bool = False,
-    cadence_days: float = CADENCE_DAYS, keep_days: int = KEEP_RUNS_DAYS, data_source: str = "ingested",
+    dataset: DataFrame, events: DataFrame, aliases: DataFrame, runs: DataFrame, model_name: str,
+    now, owners: DataFrame | None = None, horizon: int = 24, validation_days: int = 60, params: dict | None = None,
+    grid: dict | None = None, force: bool = False, cadence_days: float = CADENCE_DAYS, keep_days: int = KEEP_RUNS_DAYS,
+    data_source: str = "ingested", dataset_version: str | None = None,
 ) -> RetrainOutcome:
-    """Due, then fit, gate, clear flag, mark success, list prunable runs. Runs jobs.
+    """Who is due, then train once, gate, clear their flags, mark success, list prunable runs. Runs jobs.
 
-    ``owner`` names the deployment in ``events.series_id``. Too little history is a
-    reported outcome that leaves flag and marker alone, so the question is asked again.
+    ``owners`` (``series_id``; default: the series of the dataset) are asked in one job; the
+    model is pooled over all series, so one training serves everyone who is due. Too little
+    history is a reported outcome that leaves flags and markers alone, so the question is
+    asked again.
     """
-    spark = dataset.sparkSession
-    mine = events.filter(F.col("series_id") == owner)
-    known = spark.createDataFrame([(owner,)], "series_id string")
-    done = last_success(mine.filter("pipeline = 'retrain_if_needed'"), now, ["series_id"])
-    asked = retrain_due(known, retrain_flag(mine), done, now, cadence_days, force=force).first()
-    if not asked["due"]:
-        return RetrainOutcome(SKIPPED, asked["due_reason"])
+    known = (dataset if owners is None else owners).select("series_id").distinct()
+    done = last_success(events.filter("pipeline = 'retrain_if_needed'"), now, ["series_id"])
+    asked = retrain_due(known, retrain_flag(events), done, now, cadence_days, force=force)
+    due = through_table(asked.filter("due"), "due")
+    if due.isEmpty():
+        return RetrainOutcome(SKIPPED, due)
 
     names = feature_names(horizon)
-    rows = through_table(
-        chronological_split(make_features(dataset, horizon), validation_days, horizon), "retrain"
+    features = through_table(make_features(dataset, horizon), "retrain-features")
+    rows = through_table(chronological_split(features, validation_days, horizon), "retrain")
+    if rows.filter("block = 'train'").isEmpty() or rows.filter("block = 'validation'").isEmpty():
+        return RetrainOutcome(INSUFFICIENT_DATA, due)
+
+    trained = training.train(
+        rows, names, references(dataset), runs, model_name, horizon, params, grid,
+        dataset_version=dataset_version, data_source=data_source, started_at=now,
     )
-    train, later = rows.filter("block = 'train'"), rows.filter("block = 'validation'")
-    if train.isEmpty() or later.isEmpty():
-        return RetrainOutcome(INSUFFICIENT_DATA, f"{asked['due_reason']}; but a split has no rows")
-
-    fitted = models.fit_trees(train, later, names, params=params, horizon=horizon, name=model_name)
-    naive = seasonal_naive(dataset.select("series_id", "ts", "load_mw")).select("series_id", "ts", "naive_seasonal")
-    scored = fitted.predict(later).join(naive, ["series_id", "ts"], "left")
-    candidate = scored.agg(
-        (F.avg(ape("target", "prediction")) * 100).alias("candidate"),
-        (F.avg(ape("target", "naive_seasonal")) * 100).alias("naive"),
-    ).select(F.lit(model_name).alias("model_name"), F.lit("candidate").alias("version"), F.lit("candidate").alias("run_id"), "*")
     champion = champion_metric(aliases.filter(F.col("model_name") == model_name), runs, "mape", data_source)
-    decided = promotion_decision(
-        candidate.join(champion.select("model_name", "champion"), "model_name", "left")
-    )
-    decided = through_table(decided, "gate")  # one row; fitted predictions are not repeated
-    decisions, moves = apply_gate(decided, now)
-    marks = known.select(
+    decided = promotion_decision(trained.candidates.join(champion.select("model_name", "champion"), "model_name", "left"))
+    decisions, moves = apply_gate(through_table(decided, "gate"), now)
+    moved = moves.first()
+    marks = due.select(
         "series_id", F.explode(F.array(
             F.struct(F.lit("retrain").alias("pipeline"), F.lit("clear").alias("event")),
             F.struct(F.lit("retrain_if_needed").alias("pipeline"), F.lit("success").alias("event")),
         )).alias("_m"), _instant(now).alias("at"),
     ).select("series_id", "_m.*", "at", F.lit(None).cast("string").alias("reason"))
-    promoted = not moves.isEmpty()
     return RetrainOutcome(
-        PROMOTED if promoted else NOT_PROMOTED, asked["due_reason"], marks, decisions, moves,
-        prunable_runs(runs, aliases, now, keep_days), fitted,
+        PROMOTED if moved else NOT_PROMOTED, due, marks, trained.runs, decisions, moves,
+        # The aliases as they are after the move: the new champion's run stays, the old one may go.
+        prunable_runs(runs, aliases.select(*moves.columns).unionByName(moves), now, keep_days),
+        trained.by_version(moved["version"]) if moved else None,
     )
+
+
+def record_retrain(outcome: RetrainOutcome, events_path: str, runs_path: str, decisions_path: str, aliases_path: str) -> None:
+    """Append what a retrain did to its tables: runs first, the events that close it last."""
+    for rows, path, schema in (
+        (outcome.runs, runs_path, tables.RUNS), (outcome.decisions, decisions_path, tables.GATE_DECISIONS),
+        (outcome.moves, aliases_path, tables.ALIASES), (outcome.events, events_path, tables.EVENTS),
+    ):
+        if rows is not None:
+            tables.append(rows, path, schema)

@@ -43,6 +43,8 @@ class Champion:
     run_id: str | None = None
     dataset_version: str | None = None
     params: dict = field(default_factory=dict)
+    #: Residual quantiles per series and local hour (``conformal_offsets``): the served band.
+    offsets: DataFrame | None = None
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``prediction``; a missing model column is an error, extra ones pass through."""
@@ -125,7 +127,8 @@ def conformal_offsets(
     return (
         residuals.withColumn("local_hour", F.hour(local_time(ts, tz)))
         .groupBy(*by, "local_hour")
-        .agg(*[F.percentile(e, float(q)).alias(f"q{round(q * 100)}") for q in quantiles])
+        .agg(F.percentile(e, F.array(*[F.lit(float(q)) for q in quantiles])).alias("_q"))
+        .select(*by, "local_hour", *[F.col("_q")[i].alias(f"q{round(q * 100)}") for i, q in enumerate(quantiles)])
     )
 
 
@@ -267,7 +270,7 @@ def fit_linear_groups(df: DataFrame, columns: Sequence[str], group: Sequence[str
 def run_record(
     spark, name: str, horizon: int, dataset_version: str, columns: Sequence[str], data_source: str,
     params: dict, metrics: dict[str, float], started_at=None, run_id: str | None = None,
-    tags: dict[str, str] | None = None,
+    tags: dict[str, str] | None = None, model_name: str | None = None, version: str | None = None,
 ) -> DataFrame:
     """One row for the runs table: what was trained, on which data, with which columns."""
     text = {k: v if isinstance(v, str) else json.dumps(v) for k, v in params.items() if v is not None}
@@ -278,11 +281,12 @@ def run_record(
                 f"{name}_synthetic" if data_source == "synthetic" else name,
                 int(horizon), dataset_version, feature_set_id(columns), data_source, text,
                 {k: float(v) for k, v in metrics.items()},
-                {"horizon": str(horizon), "n_features": str(len(list(columns))), **(tags or {})},
+                {"horizon": str(horizon), "n_features": str(len(list(columns))), **(tags or {})}, model_name or name, version,
             )
         ],
         "run_id string, name string, horizon int, dataset_version string, feature_set string, "
-        "data_source string, params map<string,string>, metrics map<string,double>, tags map<string,string>",
+        "data_source string, params map<string,string>, metrics map<string,double>, tags map<string,string>, "
+        "model_name string, version string",
     )
     at = F.current_timestamp() if started_at is None else F.lit(started_at).cast("timestamp")
     return row.withColumn("started_at", at)

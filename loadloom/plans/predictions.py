@@ -10,29 +10,36 @@ from pyspark.sql import functions as F
 from .. import DEFAULT_TZ, KEYS, TS
 from ..functions.errors import ape, error_sums, metrics_from_sums, signed_ape
 from ..functions.scalars import optional
+from ..operators.align import with_scalars
 from ..operators.latest import latest_per_key
+from ..session import through_table
 from ..sources import tables
 from .features import features_for_targets, target_hours
+from .models import with_band
 
 # Monitoring thresholds.
 MIN_SCORED, MAPE_THRESHOLD = 168, 4.0
 EMPTY, ACCUMULATING, MEASURING = "empty", "accumulating", "measuring"
 
 
-def score(predictions: DataFrame, actuals: DataFrame, scored_at=None, keys=KEYS) -> DataFrame:
-    """Scores of every prediction whose hour has a non-zero actual.
+def score(
+    predictions: DataFrame, actuals: DataFrame, scored_at=None, keys=KEYS, arrival: str | None = None
+) -> DataFrame:
+    """Scores of every prediction whose hour has a non-zero actual, one row per prediction.
 
-    Everything is scored again on each run, since actuals are revised. A missing
-    reference forecast leaves its two columns null.
+    Everything is scored again on each run, since actuals are revised. Of several revisions
+    of an hour the last one counts: the largest ``arrival``, or without that column the
+    largest load. A missing reference forecast leaves its two columns null.
     """
     if "load_mw" not in actuals.columns:
         raise ValueError("scoring needs actuals with a load_mw column")
     reference = F.col("tso_forecast_mw") if "tso_forecast_mw" in actuals.columns else F.lit(None).cast("double")
-    known = actuals.filter("load_mw IS NOT NULL AND load_mw <> 0").select(
-        *keys,
-        F.col(TS).alias("target_time"),
-        F.col("load_mw").alias("actual_mw"),
-        reference.alias("tso_forecast_mw"),
+    order = F.struct(*([F.col(arrival)] if arrival else []), F.col("load_mw"), reference.alias("r"))
+    known = (
+        actuals.withColumn("tso_forecast_mw", reference).groupBy(*keys, F.col(TS).alias("target_time"))
+        .agg(F.max_by(F.struct("load_mw", "tso_forecast_mw"), order).alias("_a"))
+        .select(*keys, "target_time", F.col("_a.load_mw").alias("actual_mw"), F.col("_a.tso_forecast_mw").alias("tso_forecast_mw"))
+        .filter("actual_mw IS NOT NULL AND actual_mw <> 0")
     )
     made = predictions.select("id", *keys, "target_time", F.col("load_mw").alias("_p"))
     when = F.current_timestamp() if scored_at is None else F.lit(scored_at).cast("timestamp")
@@ -52,12 +59,33 @@ def upsert_scores(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     return existing.join(fresh, "prediction_id", "left_anti").unionByName(fresh)
 
 
-def rescore(spark, predictions_path: str, scores_path: str, actuals: DataFrame, scored_at=None) -> None:
-    """Score the whole log and publish the new score table as its next version. Runs a job."""
-    fresh = score(tables.read_predictions(spark, predictions_path), actuals, scored_at)
-    version = tables.latest_version(spark, scores_path)
-    old = tables.read_version(spark, scores_path, tables.SCORES)
-    tables.write_version(upsert_scores(old, fresh), scores_path, version + 1)
+def rescore(
+    spark, predictions: DataFrame | str, scores_path: str, actuals: DataFrame, scored_at=None, arrival: str | None = None
+) -> None:
+    """Score the hours of ``actuals`` and put the scores into the table of days. Runs jobs.
+
+    The log (a frame or its path) is read between the first and the last of those hours.
+    Only the day folders that get a score are read, merged with one join and replaced;
+    the merged rows are stored aside first. The same actuals twice change nothing.
+    """
+    span = actuals.agg(F.min(TS).alias("a"), F.max(TS).alias("b")).first()
+    if span["a"] is None:
+        return
+    if isinstance(predictions, str):
+        log = tables.read_predictions(spark, predictions, span["a"], span["b"])
+    else:
+        log = tables.filter_predictions(predictions, span["a"], span["b"])
+    day = log.select(F.col("id").alias("prediction_id"), F.to_date("target_time").alias("target_date"))
+    fresh = through_table(score(log, actuals, scored_at, arrival=arrival).join(day, "prediction_id"), "fresh-scores")
+    days = [r["target_date"] for r in fresh.select("target_date").distinct().collect()]  # calendar days of one pull
+    if not days:
+        return
+    old = tables.read_scores(spark, scores_path, days).withColumn("_old", F.lit(True)).alias("o")
+    new = fresh.withColumn("_new", F.lit(True)).alias("n")
+    merged = old.join(new, F.col("o.prediction_id") == F.col("n.prediction_id"), "full").select(
+        *[F.when(F.col("_new"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in fresh.columns]
+    )
+    tables.write_score_days(through_table(merged, "merged-scores"), scores_path)
 
 
 def scored_predictions(
@@ -74,7 +102,7 @@ def scored_predictions(
 def served_forecast(predictions: DataFrame, days: int = 3, keys=KEYS) -> DataFrame:
     """Standing forecasts of the last days of targets, per series."""
     newest = predictions.groupBy(*keys).agg(F.max("target_time").alias("_newest"))
-    recent = predictions.join(newest, list(keys)).filter(
+    recent = with_scalars(predictions, newest, keys).filter(
         F.col("target_time") >= F.timestamp_seconds(F.unix_seconds("_newest") - days * 86400)
     )
     return tables.latest_per_target(recent.drop("_newest"))
@@ -86,8 +114,9 @@ def performance(
 ) -> DataFrame:
     """Served error with a sufficiency gate, and the reference on the same hours.
 
-    ``groups`` adds groups without any scored row, reported as empty. Below
-    ``min_scored`` rows nothing is claimed: metrics are null and there is no breach.
+    ``groups`` adds groups without any scored row, reported as empty. The numbers are always
+    there; ``sufficient`` says whether ``min_scored`` rows stand behind them, and only then
+    is a breach claimed.
     """
     aggs = [
         F.count(F.lit(1)).alias("scored"),
@@ -104,9 +133,8 @@ def performance(
         *by,
         "scored",
         F.when(F.col("scored") == 0, EMPTY).when(enough, MEASURING).otherwise(ACCUMULATING).alias("status"),
-        F.when(enough, F.col("_mape")).alias("model_mape"),
-        F.when(enough, F.col("_tso")).alias("tso_mape"),
-        *[F.when(enough, sums[m]).alias(m) for m in ("rmse_mw", "mae_mw", "bias_mw")],
+        enough.alias("sufficient"), F.col("_mape").alias("model_mape"), F.col("_tso").alias("tso_mape"),
+        *[sums[m].alias(m) for m in ("rmse_mw", "mae_mw", "bias_mw")],
         (enough & F.coalesce(F.col("_mape") > threshold, F.lit(False))).alias("breached"),
     )
 
@@ -119,15 +147,16 @@ def evaluate(
 
     The window ends at ``now``, or per series at its newest prediction's target.
     """
-    scored = scored_predictions(predictions, score(predictions, actuals))
+    groups = predictions.select(*by).distinct()
     if now is None:
         ends = predictions.groupBy(*by).agg(F.max("target_time").alias("_end"))
-        scored = scored.join(ends, list(by))
-        end: Column = F.col("_end")
+        predictions, end = with_scalars(predictions, ends, by), F.col("_end")
     else:
         end = F.lit(now).cast("timestamp")
+    # The window comes first: only its forecasts are ranked, joined and scored.
     inside = F.col("target_time").between(F.timestamp_seconds(F.unix_seconds(end) - window_days * 86400), end)
-    table = performance(scored.filter(inside), by, min_scored, groups=predictions.select(*by).distinct())
+    recent = predictions.filter(inside).drop("_end")
+    table = performance(scored_predictions(recent, score(recent, actuals)), by, min_scored, groups=groups)
     return table.withColumn("gap", F.col("model_mape") - F.col("tso_mape"))
 
 
@@ -164,12 +193,15 @@ def forecast(
 ) -> DataFrame:
     """Records for every reachable hour: targets, features, model, log shape.
 
-    ``champion`` is a ``plans.models.Champion``. Without actuals or buildable hours the
+    ``champion`` is a ``plans.models.Champion``; with residual offsets it serves a band
+    (p10, p50, p90) around the point. Without actuals or buildable hours the
     result is empty, which is a state and not a fault.
     """
     targets = target_hours(history, champion.horizon)
     rows = features_for_targets(history, weather_forecast, champion.horizon, targets, tz=tz, **features)
     predicted = champion.predict(rows)
+    if champion.offsets is not None:
+        predicted = with_band(predicted, champion.offsets, tz=tz)
     return forecast_records(
         predicted, champion.columns, made_at, champion.horizon, champion.name, champion.version,
         champion.run_id, champion.dataset_version,

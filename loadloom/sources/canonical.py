@@ -101,11 +101,13 @@ def write_table(
     return path
 
 
-def read_periods(spark: SparkSession, path: str, first: str | None = None, schema: T.StructType = SCHEMA) -> DataFrame:
-    """Read a table of ``write_table``; ``first`` skips the folders before that period."""
+def read_periods(
+    spark: SparkSession, path: str, only: Sequence[str] | None = None, schema: T.StructType = SCHEMA
+) -> DataFrame:
+    """Read a table of ``write_table``; ``only`` names the folders to read."""
     with_period = T.StructType([*schema, T.StructField("period", T.StringType())])
     df = read_table(spark, path, with_period)
-    return (df.filter(F.col("period") >= first) if first is not None else df).drop("period")
+    return (df if only is None else df.filter(F.col("period").isin(*only))).drop("period")
 
 
 def value_column(df: DataFrame, preferred: str, out: str, other: Sequence[str] = (*KEYS, TS)) -> DataFrame:

@@ -37,14 +37,15 @@ DRIFT_HISTORY = _schema(
     drifted_names=S, reference_strategy=S, reference_rows=L, current_rows=L, rolling_mape=D,
     tso_mape=D, scored_predictions=L,
 )
-EVENTS = _schema(pipeline=S, event=S, at=TSN, reason=S)
+#: ``series_id`` is null for a step of the whole deployment.
+EVENTS = _schema(series_id=S, pipeline=S, event=S, at=TSN, reason=S)
 RUNS = _schema(
-    run_id=S, name=S, horizon=T.IntegerType(), dataset_version=S, feature_set=S, data_source=S,
+    run_id=S, name=S, model_name=S, version=S, horizon=T.IntegerType(), dataset_version=S, feature_set=S, data_source=S,
     started_at=TSN, params=T.MapType(S, S), metrics=T.MapType(S, D), tags=T.MapType(S, S),
 )
 ALIASES = _schema(model_name=S, alias=S, version=S, run_id=S, at=TSN)
 GATE_DECISIONS = _schema(
-    model_name=S, version=S, run_id=S, promote=T.BooleanType(), reason=S, at=TSN
+    model_name=S, version=S, run_id=S, promote=T.BooleanType(), code=S, reason=S, at=TSN
 )
 
 FORECAST_KEY = ("series_id", "target_time", "horizon_hours", "model_version")
@@ -68,7 +69,7 @@ def append_predictions(predictions: DataFrame, path: str, batch_id: str | None =
         key = [c for c in ("series_id", "predicted_at", "target_time", "horizon_hours", "load_mw", "model_name", "model_version") if c in named]
         rows = rows.withColumn("id", F.xxhash64(F.lit(batch_id or uuid.uuid4().hex), *key))
     (
-        rows.withColumn("target_date", F.to_date("target_time"))
+        rows.withColumn("target_date", F.to_date("target_time")).repartition("target_date")
         .write.mode("append").partitionBy("target_date").parquet(path)
     )
 
@@ -167,6 +168,23 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(f"{path}/version={version:08d}")
 
 
+def read_scores(spark: SparkSession, path: str, days: Sequence | None = None) -> DataFrame:
+    """The score table with its ``target_date``; ``days`` limits the folders that are read."""
+    schema = T.StructType([*SCORES, T.StructField("target_date", T.DateType())])
+    if not path_exists(spark, path):
+        return empty(spark, schema)
+    df = spark.read.schema(schema).parquet(path)
+    return df if days is None else df.filter(F.col("target_date").isin(*days))
+
+
+def write_score_days(df: DataFrame, path: str) -> None:
+    """Replace the day folders that ``df`` has rows for; all others keep their files."""
+    (
+        df.repartition("target_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("target_date").parquet(path)
+    )
+
+
 def export_csv(df: DataFrame, path: str) -> str:
     """Segment and prediction tables for people: CSV with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)

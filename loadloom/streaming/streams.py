@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import KEYS, TS
+from ..operators.latest import latest_per_key
 from ..plans import predictions as pred
 from ..session import shared_dir
 from ..sources import tables
@@ -32,7 +33,8 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType | str, gl
 
 
 def hourly_stream(readings: DataFrame, value: str = "value", lateness: str = LATENESS, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
-    """Tumbling hourly mean; an hour is emitted once it is older than the lateness."""
+    """Tumbling hourly mean. In update mode every hour comes at once and again when revised;
+    an hour older than the lateness is final and leaves the state."""
     w = F.window(ts, "1 hour")
     return (
         readings.withWatermark(ts, lateness)
@@ -42,23 +44,23 @@ def hourly_stream(readings: DataFrame, value: str = "value", lateness: str = LAT
     )
 
 
-def revised_hourly_stream(
+def revised_slots_stream(
     readings: DataFrame, slot: str = "15 minutes", value: str = "value", seq: str = "ingest_seq",
     lateness: str = LATENESS, keys: Sequence[str] = KEYS, ts: str = TS,
 ) -> DataFrame:
-    """Last revision per slot, then the hourly mean: two chained aggregations.
-
-    The built-in duplicate dropping keeps the first arrival; revisions need the last.
-    """
-    slots = (
+    """Last revision per slot. The built-in duplicate dropping keeps the first arrival;
+    revisions need the last. ``hourly_of_slots`` makes hours of the stored result."""
+    return (
         readings.withWatermark(ts, lateness)
         .groupBy(*keys, F.window(ts, slot).alias("_slot"))
         .agg(F.max_by(value, seq).alias(value))
+        .select(*keys, F.col("_slot.start").alias(ts), value)
     )
-    return (
-        slots.groupBy(*keys, F.window(F.window_time("_slot"), "1 hour").alias("_w"))
-        .agg(F.avg(value).alias("load_mw"), F.count(F.lit(1)).alias("slots"))
-        .select(*keys, F.col("_w.start").alias(ts), "load_mw", "slots")
+
+
+def hourly_of_slots(slots: DataFrame, value: str = "value", keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
+    return slots.groupBy(*keys, F.date_trunc("hour", ts).alias(ts)).agg(
+        F.avg(value).alias("load_mw"), F.count(F.lit(1)).alias("slots")
     )
 
 
@@ -113,10 +115,10 @@ def run_available(stream: DataFrame, name: str, path: str | None = None) -> Data
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def upsert_each_batch(stream: DataFrame, name: str, handle: Callable[[DataFrame, int], None]) -> None:
+def upsert_each_batch(stream: DataFrame, name: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     """Run ``handle`` on every micro-batch of what is available."""
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.outputMode(mode).foreachBatch(handle)
         .option("checkpointLocation", shared_dir(stream.sparkSession, f"{name}-checkpoint"))
         .trigger(availableNow=True)
         .start()
@@ -124,19 +126,48 @@ def upsert_each_batch(stream: DataFrame, name: str, handle: Callable[[DataFrame,
     query.awaitTermination()
 
 
-def rescore_stream(actuals: DataFrame, predictions: DataFrame, scores_path: str, name: str = "rescore") -> DataFrame:
-    """Upsert the scores of the hours each micro-batch of actuals touches.
+def run_upserted(stream: DataFrame, name: str, key: Sequence[str], path: str | None = None) -> DataFrame:
+    """Process what is there in update mode and read the current row of each key.
 
-    A batch is published as the next version of the score table. A replayed batch yields
-    the same scores, so repeating it changes nothing.
+    Every micro-batch appends the rows it changed to a folder of its own number, so a
+    replayed batch replaces itself and nothing else is rewritten. The reader takes the row
+    of the latest batch per key: all of the input is there, its newest part included.
     """
+    out = path or shared_dir(stream.sparkSession, f"{name}-changes")
+    upsert_each_batch(stream, name, lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"), "update")
+    schema = T.StructType([*stream.schema, T.StructField("batch", T.LongType())])
+    changes = stream.sparkSession.read.schema(schema).parquet(out)
+    return latest_per_key(changes, key, ["batch"]).drop("batch")
+
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = pred.score(predictions, batch)
-        version = tables.latest_version(spark, scores_path)
-        old = tables.read_version(spark, scores_path, tables.SCORES)
-        tables.write_version(pred.upsert_scores(old, fresh), scores_path, version + 1)
+def run_complete(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Process what is there in complete mode: the last micro-batch holds the whole result.
+
+    For session windows, which Spark does not run in update mode. The state keeps one row
+    per session.
+    """
+    out = path or shared_dir(stream.sparkSession, f"{name}-complete")
+    last: list[int] = []
 
-    upsert_each_batch(actuals, name, handle)
-    return tables.read_version(actuals.sparkSession, scores_path, tables.SCORES)
+    def handle(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
+        last.append(n)
+
+    upsert_each_batch(stream, name, handle, "complete")
+    spark = stream.sparkSession
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch={last[-1]}") if last else spark.createDataFrame([], stream.schema)
+
+
+def rescore_stream(
+    actuals: DataFrame, predictions: DataFrame | str, scores_path: str, name: str = "rescore", arrival: str | None = None
+) -> DataFrame:
+    """Upsert the scores of the hours each micro-batch of actuals touches.
+
+    Only the day folders of those hours are read and replaced. A replayed batch yields the
+    same scores, so repeating it changes nothing; a batch with two revisions of an hour
+    takes the later arrival.
+    """
+    upsert_each_batch(
+        actuals, name, lambda batch, _: pred.rescore(batch.sparkSession, predictions, scores_path, batch, arrival=arrival)
+    )
+    return tables.read_scores(actuals.sparkSession, scores_path)
