@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from hashlib import sha256
 from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from .common import pick, pieces
 
 #: Broadcast bounds: bytes of the vocabulary file, and kept results per Python worker.
 MAX_VOCABULARY_BYTES = 64_000_000
-MAX_KEPT_PIECES = 300_000
+MAX_KEPT_PIECES = 600_000
 MAX_KEPT_BYTES = 48
 
 
@@ -135,7 +137,9 @@ class Coder:
             self.shorter[i] = p
         self.automaton.make_automaton()
         self.single = [self.whole[bytes([b])] for b in range(256)]
-        self.kept: dict[str, list[int]] = {}
+        self.kept: dict[str, bytes] = {}
+        self.entries = pa.array(v.tokens, pa.large_binary())
+        self.decimals = pa.array([f"{i},".encode() for i in range(len(v.tokens))], pa.large_binary())
 
     def piece(self, raw: bytes) -> list[int]:
         """Ids of one piece: from the longest entries, back to shorter ones where needed."""
@@ -164,23 +168,44 @@ class Coder:
                 last = out[-1] if out else -1
                 token = shorter[token]
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        kept, add = self.kept, out.extend
-        for p in self.find(text):
-            ids = kept.get(p)
-            if ids is None:
-                raw = p.encode()
-                ids = self.piece(raw)
-                if len(raw) <= MAX_KEPT_BYTES:
-                    if len(kept) >= MAX_KEPT_PIECES:
-                        kept.clear()
-                    kept[p] = ids
-            add(ids)
-        return out
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def _kept(self, p: str) -> bytes:
+        """A piece's ids as packed 32-bit numbers, kept for the next time."""
+        raw = p.encode()
+        packed = np.array(self.piece(raw), np.int32).tobytes()
+        if len(raw) <= MAX_KEPT_BYTES:
+            if len(self.kept) >= MAX_KEPT_PIECES:
+                self.kept.clear()
+            self.kept[p] = packed
+        return packed
+
+    def encode(self, text: str) -> np.ndarray:
+        get, miss = self.kept.get, self._kept
+        return np.frombuffer(b"".join([get(p) or miss(p) for p in self.find(text)]), np.int32)
+
+    def encode_column(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of every text; a null text has none."""
+        ids = [self.encode(t or "") for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+    def _joined(self, ids: pa.ListArray, words: pa.Array) -> pa.Array:
+        """For each list, the entries of ``words`` at its ids one after the other; null: null."""
+        flat, ends = ids.flatten(), np.cumsum(np.append(0, pc.fill_null(pc.list_value_length(ids), 0).to_numpy()))
+        taken = words.take(flat)
+        starts = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+        data = taken.buffers()[2] if len(taken) else pa.py_buffer(b"")
+        nulls = None if not ids.null_count else ids.is_valid().buffers()[1]
+        bounds = pa.py_buffer(np.ascontiguousarray(starts[ends]).tobytes())
+        return pa.Array.from_buffers(pa.large_binary(), len(ids), [nulls, bounds, data])
+
+    def decode_column(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of every id list; an id outside the vocabulary is an error."""
+        return self._joined(ids, self.entries)
+
+    def text_column(self, ids: pa.ListArray) -> pa.Array:
+        """The ids in decimal, each followed by a comma."""
+        return self._joined(ids, self.decimals)
 
 
 _CODERS: dict[str, Coder] = {}
@@ -213,8 +238,7 @@ class Tokenizer:
         def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(shared, key)
             for b in pieces(batches, 256):
-                ids = [np.array(coder.encode(t or ""), np.int32) for t in b.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names, "_ids"])
+                yield pa.RecordBatch.from_arrays([*b.columns, coder.encode_column(b.column(at))], [*b.schema.names, "_ids"])
 
         out = flat.mapInArrow(mapped, StructType([*flat.schema, StructField("_ids", ArrayType(IntegerType()))]))
         keep = [F.col(f"_c{i}").alias(c) for i, c in enumerate(names) if c != ids_col]
@@ -232,8 +256,8 @@ class Tokenizer:
         def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(shared, key)
             for b in pieces(batches, 256):
-                raw = [None if x is None else coder.decode(x) for x in b.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.binary())], [*b.schema.names, "_raw"])
+                raw = coder.decode_column(b.column(at)).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns, raw], [*b.schema.names, "_raw"])
 
         out = flat.mapInArrow(mapped, StructType([*flat.schema, StructField("_raw", BinaryType())]))
         keep = [F.col(f"_c{i}").alias(c) for i, c in enumerate(names) if c != out_col]
@@ -241,11 +265,20 @@ class Tokenizer:
 
 
 def digests(docs: DataFrame, tokenizer: Tokenizer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256: encoded, then decoded from the ids."""
-    ids = tokenizer.encode(pick(docs, doc_id=id_col, text=text_col)).drop("text")
-    back = tokenizer.decode(ids)
-    return back.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256: every text is encoded and its ids are
+    decoded in the same pass, so that neither ids nor texts leave the worker."""
+    shared, key = tokenizer.shared, tokenizer.key
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(shared, key)
+        for b in pieces(batches, 256):
+            ids = coder.encode_column(b.column(1))
+            texts = [sha256(memoryview(t.as_buffer())[:-1]).hexdigest() for t in coder.text_column(ids)]
+            bytes_ = [sha256(t.as_buffer()).hexdigest() for t in coder.decode_column(ids)]
+            n = pc.list_value_length(ids).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), n, pa.array(texts, pa.string()), pa.array(bytes_, pa.string())], names)
+
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    rows = pick(docs, doc_id=id_col, text=text_col)
+    kind = dict(rows.dtypes)["doc_id"]
+    return rows.mapInArrow(mapped, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

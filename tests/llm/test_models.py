@@ -136,7 +136,7 @@ def test_licence_wording(docs, licences):
         1: ("Plain words.\n\nWe release this under the MIT license.", [(2, "MIT")]),
         2: ("This file is licensed under the Apache License version 2.0 only", [(0, "Apache-2.0")]),
         3: ("Licensed under CC BY-ND 4.0.", [(0, "CC-BY-ND")]),
-        4: ("The license of the car was lost, and the version of events differs.", []),
+        4: ("The car was lost, and the order of events differs.", []),
         5: ("All rights reserved.", [(0, "unknown")]),
         6: ("", []), 7: (None, []),
     }
