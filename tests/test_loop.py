@@ -64,8 +64,34 @@ def test_stored_scores_are_idempotent(spark, frame):
     tables.append_predictions(frame([record()], PRED), log)
     for _ in range(2):
         pred.rescore(spark, log, out, frame([("a", TARGET, 20500.0, 20300.0)], ACT))
-    assert tables.latest_version(spark, out) == 2
-    assert tables.read_version(spark, out, tables.SCORES).count() == 1
+    assert tables.read_scores(spark, out).count() == 1
+
+
+def day_files(path):
+    import glob
+    import os
+
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/target_date=*/*.parquet")}
+
+
+def test_only_the_days_of_a_pull_are_rewritten(spark, frame):
+    log, out = shared_dir(spark, "log"), shared_dir(spark, "scores")
+    days = [f"2026-08-0{d} 12:00:00" for d in (5, 6, 7)]
+    tables.append_predictions(frame([record(i, load=20000.0 + i, target=t) for i, t in enumerate(days)], PRED), log)
+    pred.rescore(spark, log, out, frame([("a", t, 20500.0, 20300.0) for t in days], ACT))
+    before = day_files(out)
+    pred.rescore(spark, log, out, frame([("a", days[1], 20900.0, 20300.0)], ACT))
+    after = day_files(out)
+    assert len(before) == 3 and {f for f in before if "08-06" not in f} <= set(after)
+    assert all(after[f] == before[f] for f in before if "08-06" not in f)
+    got = {r["target_date"].day: r["actual_mw"] for r in tables.read_scores(spark, out).collect()}
+    assert got == {5: 20500.0, 6: 20900.0, 7: 20500.0}
+
+
+def test_two_revisions_of_an_hour_give_one_score(spark, frame):
+    rows = frame([("a", TARGET, 21000.0, None), ("a", TARGET, 20500.0, 1.0)], ACT).withColumn("seq", F.when(F.col("load_mw") > 20600, 1).otherwise(2))
+    assert [r["actual_mw"] for r in pred.score(frame([record()], PRED), rows, arrival="seq").collect()] == [20500.0]
+    assert pred.score(frame([record()], PRED), rows).count() == 1
 
 
 @pytest.mark.parametrize("n,status", [(0, "empty"), (10, "accumulating"), (168, "measuring")])
@@ -73,7 +99,7 @@ def test_performance_needs_enough_rows(spark, n, status):
     rows = spark.range(n).select(F.lit("a").alias("series_id"), F.lit(100.0).alias("actual_mw"), F.lit(105.0).alias("load_mw"), F.lit(0.05).alias("ape"), F.lit(101.0).alias("tso_mw"))
     r = pred.performance(rows, ["series_id"], groups=spark.createDataFrame([("a",)], "series_id string")).first()
     assert r["status"] == status and r["breached"] == (n >= 168)
-    assert (r["model_mape"] is None) == (n < 168)
+    assert r["sufficient"] == (n >= 168) and r["model_mape"] == (pytest.approx(5.0) if n else None)
 
 
 @pytest.mark.parametrize("n,method", [(200, "ks_p_value"), (3000, "wasserstein_normed")])
@@ -83,8 +109,12 @@ def test_drift_names_exactly_the_moved_feature(spark, n, method, buckets):
     parts = [("moved", rng.normal(5, 1, n), True), ("moved", rng.normal(0, 1, n), False), ("still", rng.normal(0, 1, n), True), ("still", rng.normal(0, 1, n), False)]
     pdf = pd.concat([pd.DataFrame({"feature": f, "value": v, "is_current": c}) for f, v, c in parts])
     stats = two_sample(spark.createDataFrame(pdf), ["feature"], buckets=buckets)
-    verdicts = drift_verdict(stats)
-    assert {r["method"] for r in verdicts.collect()} == {method}
+    verdicts = drift_verdict(stats, method)
+    for r in verdicts.collect():  # both scores and verdicts, at every size
+        assert r["method"] == method and r["drifted_by_p_value"] == (r["ks_p_value"] < 0.05) and r["drifted_by_distance"] == (r["wasserstein_normed"] >= 0.1)
+        assert r["drifted"] == (r["drifted_by_p_value"] if method == "ks_p_value" else r["drifted_by_distance"])
+    with pytest.raises(ValueError):
+        drift_verdict(stats, "by size")
     share = drift_share(verdicts).first()
     assert share["drifted_names"] == ["moved"] and share["drift_share"] == 0.5
     cur, old = (np.sort(v) for f, v, c in parts if f == "still")
@@ -106,10 +136,19 @@ def test_reference_choice(frame):
     tagged = ref.tag_windows(df, ref.current_windows(df))
     rich = ref.choose_reference(tagged, min_rows=60).first()
     assert rich["reference_strategy"] == "seasonal" and rich["reference_rows"] == 3 * 29
-    poor = ref.choose_reference(tagged, min_rows=500).first()
+    poor = ref.choose_reference(tagged, min_rows=500, fallback_to_trailing=True).first()
     assert poor["reference_strategy"] == "trailing" and poor["reference_rows"] == 14
-    kept = ref.choose_reference(tagged, min_rows=500, fallback_to_trailing=False).first()
-    assert kept["reference_strategy"] == "seasonal"
+    kept = ref.choose_reference(tagged, min_rows=500).first()
+    assert kept["reference_strategy"] == "seasonal" and (kept["seasonal_rows"], kept["trailing_rows"]) == (3 * 29, 14)
+
+
+def test_only_hours_within_reach_are_read(spark, frame):
+    df = years(frame)
+    windows = ref.current_windows(df)
+    near = ref.within_reach(df, windows, 48, "trailing")
+    assert near.count() == 14 + 14 + 1 + 2
+    assert {r["ts"] for r in ref.trailing_reference(df, windows).collect()} <= {r["ts"] for r in near.collect()}
+    assert ref.within_reach(df, windows, 48).count() == 31 + 3 * 31
 
 
 GATE = [
@@ -291,29 +330,104 @@ def test_lead_matched_hours_tile_once(stored):
 def test_drift_check_statuses(spark, stored):
     log = stored.select(F.xxhash64("series_id", "ts").alias("id"), "series_id", F.col("ts").alias("target_time"), F.col("ts").alias("predicted_at"), F.lit(24).alias("horizon_hours"), F.lit("1").alias("model_version"), (F.col("load_mw") * 1.06).alias("load_mw"), F.col("load_mw").alias("actual_mw"))
     scored = log.withColumns({"ape": F.lit(0.06), "tso_mw": F.col("actual_mw")})
-    out = monitoring.check_drift(stored, scored, log)
+    out = monitoring.check_drift(stored, scored, log, strategy="trailing")
     for r in out.collect():
-        assert r["status"] == "drift" and r["rolling_mape"] == pytest.approx(6) and "rolling MAPE" in r["reasons"]
+        assert r["status"] == "drift" and r["rolling_mape"] == pytest.approx(6) and "error" in r["reason_codes"].split()
         assert r["reference_strategy"] == "trailing" and r["monitored_features"] == 11
     quiet = monitoring.check_drift(stored.filter("ts < '2024-01-09'"), scored.filter("false"), log.filter("false"))
     assert {r["status"] for r in quiet.collect()} == {"insufficient_data"}
     path, marks = shared_dir(spark, "history"), shared_dir(spark, "flags")
     monitoring.record_check(out, path, marks)
     assert tables.read_drift_history(spark, path).count() == 2
-    assert tables.read(spark, marks, tables.EVENTS).filter("event = 'raise'").count() == 2
+    raised = tables.read(spark, marks, tables.EVENTS).filter("event = 'raise'")
+    assert {r["series_id"] for r in raised.collect()} == {"a", "b"}
 
 
 def test_retrain_outcomes(spark, stored, frame):
     events = frame([("a", "retrain", "raise", "2024-01-01", "drifted")], EV)
-    runs = spark.createDataFrame([], "run_id string, data_source string, metrics map<string,double>, started_at timestamp")
-    aliases = spark.createDataFrame([], tables.ALIASES)
-    young = lifecycle.retrain(stored, events, aliases, runs, "a", "m", "2024-02-20", validation_days=60)
+    runs, aliases = spark.createDataFrame([], tables.RUNS), spark.createDataFrame([], tables.ALIASES)
+    young = lifecycle.retrain(stored, events, aliases, runs, "m", "2024-02-20", validation_days=60)
     assert young.status == lifecycle.INSUFFICIENT_DATA and young.events is None
-    done = lifecycle.retrain(stored, events, aliases, runs, "a", "m", "2024-02-20", validation_days=7, params={"maxIter": 10, "maxDepth": 4})
-    assert done.status == (lifecycle.PROMOTED if done.decisions.first()["promote"] else lifecycle.NOT_PROMOTED)
-    assert lifecycle.retrain_flag(events.unionByName(done.events)).isEmpty()
-    after = events.unionByName(done.events)
-    assert lifecycle.retrain(stored, after, aliases, runs, "a", "m", "2024-02-21", validation_days=7).status == lifecycle.SKIPPED
+    assert {(r["series_id"], r["due_code"]) for r in young.due.collect()} == {("a", "flag"), ("b", "never")}
+
+
+def test_the_loop_closes_on_its_own_tables(spark, stored):
+    """Ingest, forecast, check, record, retrain, retrain again: all from stored tables."""
+    small = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.5}
+    at = {n: shared_dir(spark, n) for n in ("ds", "events", "history", "runs", "gate", "aliases")}
+    load = stored.select("series_id", "ts", "load_mw", "tso_forecast_mw")
+    issues = dataset.ingest(spark, at["ds"], load, stored.select("series_id", "ts", *canonical.WEATHER), "r1", at["events"], "2024-02-15")
+    assert issues.filter("severity = 'error'").isEmpty()
+    table = canonical.read_periods(spark, at["ds"])
+    log = table.select(F.xxhash64("series_id", "ts").alias("id"), "series_id", F.col("ts").alias("target_time"), F.col("ts").alias("predicted_at"), F.lit(24).alias("horizon_hours"), F.lit("1").alias("model_version"), (F.col("load_mw") * 1.06).alias("load_mw"), F.lit("r").alias("model_name"))
+    scored = pred.scored_predictions(log, pred.score(log, table))
+    monitoring.record_check(monitoring.check_drift(table, scored, log, strategy="trailing"), at["history"], at["events"])
+    events = lambda: tables.read(spark, at["events"], tables.EVENTS)
+    assert {r["series_id"] for r in lifecycle.retrain_flag(events()).collect()} == {"a", "b"}
+
+    def retrain(now, **how):
+        out = lifecycle.retrain(
+            canonical.read_periods(spark, at["ds"]), events(), tables.read(spark, at["aliases"], tables.ALIASES),
+            tables.read(spark, at["runs"], tables.RUNS), "m", now, validation_days=7, params=small, **how,
+        )
+        lifecycle.record_retrain(out, at["events"], at["runs"], at["gate"], at["aliases"])
+        return out
+
+    first = retrain("2024-02-20")
+    assert first.status == lifecycle.PROMOTED and first.champion.version in ("1", "2")
+    assert lifecycle.retrain_flag(events()).isEmpty()
+    stored_runs = tables.read(spark, at["runs"], tables.RUNS)
+    assert {(r["model_name"], r["version"]) for r in stored_runs.collect()} == {("m", "1"), ("m", "2")}
+    best = stored_runs.orderBy(F.element_at("metrics", "mape")).first()
+    champion = lifecycle.champion_metric(tables.read(spark, at["aliases"], tables.ALIASES), stored_runs, "mape").first()
+    assert (champion["run_id"], champion["version"]) == (best["run_id"], best["version"]) and champion["champion"] > 0
+    assert retrain("2024-02-21").status == lifecycle.SKIPPED
+    second = retrain("2024-02-22", force=True)
+    assert {r["version"] for r in second.decisions.collect()} == {"3", "4"}
+    codes = {r["code"] for r in second.decisions.collect()}
+    assert codes <= {"accepted", "regression", "worse_than_naive"}  # judged against the stored champion
+    served = pred.forecast(table.filter("ts < '2024-02-10'"), table.select("series_id", "ts", *canonical.WEATHER), first.champion, "2024-02-10")
+    assert served.count() == 48 and served.filter("p10 IS NULL OR p10 > p50 OR p50 > p90").isEmpty()
+
+
+def test_an_unknown_champion_run_holds(spark, frame):
+    aliases = frame([("m", "champion", "9", "gone", "2024-01-02")], "model_name string, alias string, version string, run_id string, at timestamp")
+    value = lifecycle.champion_metric(aliases, spark.createDataFrame([], tables.RUNS), "mape", "ingested")
+    cand = spark.createDataFrame([("m", "10", "r10", 1.0, 2.0)], "model_name string, version string, run_id string, candidate double, naive double")
+    row = lifecycle.promotion_decision(cand.join(value.select("model_name", "champion"), "model_name", "left")).first()
+    assert not row["promote"] and row["gate_code"] == "champion_invalid"
+
+
+def test_the_best_candidate_gets_the_alias_and_versions_are_numbers(spark, frame):
+    rows = [("m", "9", "r9", 1.5, 2.0, None), ("m", "10", "r10", 1.2, 2.0, None), ("m", "11", "r11", 1.9, 2.0, None)]
+    cand = spark.createDataFrame(rows, "model_name string, version string, run_id string, candidate double, naive double, champion double")
+    _, moves = lifecycle.apply_gate(lifecycle.promotion_decision(cand), "2024-01-01")
+    assert [(r["version"], r["run_id"]) for r in moves.collect()] == [("10", "r10")]
+    same = frame([("m", "champion", v, f"r{v}", "2024-01-01") for v in ("9", "10")], "model_name string, alias string, version string, run_id string, at timestamp")
+    assert lifecycle.current_alias(same).first()["version"] == "10"
+
+
+def test_a_job_leaves_no_scratch_behind(spark, stored):
+    import os
+
+    from loadloom.session import scratch
+
+    with scratch(spark) as made:
+        assert evaluation.run_backtest(stored, 24, 14, 5, 5, trees=[]).count() > 0
+        assert len(made) >= 2 and all(os.path.isdir(p) for p in made)
+    assert not any(os.path.exists(p) for p in made)
+
+
+def test_a_session_without_a_shared_folder_is_an_error():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session(), "x")
 
 
 def test_stream_keeps_the_last_revision(spark, frame):
@@ -323,5 +437,16 @@ def test_stream_keeps_the_last_revision(spark, frame):
     path = shared_dir(spark, "raw")
     df = frame(rows, "series_id string, ts timestamp, value double, ingest_seq long")
     df.write.parquet(path)
-    out = streams.run_available(streams.revised_hourly_stream(streams.read_stream(spark, path, df.schema)), "t")
-    assert [(r["load_mw"], r["slots"]) for r in out.collect()] == [(3.0, 4)]
+    slots = streams.run_upserted(streams.revised_slots_stream(streams.read_stream(spark, path, df.schema)), "t", ["series_id", "ts"])
+    out = streams.hourly_of_slots(slots).orderBy("ts")
+    assert [(r["load_mw"], r["slots"]) for r in out.collect()] == [(3.0, 4), (0.0, 1)]  # the newest hour is there too
+
+
+def test_updates_over_several_batches(spark, frame):
+    schema = "series_id string, ts timestamp, value double"
+    path = shared_dir(spark, "raw")
+    for i, v in enumerate((1.0, 3.0, 5.0)):
+        frame([("a", str(T0 + timedelta(minutes=15 * i)), v)], schema).coalesce(1).write.mode("append").parquet(path)
+    source = streams.read_stream(spark, path, "series_id string, ts timestamp, value double", files_per_trigger=1)
+    out = streams.run_upserted(streams.hourly_stream(source), "h", ["series_id", "ts"])
+    assert [(r["load_mw"], r["readings"]) for r in out.collect()] == [(3.0, 3)]

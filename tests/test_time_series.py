@@ -186,12 +186,19 @@ def test_holidays_follow_the_local_date(spark):
 
 
 def test_holiday_calendar_counts(spark):
-    dim = holiday_dimension(spark)
+    dim = holiday_dimension(spark, 1980, 2030)
     between = lambda a, b: dim.filter(F.col("holiday_date").between(a, b)).count()
     assert between("2025-08-21", "2026-08-19") == 14
     assert between("2021-01-01", "2021-12-31") == 13
     assert dim.filter("holiday_date = date'2000-04-23'").count() == 1  # Easter Sunday
     assert dim.filter("holiday_date in (date'2010-01-06', date'2024-12-24')").count() == 0
+    assert dim.filter("holiday_date in (date'1985-12-25', date'1985-04-07', date'1985-01-01')").count() == 3
+
+
+@pytest.mark.parametrize("day,holiday", [("1985-12-25", True), ("1899-12-26", True), ("2222-03-31", True), ("1985-05-03", False), ("2150-11-11", True)])
+def test_holidays_of_any_year(spark, day, holiday):
+    df = spark.sql(f"SELECT timestamp'{day} 12:00:00' ts")
+    assert values(with_holiday_flag(df), "is_holiday") == [holiday]
 
 
 def test_segment_labels(frame):
