@@ -25,9 +25,9 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StructField, StructType
 
-from .common import pick, pieces
+from .common import pick, pieces, raw_texts
 
 #: Broadcast bounds: bytes of the vocabulary file, and kept results per Python worker.
 MAX_VOCABULARY_BYTES = 64_000_000
@@ -226,10 +226,13 @@ class Tokenizer:
         self.shared = spark.sparkContext.broadcast(vocabulary(read_ranks(path), pattern))
         self.key = f"{path}\n{pattern}"
 
-    def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    def encode(
+        self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids", check_col: str | None = None
+    ) -> DataFrame:
         """``docs`` with the ids of each text appended as array<int>; null and empty texts: no id.
 
-        A column that already has the name is replaced.
+        ``check_col`` also appends whether the ids, decoded in the same pass, give the text's
+        bytes again. A column that already has one of the names is replaced.
         """
         shared, key, names = self.shared, self.key, docs.columns
         at = names.index(text_col)
@@ -238,11 +241,18 @@ class Tokenizer:
         def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(shared, key)
             for b in pieces(batches, 256):
-                yield pa.RecordBatch.from_arrays([*b.columns, coder.encode_column(b.column(at))], [*b.schema.names, "_ids"])
-
-        out = flat.mapInArrow(mapped, StructType([*flat.schema, StructField("_ids", ArrayType(IntegerType()))]))
-        keep = [F.col(f"_c{i}").alias(c) for i, c in enumerate(names) if c != ids_col]
-        return out.select(*keep, F.col("_ids").alias(ids_col))
+                ids = coder.encode_column(b.column(at))
+                cols = [*b.columns, ids]
+                if check_col:
+                    back = coder.decode_column(ids).to_pylist()
+                    cols.append(pa.array([x == y for x, y in zip(back, raw_texts(b.column(at)))], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(cols, [*b.schema.names, *[f.name for f in added]])
+
+        added = [StructField("_ids", ArrayType(IntegerType()))] + [StructField("_same", BooleanType())] * bool(check_col)
+        out = flat.mapInArrow(mapped, StructType([*flat.schema, *added]))
+        keep = [F.col(f"_c{i}").alias(c) for i, c in enumerate(names) if c not in (ids_col, check_col)]
+        checked = [F.col("_same").alias(check_col)] if check_col else []
+        return out.select(*keep, F.col("_ids").alias(ids_col), *checked)
 
     def decode(self, docs: DataFrame, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
         """``docs`` with the bytes of each id array appended as binary; null: null.

@@ -132,6 +132,11 @@ def test_bpe_equals_the_library_and_round_trips(spark, docs, small, tokens):
     got = mine.decode(mine.encode(docs(data)))
     want = sorted(((d, own.encode_ordinary(t or ""), (t or "").encode()) for d, t in data), key=repr)
     assert sorted(((r.doc_id, list(r.ids), bytes(r.decoded)) for r in got.collect()), key=repr) == want
+    checked = mine.encode(docs(ODD), check_col="h1")
+    assert checked.where("NOT h1").count() == 0 and checked.count() == len(ODD)
+    ids = spark.createDataFrame([(1, [36, 1459]), (2, None), (3, []), (4, [36])], "k int, ids array<int>")
+    table = [t for t in mine.shared.value.tokens]
+    assert {r.k: r.decoded for r in mine.decode(ids).collect()} == {1: table[36] + table[1459], 2: None, 3: b"", 4: table[36]}
     digests = {r.doc_id: r for r in bpe.digests(docs(data[:5]), mine).collect()}
     for d, t in data[:5]:
         ids = own.encode_ordinary(t or "")
