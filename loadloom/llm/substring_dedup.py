@@ -5,10 +5,12 @@ common offset below v that puts both on the cover. Anchors are runs of ``window
 words that start at cover positions of their own document: two equal windows, wherever
 they start, hold an equal anchor at the same offset. So only anchors are hashed and
 shuffled at first (4 of 13 positions here). An anchor found once proves that no window with
-it at that place repeats; only windows around repeated anchors are extended to their full
-length, compared by 96-bit hashes, and all but the first of equals removed.
+it at that place repeats. Around repeated anchors matches are extended: first to whole
+regions that anchors cover, of which equal ones (copies, passages) leave one to look at,
+then to the single windows of the others, compared by 96-bit hashes. All but the first of
+equals are removed.
 
-Hot passages: each task reduces its anchors and windows to one row per hash before the
+Hot passages: each task reduces its anchors, regions and windows to one row per hash before the
 shuffle, and marks what repeats within its own rows, so a group holds at most one row per
 chunk of input, however often a passage occurs.
 """
@@ -120,56 +122,127 @@ def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
     return found.groupBy("doc").agg(F.collect_set(F.when(F.col("at") < 0, -F.col("at") - 1).otherwise(F.col("at"))).alias("places"))
 
 
-def later_windows(docs: DataFrame, anchors: DataFrame, window: int) -> DataFrame:
-    """(id, text_key, start, run): runs of window starts whose words also start earlier."""
-    period = period_for(window)
-    held = docs.join(anchors, "doc").select("id", "text_key", "text", "places")
+def regions(places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the stretches that repeated anchors cover without a gap."""
+    p = np.unique(places)
+    new = np.append(True, p[1:] > p[:-1] + size)
+    heads = np.flatnonzero(new)
+    return p[heads], p[np.append(heads[1:], len(p)) - 1] + size
+
+
+def _firsts(h1: np.ndarray, h2: np.ndarray, places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows in order of their places: which are the first of their hash, and which are
+    later than it (a repeated row of the same place is neither)."""
+    order = np.lexsort((h2, h1))
+    a, b = h1[order], h2[order]
+    same = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1]))[: len(a)]
+    first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    lone, later = np.ones(len(h1), bool), np.zeros(len(h1), bool)
+    lone[order] = ~same
+    later[order] = same & np.logical_or.reduce([x[order] != x[first] for x in places])
+    return lone, later
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """Rows (h1, h2, id, text_key, start, run, known): those known or found to start later
+    than an equal one."""
+    place = F.struct("id", "text_key", "start")
+    first = F.min(place).over(Window.partitionBy("h1", "h2"))
+    later = rows.withColumn("first", first).where(F.col("known") | (place > F.col("first")))
+    return later.select("id", "text_key", "start", "run")
+
+
+_ROWS = "h1 long, h2 int, id long, text_key long, start int, run int, known boolean"
+
+
+def _batch(h1, h2, doc, key, start, run, known) -> pa.RecordBatch:
+    h2 = (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    cols = [h1.view(np.int64), h2, doc, key, start.astype(np.int32), run.astype(np.int32), known]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["h1", "h2", "id", "text_key", "start", "run", "known"])
+
+
+def later_regions(held: DataFrame, window: int) -> DataFrame:
+    """(id, text_key, start, run): whole regions of repeated anchors that are equal, word for
+    word, to one that starts earlier: all windows inside them are later ones.
+
+    A copy of a text or a passage is one such region, so its windows need not be compared
+    one by one.
+    """
+    size = window - period_for(window) + 1
 
     def of_document(doc, key, raw, places):
+        h = word_hashes(raw)
+        lo, hi = regions(np.array(places), size)
+        ok = (hi - lo >= window) & (hi <= len(h))  # places may be those of another text under the id
+        lo, hi = lo[ok], hi[ok]
+        digest = b"".join(xxhash.xxh3_128_digest(h[x:y].tobytes()) for x, y in zip(lo.tolist(), hi.tolist()))
+        d = np.frombuffer(digest, np.uint64).reshape(-1, 2)
+        return (d[:, 0], d[:, 1], np.full(len(lo), doc, np.int64), np.full(len(lo), key, np.int64), lo, hi - lo), len(h)
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h1, h2, doc, key, start, n in _chunks(batches, of_document):
+            order = np.lexsort((start, key, doc))
+            h1, h2, doc, key, start, n = (x[order] for x in (h1, h2, doc, key, start, n))
+            lone, later = _firsts(h1, h2, [doc, key, start])
+            h1 = np.where(later, scattered(doc ^ key, start), h1)
+            keep = lone | later
+            yield _batch(*(x[keep] for x in (h1, h2, doc, key, start, n - window + 1, later)))
+
+    return _judged(held.select("id", "text_key", "text", "places").mapInArrow(reduced, _ROWS))
+
+
+def later_windows(held: DataFrame, window: int) -> DataFrame:
+    """(id, text_key, start, run): runs of window starts whose words also start earlier.
+
+    ``held`` has the places of repeated anchors and, in ``skip``, the regions that are known
+    to be later ones; these are handed on as they are, all other windows around repeated
+    anchors are compared.
+    """
+    period = period_for(window)
+
+    def of_document(doc, key, raw, places, skip):
         h = word_hashes(raw)
         n = len(h) - window + 1
         if n < 1:
-            return [h[:0]] * 5, len(h)
-        near = np.zeros(n + 1, np.int32)
+            return [h[:0]] * 6, len(h)
+        near, done = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32)
         at = np.array(places)
         np.add.at(near, np.clip(at - period + 1, 0, n), 1)
         np.add.at(near, np.minimum(at + 1, n), -1)
-        start = np.flatnonzero(np.cumsum(near[:-1]))
+        own = [(r["start"], r["run"]) for r in skip or () if r["id"] == doc and r["text_key"] == key]
+        for start, run in own:
+            done[start] += 1
+            done[start + run] -= 1
+        start = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (np.cumsum(done[:-1]) == 0))
         h1, h2 = run_hashes(h, window, _B1)[start], run_hashes(mixed(h), window, _B2)[start]
-        return (h1, h2, np.full(len(start), doc, np.int64), np.full(len(start), key, np.int64), start), len(h)
+        runs = np.zeros(len(start), np.int64)
+        if own:
+            known = np.array(own)
+            start, runs = np.concatenate([start, known[:, 0]]), np.concatenate([runs, known[:, 1]])
+            spread = scattered(np.full(len(own), doc ^ key, np.int64), known[:, 0])
+            h1, h2 = np.concatenate([h1, spread]), np.concatenate([h2, spread])
+        return (h1, h2, np.full(len(start), doc, np.int64), np.full(len(start), key, np.int64), start, runs), len(h)
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h1, h2, doc, key, start in _chunks(batches, of_document):
+        for cols in _chunks(batches, of_document):
             # In order of documents: rows compress best so, and the first of equals comes first.
-            order = np.lexsort((start, key, doc))
-            h1, h2, doc, key, start = (x[order] for x in (h1, h2, doc, key, start))
-            order = np.lexsort((h2, h1))
-            a, b = h1[order], h2[order]
-            same = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
-            first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
-            lone, later = np.ones(len(h1), bool), np.zeros(len(h1), bool)
-            lone[order] = ~same
-            later[order] = same & ((doc[order] != doc[first]) | (key[order] != key[first]) | (start[order] != start[first]))
+            order = np.lexsort((cols[4], cols[3], cols[2]))
+            h1, h2, doc, key, start, run = (x[order] for x in cols)
+            known = run > 0
+            yield _batch(h1[known], h2[known], doc[known], key[known], start[known], run[known], known[known])
+            h1, h2, doc, key, start = (x[~known] for x in (h1, h2, doc, key, start))
+            lone, later = _firsts(h1, h2, [doc, key, start])
+            one = np.ones(int(lone.sum()), np.int64)
+            yield _batch(h1[lone], h2[lone], doc[lone], key[lone], start[lone], one, np.zeros(len(one), bool))
             # Later ones of the chunk go on as runs of starts, under keys that spread.
             d, k, s = doc[later], key[later], start[later]
             new = np.append(True, (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (s[1:] > s[:-1] + 1))[: len(d)]
             heads = np.flatnonzero(new)
-            last = np.append(heads[1:], len(d)) - 1
-            run = s[last] - s[heads] + 1 if len(heads) else s[:0]
+            run = s[np.append(heads[1:], len(d)) - 1] - s[heads] + 1 if len(heads) else s[:0]
             spread = scattered(d[heads] ^ k[heads], s[heads])
-            cols = [
-                np.concatenate([h1[lone], spread]).view(np.int64), (np.concatenate([h2[lone], spread]) >> np.uint64(32)).astype(np.uint32).view(np.int32),
-                np.concatenate([doc[lone], d[heads]]), np.concatenate([key[lone], k[heads]]),
-                np.concatenate([start[lone], s[heads]]).astype(np.int32),
-                np.concatenate([np.zeros(lone.sum(), np.int64), run]).astype(np.int32),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["h1", "h2", "id", "text_key", "start", "run"])
-
-    rows = held.mapInArrow(reduced, "h1 long, h2 int, id long, text_key long, start int, run int")
-    place = F.struct("id", "text_key", "start")
-    judged = rows.withColumn("first", F.min(place).over(Window.partitionBy("h1", "h2")))
-    later = judged.where((F.col("run") > 0) | (place > F.col("first")))
-    return later.select("id", "text_key", "start", F.greatest("run", F.lit(1)).alias("run"))
+            yield _batch(spread, spread, d[heads], k[heads], s[heads], run, np.ones(len(heads), bool))
+
+    return _judged(held.select("id", "text_key", "text", "places", "skip").mapInArrow(reduced, _ROWS))
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -184,11 +257,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     others. Repeated rows (same id and text) are one document, not copies of each other;
     rows that share only the id are ordered by a hash of their text.
     """
-    # One join key for all: the id, or the hash of the text where the id is missing. Both joins
+    # One join key for all: the id, or the hash of the text where the id is missing. All joins
     # shuffle the texts by it in the same way, so they are shuffled once.
     doc = F.when(F.col("id") == NO_ID, F.col("text_key")).otherwise(F.col("id")).alias("doc")
     base = documents(docs, id_col, text_col).select(doc, "id", "text_key", "text")
-    later = later_windows(base, repeated_anchors(base, window), window)
+    places = repeated_anchors(base, window)
+    held = base.join(places, "doc")
+    skip = later_regions(held, window).groupBy(doc).agg(F.collect_list(F.struct("id", "text_key", "start", "run")).alias("skip"))
+    later = later_windows(held.join(skip, "doc", "left"), window)
     runs = later.groupBy(doc).agg(F.collect_list(F.struct("id", "text_key", "start", "run")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
