@@ -18,8 +18,8 @@ from large-star and small-star rounds whose results are tables in the shared fol
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
+from functools import lru_cache, reduce
 from itertools import combinations, islice, repeat
 
 import numpy as np
@@ -37,36 +37,39 @@ SEED = 42
 _CHUNK = 1 << 16
 
 
-def shingle_hashes(words: list[bytes], size: int) -> Iterator[int]:
-    """Unsigned XXH64 of every run of ``size`` words, repeats included."""
+def shingles(words: list[bytes], size: int) -> Iterator[bytes]:
+    """Every run of ``size`` words, repeats included; fewer words: the whole sequence."""
     if len(words) < size:
-        runs = iter([b" ".join(words)] if words else [])
-    else:
-        runs = map(b" ".join, zip(*(islice(words, i, None) for i in range(size))))
-    return map(xxhash.xxh64_intdigest, runs, repeat(SEED))
+        return iter([b" ".join(words)] if words else [])
+    return map(b" ".join, zip(*(islice(words, i, None) for i in range(size))))
 
 
-def fingerprint(raw: bytes, size: int = SHINGLE_WORDS) -> int:
-    """Bit i is set if it is set in over half of the hashes; no word: zero.
+def fingerprint(raw: bytes, size: int = SHINGLE_WORDS, seeds: Sequence[int] = (SEED,)) -> list[int]:
+    """One fingerprint per seed: bit i is set if it is set in over half of the shingles' XXH64
+    values; no word: zero.
 
     ``bytes.lower`` and ``bytes.split`` know A-Z and the six ASCII spaces only, as wanted.
     """
-    hashes, total, ones = shingle_hashes(raw.lower().split(), size), 0, np.zeros(64, np.int64)
-    while len(h := np.fromiter(islice(hashes, _CHUNK), np.uint64)):
-        total += len(h)
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint32)
-    return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
+    runs, total, ones = shingles(raw.lower().split(), size), 0, np.zeros((len(seeds), 64), np.int64)
+    while part := list(islice(runs, _CHUNK)):
+        total += len(part)
+        for k, seed in enumerate(seeds):
+            h = np.fromiter(map(xxhash.xxh64_intdigest, part, repeat(seed)), np.uint64, len(part))
+            ones[k] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint32)
+    return np.packbits(2 * ones > total, axis=1, bitorder="little").view(np.uint64)[:, 0].tolist()
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, text_key, fp) for every row of ``documents``."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS, seeds: Sequence[int] = (SEED,)) -> DataFrame:
+    """(id, text_key, fp0, fp1, ...), one fingerprint per seed, for every row of ``docs``."""
+    names = [f"fp{k}" for k in range(len(seeds))]
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            fps = np.array([fingerprint(t, size) for t in raw_texts(b.column(2))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["id", "text_key", "fp"])
+            fps = np.array([fingerprint(t, size, seeds) for t in raw_texts(b.column(2))], np.uint64).reshape(-1, len(names))
+            cols = [pa.array(np.ascontiguousarray(fps[:, k]).view(np.int64)) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], ["id", "text_key", *names])
 
-    return docs.mapInArrow(mapped, "id long, text_key long, fp long")
+    return docs.mapInArrow(mapped, "id long, text_key long, " + ", ".join(f"{n} long" for n in names))
 
 
 @lru_cache
@@ -172,26 +175,42 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, threshold: int = THRESHOLD
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, threshold: int = THRESHOLD,
+    seeds: Sequence[int] = (SEED,),
 ) -> DataFrame:
-    """(id, text_key, fp, component_id), one row per input row.
-
-    ``component_id`` is the least id reachable over links, itself included. Texts without a
-    word (null, empty, blank) have the fingerprint zero and are linked like any other.
-    Repeated rows share a fingerprint and so a component. A null id counts as the smallest.
+    """(id, text_key, fp0, ..., component_id), one row per input row.
+
+    Documents are linked if the fingerprints of any one seed differ in at most ``threshold``
+    bits. One seed is the plain operator; each further seed is another independent chance
+    for a near copy whose bits happen to differ. ``component_id`` is the least id reachable
+    over links, itself included. Texts without a word (null, empty, blank) have the
+    fingerprint zero and are linked like any other. Repeated rows share a fingerprint and so
+    a component. A null id counts as the smallest.
     """
-    marked = stored(fingerprints(documents(docs, id_col, text_col), size), "fingerprints")
-    firsts = stored(marked.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
-    roots = components(links(firsts, threshold))
-    rooted = firsts.join(roots, firsts.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    owners = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(rooted.join(owners, "root").select("fp", "component_id"), "fp")
+    names = [f"fp{k}" for k in range(len(seeds))]
+    marked = stored(fingerprints(documents(docs, id_col, text_col), size, seeds), "fingerprints")
+    # A node is the least id with the same fingerprints, so the least node is the least id.
+    nodes = stored(marked.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
+    edges = []
+    for name in names:
+        owners = nodes.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("owner"))
+        if len(names) > 1:  # several nodes may share this fingerprint
+            owners = stored(owners, "owners")
+            same = nodes.join(owners, nodes[name] == owners.fp).where("node <> owner")
+            edges.append(same.select(F.col("node").alias("a"), F.col("owner").alias("b")))
+        found = links(owners, threshold)
+        named = owners.select(F.col("fp").alias("a"), F.col("owner").alias("_a"))
+        other = owners.select(F.col("fp").alias("b"), F.col("owner").alias("_b"))
+        edges.append(found.join(named, "a").join(other, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    roots = components(reduce(DataFrame.union, edges))
+    rooted = nodes.join(roots, "node", "left").select(*names, F.coalesce("root", "node").alias("component_id"))
+    return marked.join(rooted, names)
 
 
 def result(found: DataFrame) -> DataFrame:
     """doc_id, fingerprint as 16 hex digits, component_id; a null id is shown as null."""
     return found.select(
-        shown_id().alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        shown_id().alias("doc_id"), F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"),
         shown_id("component_id").alias("component_id"),
     )
 

@@ -66,7 +66,40 @@ def test_simhash_groups(spark, docs, small, which):
     keyed = [(NO_ID if d is None else d, brute_fingerprint(t)) for d, t in data]
     want = sorted((d, f, c) for d, f, c in brute_components(keyed, 2))
     got = simhash.near_duplicates(docs(data) if which == "odd" else table(spark, small))
-    assert sorted((r.id, r.fp % 2**64, r.component_id) for r in got.collect()) == want
+    assert sorted((r.id, r.fp0 % 2**64, r.component_id) for r in got.collect()) == want
+
+
+def test_simhash_groups_of_several_seeds(spark, small):
+    data, seeds = pairs(spark, small), (42, 7, 8)
+    parent = {d: d for d, _ in data}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    prints = {d: simhash.fingerprint((t or "").encode(), 3, seeds) for d, t in data}
+    for k in range(len(seeds)):
+        fps = np.array([prints[d][k] for d, _ in data], np.uint64)
+        for i, (d, _) in enumerate(data):
+            for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 2):
+                a, b = find(d), find(data[j][0])
+                parent[max(a, b)] = min(a, b)
+    got = simhash.near_duplicates(table(spark, small), seeds=seeds)
+    assert {r.id: r.component_id for r in got.collect()} == {d: find(d) for d, _ in data}
+
+
+def test_changed_words_are_found_by_more_seeds(docs):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for i in range(40):
+        text = list(rng.choice(words, 400))
+        rows.append((2 * i, " ".join(text)))
+        text[int(rng.integers(0, 400))] = "changed"
+        rows.append((2 * i + 1, " ".join(text)))
+    kept = {r.doc_id for r in simhash.first_of_each(docs(rows), seeds=(42, 43, 44, 45, 46, 47)).collect()}
+    assert {2 * i for i in range(40)} <= kept and len(kept) <= 42
 
 
 def test_simhash_links_of_crowded_and_scattered_fingerprints(spark):
