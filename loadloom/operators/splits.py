@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import KEYS, TS
 from ..functions.clock import col, hour_number, hour_start
 from ..session import require_positive
-from .align import interval_join
+from .align import interval_join, with_scalars
 
 
 def minimum_training_hours(validation_days: int, horizon: int, weekly_lag: int) -> int:
@@ -37,10 +37,13 @@ def chronological_bounds(
 def chronological_split(
     df: DataFrame, validation_days: int, horizon: int, keys: Sequence[str] = KEYS, ts: str = TS
 ) -> DataFrame:
-    """Label each row ``train``, ``validation`` or ``embargo`` in column ``block``."""
+    """Label each row ``train``, ``validation`` or ``embargo`` in column ``block``. Runs a job.
+
+    ``df`` is read twice (its ends, then its rows): pass a stored frame.
+    """
     bounds = chronological_bounds(df, validation_days, horizon, keys, ts)
     return (
-        df.join(bounds, list(keys))
+        with_scalars(df, bounds, keys)
         .withColumn(
             "block",
             F.when(F.col(ts) <= F.col("train_end"), "train")
@@ -136,6 +139,6 @@ def test_rows(df: DataFrame, splits: DataFrame, keys: Sequence[str] = KEYS, ts:
 
 def train_rows(df: DataFrame, split: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
     """Rows of the training block of one origin per key."""
-    return df.join(split.select(*keys, "train_start", "train_end"), list(keys)).filter(
+    return with_scalars(df, split.select(*keys, "train_start", "train_end"), keys).filter(
         F.col(ts).between(F.col("train_start"), F.col("train_end"))
     ).drop("train_start", "train_end")

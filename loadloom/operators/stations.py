@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import KEYS, TS
 from ..functions.scalars import clip
+from .align import with_scalars
 
 
 def normalise_weights(weights: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -31,11 +32,13 @@ def weighted_mean(
 ) -> DataFrame:
     """Weighted mean over the stations that reported, null where none did.
 
-    Weights are renormalised per hour and column by dividing by the weight present; the
+    Runs a job on the weights. Weights are renormalised per hour and column by dividing by the weight present; the
     result is clipped to the reported range to remove float residue. ``strict`` turns a
     station without weight into a runtime error, otherwise it takes no part.
     """
-    joined = readings.join(weights.select("station", "weight"), "station", "left")
+    # A handful of stations by configuration: broadcast after a count, so that the readings
+    # are not shuffled on so few keys.
+    joined = with_scalars(readings, weights.select("station", "weight"), ["station"], "left")
     if strict:
         joined = joined.withColumn(
             "weight",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import DEFAULT_TZ, KEYS, TS
 from ..functions.names import TARGET, feature_columns
-from ..operators.align import matched_rows, on_common_rows
+from ..operators.align import matched_rows, on_common_rows, with_scalars
 from ..operators.history import seasonal_naive
 from ..operators.latest import last_block_wins
 from ..operators.scores import (
@@ -26,9 +26,7 @@ from ..operators.splits import chronological_split, rolling_origins, test_rows,
 from ..session import require_rows, through_table
 from . import models
 from .features import (
-    CALENDAR,
     LEAD_FEATURES,
-    WEATHER_OUT,
     feature_names,
     make_features,
     make_features_by_lead,
@@ -58,9 +56,9 @@ def linear_by_origin(
     keys, extra = list(keys), list(extra)
     ends = splits.select(*keys, "origin_no", "train_end")
     schedule = ends.groupBy(*keys).agg(F.array_sort(F.collect_list("train_end")).alias("_ends"))
-    # Origins per series are few (max_splits), so the array of their ends is small.
+    # One end per origin: a decade of weekly origins is some 500 numbers.
     placed = (
-        features.join(schedule, keys)
+        with_scalars(features, schedule, keys)
         .withColumn("origin_no", F.size(F.filter("_ends", lambda e: e < F.col(ts))) + 1)
         .filter(F.col("origin_no") <= F.size("_ends"))
         .withColumn("origin_no", F.col("origin_no").cast("long"))
@@ -75,7 +73,7 @@ def linear_by_origin(
 
 
 def _origin_numbers(splits: DataFrame) -> list[int]:
-    """Origin numbers in play: at most ``max_splits`` small integers."""
+    """Origin numbers in play: one small integer per step of the schedule."""
     return [r["origin_no"] for r in splits.select("origin_no").distinct().orderBy("origin_no").collect()]
 
 
@@ -86,22 +84,20 @@ def trees_by_origin(
     """Boosted trees refitted at each origin; long blocks ``(keys, ts, origin_no, model, y_pred)``.
 
     A driver loop over origins and variants whose every fit is a distributed job. Each
-    origin stops early on the tail of its own training block, behind an embargo.
+    origin stops early on the tail of its own training block, behind an embargo. A block is
+    stored as soon as it is fitted, so the plan does not grow with the schedule.
     """
     blocks = None
     for number in _origin_numbers(splits):
         split = splits.filter(F.col("origin_no") == number)
-        labelled = through_table(
-            chronological_split(train_rows(features, split, keys, ts), inner_validation_days, horizon, keys, ts),
-            "origin-train",
-        )
+        labelled = chronological_split(train_rows(features, split, keys, ts), inner_validation_days, horizon, keys, ts)
         train, later = labelled.filter("block = 'train'"), labelled.filter("block = 'validation'")
         tested = test_rows(features, split.select(*keys, "origin_no", "test_start", "test_end"), keys, ts)
         for name, (columns, params) in variants.items():
             fitted = models.fit_trees(train, later, columns, params=params, seed=seed)
-            block = fitted.predict(tested).select(
+            block = through_table(fitted.predict(tested).select(
                 *keys, ts, "origin_no", F.lit(name).alias("model"), F.col(models.PREDICTION).alias("y_pred")
-            )
+            ), "origin-block")
             blocks = block if blocks is None else blocks.unionByName(block)
     return blocks
 
@@ -256,10 +252,3 @@ def audit(
 def audit_table(matched: DataFrame) -> DataFrame:
     """Headline per variant and model: metrics and gap to the reference."""
     return overall(matched, by=["variant"])
-
-
-__all__ = [
-    "CALENDAR", "FLAT", "GATE_FORECAST", "GATE_MODEL", "GATE_OBSERVED", "WEATHER_OUT", "audit",
-    "audit_table", "linear_by_origin", "references", "run_backtest", "run_gate_closure_backtest",
-    "trees_by_origin", "tune_first_origin",
-]
