@@ -191,6 +191,6 @@ aliases AS (
     'r' || o_orderkey AS run_id, o_orderdate + to_hours(o_orderkey % 24) AS "at"
   FROM orders WHERE o_orderpriority = '1-URGENT'),
 champions AS (
-  SELECT * FROM aliases QUALIFY row_number() OVER (PARTITION BY model_name, alias ORDER BY "at" DESC, version DESC) = 1),
+  SELECT * FROM aliases QUALIFY row_number() OVER (PARTITION BY model_name, alias ORDER BY "at" DESC, CAST(version AS BIGINT) DESC) = 1),
 feats AS ({feature_cte('canon')})
 """

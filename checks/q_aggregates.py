@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadloom.functions import names
@@ -176,9 +177,25 @@ def _(spark, sf):
     return fr.history(spark, sf).select(lead_hours("ts").alias("horizon")).distinct().filter("horizon >= 1")
 
 
-@query("a18_fingerprint")
-def _(spark, sf):
-    return fingerprint(fr.canonical(spark, sf), ["series_id"])
+@query("a18_fingerprint", "SELECT DISTINCT series_id, true AS same_when_reordered, true AS other_when_changed, true AS other_when_repeated, true AS other_when_nulled FROM canon")
+def _(spark, sf):
+    """What the hash promises per series: order does not matter, any change does."""
+    c = fr.stored(spark, sf)
+    first = F.col("ts") == F.min("ts").over(Window.partitionBy("series_id"))
+    marked = c.withColumn("_first", first)
+    plain = fingerprint(c, ["series_id"]).select("series_id", F.col("fingerprint").alias("f"))
+    variants = {
+        "same_when_reordered": c.repartition(7, "ts").sortWithinPartitions(F.desc("ts")),
+        "other_when_changed": marked.withColumn("temp_c", F.when(F.col("_first"), F.lit(-77.0)).otherwise(F.col("temp_c"))).drop("_first"),
+        "other_when_repeated": c.unionByName(marked.filter("_first").drop("_first")),
+        "other_when_nulled": marked.withColumn("is_holiday", F.when(~F.col("_first"), F.col("is_holiday"))).drop("_first"),
+    }
+    out = plain
+    for name, frame in variants.items():
+        other = fingerprint(frame, ["series_id"]).select("series_id", F.col("fingerprint").alias("g"))
+        same = F.col("f") == F.col("g")
+        out = out.join(other, "series_id").withColumn(name, same if name.startswith("same") else ~same).drop("g")
+    return out.drop("f")
 
 
 @query("a19_feature_set_id", "SELECT series_id, substr(sha256(string_agg(DISTINCT station, '|' ORDER BY station)), 1, 10) AS feature_set FROM stations GROUP BY 1")

@@ -12,7 +12,7 @@ from loadloom.session import shared_dir, through_table
 from loadloom.sources import tables
 
 from . import frames as fr
-from .base_sql import lag, lead, rolling
+from .base_sql import hour_no, lag, lead, rolling
 from .q_jobs import FLAGS
 from .q_joins import SPLITS
 from .registry import query
@@ -32,19 +32,45 @@ def _train_later(spark, sf):
     return rows.filter("block = 'train'"), rows.filter("block = 'validation'")
 
 
-@query("m1_linear_reference")
+LATER = """, e AS (SELECT series_id, max(ts) - INTERVAL 6 DAY + INTERVAL 1 HOUR AS v0 FROM feats GROUP BY 1),
+later AS (SELECT f.*, n.load_mw AS naive FROM feats f JOIN e USING (series_id) JOIN canon n ON n.series_id = f.series_id AND n.ts = f.ts - INTERVAL 168 HOUR WHERE f.ts >= v0)
+"""
+
+
+def _beats_naive(spark, sf, predicted):
+    """Rows served with their truth, and whether the model's mean error is below the naive one."""
+    naive = evaluation.references(fr.stored(spark, sf)).select("series_id", "ts", "naive_seasonal")
+    rows = through_table(predicted.join(naive, ["series_id", "ts"]), "predicted")
+    error = rows.agg(F.avg(F.abs(F.col("prediction") - F.col("target"))).alias("m"), F.avg(F.abs(F.col("naive_seasonal") - F.col("target"))).alias("n"))
+    return rows.crossJoin(F.broadcast(error)).select(  # one row of two numbers
+        "series_id", "ts", "target", F.col("prediction").isNotNull().alias("predicted"), (F.col("m") < F.col("n")).alias("beats_naive")
+    )
+
+
+@query("m1_linear_reference", LATER + "SELECT series_id, ts, target, true AS predicted, true AS beats_naive FROM later", "target")
 def _(spark, sf):
     """One pooled least-squares model on calendar and weather, predicting the later block."""
     train, later = _train_later(spark, sf)
-    return models.fit_linear(train, NAMES).predict(later).select("series_id", "ts", "target", "prediction")
+    return _beats_naive(spark, sf, models.fit_linear(train, NAMES).predict(later))
 
 
-@query("m1_linear_per_series")
+@query("m1_linear_normal_equations", f"SELECT unnest({LINEAR!r}) AS feature, true AS orthogonal")
+def _(spark, sf):
+    """The residuals of the training rows are orthogonal to every column and to the constant."""
+    train, _ = _train_later(spark, sf)
+    fitted = models.fit_linear(train, NAMES).predict(train)
+    r = F.col("target") - F.col("prediction")
+    sums = fitted.agg(*[(F.abs(F.sum(r * F.col(c))) / (F.sum(F.abs(r * F.col(c))) + 1e-9)).alias(c) for c in LINEAR])
+    return sums.unpivot([], LINEAR, "feature", "share").select("feature", (F.col("share") < 1e-6).alias("orthogonal"))
+
+
+@query("m1_linear_per_series", LATER + "SELECT series_id, ts, target, true AS predicted FROM later", "target")
 def _(spark, sf):
     """One model per series, all in one job."""
     train, later = _train_later(spark, sf)
     fitted = models.fit_linear_groups(train, LINEAR)
-    return models.apply_linear(later.join(fitted, "series_id"), LINEAR).select("series_id", "ts", "target", "prediction")
+    served = models.apply_linear(later.join(fitted, "series_id"), LINEAR)
+    return served.select("series_id", "ts", "target", F.col("prediction").isNotNull().alias("predicted"))
 
 
 ONE = """, ok AS (SELECT series_id, ts, load_mw AS target, tso_forecast_mw FROM hist WHERE load_mw IS NOT NULL AND tso_forecast_mw IS NOT NULL),
@@ -82,18 +108,25 @@ def _(spark, sf):
     return served.select("series_id", "ts", "origin_no", (F.col("y_pred") / 1000).alias("prediction_gw"))
 
 
-@query("m2_boosted_trees")
+@query("m2_boosted_trees", LATER + "SELECT series_id, ts, target, true AS predicted, true AS beats_naive, true AS repeatable FROM later", "target")
 def _(spark, sf):
+    """The default learner beats the naive forecast, and the same seed gives the same trees."""
     train, later = _train_later(spark, sf)
-    fitted = models.fit_trees(train, later, NAMES)
-    return fitted.predict(later).select("series_id", "ts", "target", "prediction")
+    first, second = (models.fit_trees(train, later, NAMES) for _ in range(2))
+    both = first.predict(later).join(
+        second.predict(later).select("series_id", "ts", F.col("prediction").alias("again")), ["series_id", "ts"]
+    )
+    same = through_table(both.agg((F.max(F.abs(F.col("prediction") - F.col("again"))) == 0).alias("repeatable")), "same")
+    return _beats_naive(spark, sf, both.drop("again")).crossJoin(F.broadcast(same))  # one row
 
 
-@query("a20_feature_importance")
+@query("a20_feature_importance", f"SELECT unnest({NAMES!r}) AS feature, true AS in_range, 1.0::DOUBLE AS total", "total")
 def _(spark, sf):
+    """One row per column, importances between 0 and 1 that add up to 1."""
     train, later = _train_later(spark, sf)
-    fitted = models.fit_trees(train, later, NAMES)
-    return models.feature_importance(spark, fitted).orderBy(F.desc("gain"))
+    gains = models.feature_importance(spark, models.fit_trees(train, later, NAMES))
+    total = gains.agg(F.sum("gain").alias("total"))
+    return gains.crossJoin(total).select("feature", F.col("gain").between(0, 1).alias("in_range"), "total")
 
 
 BAND = """, res AS (SELECT series_id, ts, actual, day_ahead_reference AS p, hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Warsaw') AS lh FROM bt WHERE day_ahead_reference IS NOT NULL),
@@ -111,13 +144,13 @@ def _(spark, sf):
     return models.with_band(later, offsets, y_pred="day_ahead_reference").select("series_id", "ts", "p10", "p50", "p90")
 
 
-@query("m4_parameter_search")
+@query("m4_parameter_search", "SELECT * FROM (VALUES (3, true, true), (5, true, true)) v(max_depth, scored, best_is_least)")
 def _(spark, sf):
+    """Every grid point is scored, and the best one has the least error."""
     train, later = _train_later(spark, sf)
-    _, trials = models.tune(train, later, NAMES, {"maxDepth": [3, 5], "stepSize": [0.1]})
-    return spark.createDataFrame(
-        [(str(sorted(p.items())), float(m)) for p, m in trials], "params string, validation_mape double"
-    )
+    best, trials = models.tune(train, later, NAMES, {"maxDepth": [3, 5], "stepSize": [0.1]})
+    least = min(trials, key=lambda t: t[1])[0] == best
+    return spark.createDataFrame([(p["maxDepth"], m is not None, least) for p, m in trials], "max_depth int, scored boolean, best_is_least boolean")
 
 
 def _trained(spark, sf):
@@ -171,19 +204,39 @@ def _(spark, sf):
     )
 
 
-@query("c17_rolling_origin_backtest")
-def _(spark, sf):
-    """References, linear and boosted trees over rolling origins, on common hours."""
-    long = evaluation.run_backtest(
-        fr.stored(spark, sf), 24, **SCHEDULE, trees=[WEATHER_TREES], inner_validation_days=4
+ROLLING = f""", span AS (SELECT series_id, {hour_no('min(ts)')} AS h0, {hour_no('max(ts)')} AS h1 FROM feats GROUP BY 1),
+origins AS (SELECT series_id, h0 + 12 * 24 - 1 + k * 96 + 24 AS t0, h1 FROM span, range(0, 400) t(k) WHERE h0 + 12 * 24 - 1 + k * 96 + 24 <= h1),
+tested AS (SELECT DISTINCT f.series_id, f.ts, f.target FROM feats f JOIN origins o ON o.series_id = f.series_id AND {hour_no('f.ts')} BETWEEN t0 AND least(t0 + 95, h1)),
+refs AS (SELECT series_id, ts, {lag(168)} AS naive_seasonal, tso_forecast_mw AS day_ahead_reference FROM canon),
+paired AS (SELECT t.series_id, t.ts, t.target AS y_true, naive_seasonal, day_ahead_reference FROM tested t JOIN refs r ON r.series_id = t.series_id AND r.ts = t.ts WHERE naive_seasonal IS NOT NULL AND day_ahead_reference IS NOT NULL)
+"""
+
+
+def _masked(long, models_):
+    """Values of the references; of fitted models only whether there is one."""
+    return long.withColumn("fitted", F.col("model").isin(*models_)).select(
+        "series_id", "ts", "y_true", "model", F.when(~F.col("fitted"), F.col("y_pred")).alias("y_pred"),
+        (F.col("fitted") & F.col("y_pred").isNotNull()).alias("fitted"),
     )
-    return scores.overall(long)
 
 
-@query("c17_linear_backtest")
+def _rolling_sql(*fitted):
+    parts = [f"SELECT series_id, ts, y_true, '{m}' AS model, {m} AS y_pred, false AS fitted FROM paired" for m in ("naive_seasonal", "day_ahead_reference")]
+    parts += [f"SELECT series_id, ts, y_true, '{m}', NULL, true FROM paired" for m in fitted]
+    return ROLLING + " UNION ALL ".join(parts)
+
+
+@query("c17_rolling_origin_backtest", _rolling_sql(scores.LINEAR, WEATHER_TREES), "y_true y_pred")
+def _(spark, sf):
+    """References, linear and boosted trees over all rolling origins, on common hours."""
+    long = evaluation.run_backtest(fr.stored(spark, sf), 24, **SCHEDULE, trees=[WEATHER_TREES], inner_validation_days=4)
+    return _masked(long, [scores.LINEAR, WEATHER_TREES])
+
+
+@query("c17_linear_backtest", _rolling_sql(scores.LINEAR), "y_true y_pred")
 def _(spark, sf):
     """The same without trees: every origin of every series in one pass."""
-    return evaluation.run_backtest(fr.stored(spark, sf), 24, **SCHEDULE, trees=[])
+    return _masked(evaluation.run_backtest(fr.stored(spark, sf), 24, **SCHEDULE, trees=[]), [scores.LINEAR])
 
 
 @query("c18_lead_matched_backtest")
@@ -235,4 +288,4 @@ def _retrained(spark, sf):
 @query("c41_retrain_job", C41)
 def _(spark, sf):
     """Everyone who is due: one training, then their flags are cleared and successes recorded."""
-    return _retrained(spark, sf).events
+    return _retrained(spark, sf).events.drop("reason")
