@@ -14,6 +14,7 @@ DataFrame functions and the JVM learner only. The coefficient table has a fixed
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression
@@ -44,6 +45,12 @@ class Model(NamedTuple):
     threshold: float
 
 
+def literal_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few driver-side rows as a frame, from one JSON literal: no Python worker is needed."""
+    parsed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
+    return spark.range(1).select(F.explode(parsed).alias("r")).select("r.*")
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
 
@@ -65,8 +72,8 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _variants(spark: SparkSession) -> DataFrame:
     """(family, words): each notice as it is, and with about one word in ten left out, at
     places that follow from a hash."""
-    rows = [(f, t) for f, t in TEMPLATES] + [(UNDECIDED, t) for t in UNKNOWN]
-    notices = spark.createDataFrame(rows, "family string, notice string")
+    rows = [*TEMPLATES, *((UNDECIDED, t) for t in UNKNOWN)]
+    notices = literal_rows(spark, [{"family": f, "notice": t} for f, t in rows], "family: string, notice: string")
     many = notices.select("family", words_of(F.col("notice")).alias("w"), F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("v"))
     thin = F.filter("w", lambda x, i: (F.col("v") == 0) | (F.pmod(F.xxhash64(x, i, F.col("v")), F.lit(10)) > 0))
     return many.select("family", thin.alias("words"))
@@ -92,7 +99,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
     vocabulary = [r["g"] for r in known.join(common, "g", "left_anti").orderBy("g").collect()]
     grams = F.array(*[F.lit(g) for g in vocabulary])
     # Ordinary paragraphs that hold a notice are not ordinary: half of a notice's features.
-    whole = spark.createDataFrame([(f, t) for f, t in TEMPLATES], "family string, notice string").select(
+    whole = literal_rows(spark, [{"family": f, "notice": t} for f, t in TEMPLATES], "family: string, notice: string").select(
         "family", F.array_intersect(ngrams(words_of(F.col("notice"))), grams).alias("features")
     ).where(F.size("features") > 0)
     held = whole.select(F.explode("features").alias("g")).distinct()
@@ -107,7 +114,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
     rows = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features").setBinary(True).transform(
         rows.select("family", "grams", label.cast("double").alias("label"), (F.pmod(F.xxhash64("grams", F.lit(7)), F.lit(5)) == 0).alias("held_out"))
     ).coalesce(1).persist()
-    learner = LogisticRegression(family="multinomial", elasticNetParam=0.5, regParam=0.0005, maxIter=100)
+    learner = LogisticRegression(family="multinomial", elasticNetParam=0.5, regParam=0.0005, maxIter=60)
     fitted = learner.fit(rows.where("NOT held_out"))
     matrix, present = fitted.coefficientMatrix.toArray(), range(len(fitted.interceptVector))
     shown = fitted.transform(rows.where("held_out")).select(F.array_max(_vector(F.col("probability"))).alias("p"), "prediction", "label")
@@ -119,8 +126,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
             threshold = p
     ordinary.unpersist()
     rows.unpersist()
-    kept = [(g, [float(matrix[k][j]) for k in present]) for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 0]
-    coefficients = spark.createDataFrame(kept, "g string, weights array<double>").select(F.xxhash64("g").alias("h"), "weights")
+    kept = [
+        {"g": g, "weights": [float(matrix[k][j]) for k in present]} for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 0
+    ]
+    coefficients = literal_rows(spark, kept, "g: string, weights: array<double>").select(F.xxhash64("g").alias("h"), "weights")
     templates = whole.select("family", F.transform("features", lambda g: F.xxhash64(g)).alias("hashes"))
     return Model(families[: len(present)], [float(x) for x in fitted.interceptVector], coefficients, templates, max(0.5, min(threshold, 0.99)))
 
