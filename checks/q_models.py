@@ -239,11 +239,6 @@ def _(spark, sf):
     return _masked(evaluation.run_backtest(fr.stored(spark, sf), 24, **SCHEDULE, trees=[]), [scores.LINEAR])
 
 
-@query("c18_lead_matched_backtest")
-def _(spark, sf):
-    return evaluation.run_gate_closure_backtest(fr.stored(spark, sf), **SCHEDULE)
-
-
 OWN = f""", own AS (SELECT series_id, ts, load_mw, {lead('ts')} AS h FROM canon WHERE load_mw IS NOT NULL AND temp_c IS NOT NULL AND wind_ms IS NOT NULL AND cloud_cover IS NOT NULL),
 roll AS (SELECT series_id, ts, CASE WHEN count(load_mw) OVER w = 24 THEN avg(load_mw) OVER w END AS m, CASE WHEN count(load_mw) OVER w = 24 THEN stddev_samp(load_mw) OVER w END AS s
   FROM canon WINDOW w AS (PARTITION BY series_id ORDER BY ts RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW))
@@ -254,6 +249,34 @@ JOIN canon e ON e.series_id = o.series_id AND e.ts = o.ts - to_hours(168 + o.h)
 WHERE a.load_mw IS NOT NULL AND b.load_mw IS NOT NULL AND c.load_mw IS NOT NULL AND d.load_mw IS NOT NULL AND e.load_mw IS NOT NULL AND r.m IS NOT NULL AND r.s IS NOT NULL"""
 
 
+C18 = OWN.split("\nSELECT o.series_id")[0] + f""", own_rows AS (SELECT o.series_id{OWN.split("SELECT o.series_id")[1]}),
+wide AS (SELECT series_id, ts FROM canon WHERE load_mw IS NOT NULL AND temp_c IS NOT NULL AND wind_ms IS NOT NULL AND cloud_cover IS NOT NULL),
+anchor AS (SELECT o.series_id, o.ts FROM wide o JOIN canon a ON a.series_id = o.series_id AND a.ts = o.ts - to_hours(37) JOIN canon b ON b.series_id = o.series_id AND b.ts = o.ts - to_hours(38)
+  JOIN canon c ON c.series_id = o.series_id AND c.ts = o.ts - to_hours(61) JOIN canon d ON d.series_id = o.series_id AND d.ts = o.ts - to_hours(168)
+  JOIN canon e ON e.series_id = o.series_id AND e.ts = o.ts - to_hours(205) JOIN roll r ON r.series_id = o.series_id AND r.ts = o.ts - to_hours(37)
+  WHERE a.load_mw + b.load_mw + c.load_mw + d.load_mw + e.load_mw + r.m + r.s IS NOT NULL),
+span AS (SELECT series_id, {hour_no('min(ts)')} AS h0, {hour_no('max(ts)')} AS h1 FROM anchor GROUP BY 1),
+origins AS (SELECT series_id, h0 + 12 * 24 - 1 + k * 96 + 37 AS t0, h1 FROM span, range(0, 400) t(k) WHERE h0 + 12 * 24 - 1 + k * 96 + 37 <= h1),
+tested AS (SELECT DISTINCT f.series_id, f.ts, f.horizon, f.target FROM own_rows f JOIN origins o ON o.series_id = f.series_id AND {hour_no('f.ts')} BETWEEN t0 AND least(t0 + 95, h1)),
+refs AS (SELECT series_id, ts, {lag(168)} AS naive_seasonal, tso_forecast_mw AS day_ahead_reference FROM canon),
+paired AS (SELECT t.series_id, t.ts, t.horizon, t.target AS y_true, naive_seasonal, day_ahead_reference FROM tested t JOIN refs r ON r.series_id = t.series_id AND r.ts = t.ts WHERE naive_seasonal IS NOT NULL AND day_ahead_reference IS NOT NULL)
+SELECT series_id, ts, horizon, y_true, 'gate_closure' AS model, NULL AS y_pred, true AS fitted FROM paired
+UNION ALL SELECT series_id, ts, horizon, y_true, 'naive_seasonal', naive_seasonal, false FROM paired
+UNION ALL SELECT series_id, ts, horizon, y_true, 'day_ahead_reference', day_ahead_reference, false FROM paired"""
+
+
+def _lead_matched(spark, sf, **how):
+    long = evaluation.run_gate_closure_backtest(fr.stored(spark, sf), **SCHEDULE, **how)
+    masked = _masked(long, [evaluation.GATE_MODEL])
+    return masked.join(long.select("series_id", "ts", "model", F.col("horizon").cast("long").alias("horizon")), ["series_id", "ts", "model"])
+
+
+@query("c18_lead_matched_backtest", C18, "y_true y_pred")
+def _(spark, sf):
+    """Every hour by the linear model of its own lead, all origins and horizons in one pass."""
+    return _lead_matched(spark, sf)
+
+
 @query("c18_p9_features_at_own_lead", OWN, "lag_h lag_h1 lag_h24 lag_week lag_week_h roll_mean roll_std target")
 def _(spark, sf):
     """All lead-matched horizons from one feature pass, kept where the lead is the horizon."""
