@@ -1,11 +1,58 @@
 """DuckDB SQL that must give the rows of the queries, where SQL can say it."""
 
+from .quality_rules import BASE, CAPITALS, RULES, STOP_WORDS, SYMBOLS
+
 _KEY = (
     "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), "
     "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+
+
+def _count(chars: str) -> str:
+    return f"len(text) - len(translate(text, '{chars}', ''))"
+
+
+def _passes(rule) -> str:
+    low = [f"{rule.measure} >= {rule.least}"] if rule.least is not None else []
+    high = [f"{rule.measure} <= {rule.most}"] if rule.most is not None else []
+    return "(" + " AND ".join(low + high) + ")"
+
+
 ORACLES = {
+    "op5_quality_rules": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+runs AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+repeats AS (SELECT doc_id, i FROM runs QUALIFY count(*) OVER (PARTITION BY doc_id, t) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM repeats, range(0, 3) r(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: len(trim(x, {_SPACES})) > 0) AS l FROM d),
+counts AS (
+  SELECT d.doc_id, len(w) AS n_words, len(translate(text, {_SPACES}, '')) AS word_chars, {_count(SYMBOLS)} AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(list_intersect(w, [{_STOP}])) AS n_stop_words,
+    {_count(CAPITALS)} AS n_capitals, {_count('!')} AS n_exclamations, len(l) AS n_lines,
+    len(list_filter(l, lambda x: regexp_matches(ltrim(x), '^[-*•]'))) AS bullets,
+    len(list_filter(l, lambda x: regexp_matches(rtrim(x), '(\\.\\.\\.|…)$'))) AS ellipses
+  FROM d JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+measures AS (
+  SELECT *, n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS mean_word_chars,
+    n_symbols / greatest(n_words, 1) AS symbols_per_word, n_exclamations / greatest(n_words, 1) AS exclamations_per_word,
+    n_capitals / greatest(word_chars, 1) AS capital_share, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
+    bullets / greatest(n_lines, 1) AS bullet_line_share, ellipses / greatest(n_lines, 1) AS ellipsis_line_share FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, NOT ({' AND '.join(map(_passes, BASE))}) AS base_failed,
+  {' AND '.join(map(_passes, (*BASE, *RULES)))} AS kept FROM measures""",
+    "op7_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, range(0, 20) r(k)),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+judged AS (SELECT words.doc_id, word, words.i, gone.i IS NOT NULL AS removed FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i)
+SELECT d.doc_id, count(word) AS n_words, count(*) FILTER (WHERE removed) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT removed), '')) AS kept_sha256
+FROM d LEFT JOIN judged ON judged.doc_id = d.doc_id GROUP BY d.doc_id""",
     "op9_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

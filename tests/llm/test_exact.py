@@ -378,9 +378,7 @@ def test_line_dedup(spark, docs, small, which):
     assert whole.columns == docs(data).columns and whole.where("h1 <> char_length(text)").count() == 0
 
 
-@pytest.mark.parametrize("name", ["op5_quality_rules", "op8_url_filter", "op9_line_dedup"])
+@pytest.mark.parametrize("name", ["op5_quality_rules", "op7_substring_dedup", "op8_url_filter", "op9_line_dedup"])
 def test_queries_equal_their_sql(spark, small, name):
-    if name not in queries.ORACLES:
-        pytest.skip("tested against brute force")
     assert compare.differences(queries.QUERIES[name](spark, small).toPandas(), compare.connect(small).execute(queries.ORACLES[name]).df()) is None
     assert duckdb.__version__
