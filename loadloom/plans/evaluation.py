@@ -27,9 +27,11 @@ from ..session import require_rows, through_table
 from . import models
 from .features import (
     LEAD_FEATURES,
+    by_lead,
     feature_names,
+    lead_history,
+    lead_horizons,
     make_features,
-    make_features_by_lead,
     swap_weather,
 )
 
@@ -47,11 +49,13 @@ def references(frame: DataFrame, weekly_lag: int = 168, keys=KEYS, ts: str = TS)
 
 def linear_by_origin(
     features: DataFrame, splits: DataFrame, columns: Sequence[str], keys=KEYS, ts: str = TS, extra: Sequence[str] = (),
+    served: DataFrame | None = None,
 ) -> DataFrame:
     """Least squares refitted at every origin of every series, in one pass.
 
     Each row is placed in the first origin whose training reaches it; prefix sums over
     origins give every expanding window. ``extra`` adds independent groups (a horizon).
+    ``served`` are the rows to predict, by default all of ``features``.
     """
     keys, extra = list(keys), list(extra)
     ends = splits.select(*keys, "origin_no", "train_end")
@@ -66,7 +70,8 @@ def linear_by_origin(
     gram = models.grouped_gram(placed, columns, [*keys, *extra, "origin_no"])
     steps = schedule.select(*keys, F.size("_ends").cast("long").alias("n_origins"))
     coefficients = models.solve_expanding(gram, columns, [*keys, *extra], steps)
-    tested = test_rows(features, splits.select(*keys, "origin_no", "test_start", "test_end"), keys, ts)
+    rows = features if served is None else served
+    tested = test_rows(rows, splits.select(*keys, "origin_no", "test_start", "test_end"), keys, ts)
     joined = tested.join(coefficients, [*keys, *extra, "origin_no"])
     predicted = models.apply_linear(joined, columns, "y_pred")
     return last_block_wins(predicted, "y_pred", "origin_no", [*keys, *extra, ts])
@@ -171,17 +176,24 @@ def run_gate_closure_backtest(
     horizons and origins.
     """
     keys = list(keys)
-    horizons = list(horizons or range(24 - publication_hour, 24 - publication_hour + 25))
-    long = through_table(
-        make_features_by_lead(frame, rolling_window, weekly_lag, tz, publication_hour, horizons, keys, ts),
-        "lead-features",
+    horizons = list(horizons or lead_horizons(publication_hour))
+    wide = through_table(
+        lead_history(frame, rolling_window, weekly_lag, publication_hour, horizons, keys, ts), "lead-history"
     )
+
+    def unfolded(own_only: bool = False) -> DataFrame:
+        """Rows per horizon, made while the stored wide rows are read."""
+        return by_lead(wide, rolling_window, weekly_lag, tz, publication_hour, horizons, own_only, keys, ts)
+
+    long, own_rows = unfolded(), unfolded(own_only=True)
     # Horizons no hour has a lead of (the 25-hour day's, mostly) serve nothing.
     in_play = [
         r["lead_h"]
         for r in long.select("lead_h").distinct().filter("lead_h >= 1").orderBy("lead_h").collect()
         if r["lead_h"] in horizons
     ]
+    if not in_play:
+        raise ValueError("no split fits the lead-matched backtest: no hour has features at its own lead")
     widest = max(in_play)
     anchor_rows = long.filter(F.col("horizon") == widest)
     splits = through_table(
@@ -193,7 +205,7 @@ def run_gate_closure_backtest(
     require_rows(splits, "no split fits the lead-matched backtest")
     used = long.filter(F.col("horizon").isin(in_play))
     if learner == "linear":
-        predicted = linear_by_origin(used, splits, LEAD_FEATURES, keys, ts, extra=["horizon"])
+        predicted = linear_by_origin(used, splits, LEAD_FEATURES, keys, ts, extra=["horizon"], served=own_rows)
     else:
         blocks = None
         for h in in_play:
@@ -203,7 +215,7 @@ def run_gate_closure_backtest(
             ).withColumn("horizon", F.lit(h))
             blocks = block if blocks is None else blocks.unionByName(block)
         predicted = last_block_wins(blocks, "y_pred", "origin_no", [*keys, ts, "horizon"])
-    own = used.filter("is_own_lead").select(*keys, ts, "horizon", F.col(TARGET).alias("actual"))
+    own = own_rows.select(*keys, ts, "horizon", F.col(TARGET).alias("actual"))
     served = own.join(predicted, [*keys, ts, "horizon"]).select(
         *keys, ts, "horizon", "actual", F.col("y_pred").alias(GATE_MODEL)
     )

@@ -75,26 +75,41 @@ def make_features(
     return _with_calendar(whole, tz, ts).select(*keys, ts, *[F.col(c).cast("double").alias(c) for c in out])
 
 
-def make_features_by_lead(
+def lead_horizons(publication_hour: int = 10) -> list[int]:
+    """The lead times that hours of a published day can have, with the longest local day."""
+    return list(range(24 - publication_hour, 24 - publication_hour + 25))
+
+
+def lead_history(
     df: DataFrame, rolling_window: int = DEFAULT_ROLLING_WINDOW, weekly_lag: int = DEFAULT_WEEKLY_LAG,
-    tz: str = DEFAULT_TZ, publication_hour: int = 10, horizons: Sequence[int] | None = None,
-    keys: Sequence[str] = KEYS, ts: str = TS,
+    publication_hour: int = 10, horizons: Sequence[int] | None = None, keys: Sequence[str] = KEYS, ts: str = TS,
 ) -> DataFrame:
-    """Feature rows of *all* lead-matched horizons at once, long in ``horizon``.
+    """One wide row per hour with the lags and rolling values of *all* lead-matched horizons.
 
-    Every horizon needs the same frames shifted, so one sorted pass computes the union of
-    their lags; rows are then copied per horizon with that horizon's lags under common
-    names (``lag_h, lag_h1, lag_h24, lag_week, lag_week_h, roll_mean, roll_std``). This
-    replaces one full feature build per horizon. ``is_own_lead`` marks the horizon an
-    hour is served at.
+    Horizons share most lags, so this is about a third of one row per horizon; it is the
+    form to store. ``by_lead`` unfolds it while it is read.
     """
-    horizons = list(horizons or range(24 - publication_hour, 24 - publication_hour + 25))
+    horizons = list(horizons or lead_horizons(publication_hour))
     if max(horizons) > weekly_lag:
         raise ValueError("lead-matched features need horizons within the weekly lag")
     lags = sorted({lag for h in horizons for lag in lag_hours(h, weekly_lag)})
     rows = with_history(
         df.select(*keys, ts, *REQUIRED), lags, [(h, rolling_window) for h in horizons], keys=keys, ts=ts
     )
+    return rows.dropna("any", subset=list(REQUIRED))
+
+
+def by_lead(
+    wide: DataFrame, rolling_window: int = DEFAULT_ROLLING_WINDOW, weekly_lag: int = DEFAULT_WEEKLY_LAG,
+    tz: str = DEFAULT_TZ, publication_hour: int = 10, horizons: Sequence[int] | None = None, own_only: bool = False,
+    keys: Sequence[str] = KEYS, ts: str = TS,
+) -> DataFrame:
+    """Rows per (hour, horizon) of a ``lead_history`` frame, with that horizon's values under
+    common names (``lag_h, lag_h1, lag_h24, lag_week, lag_week_h, roll_mean, roll_std``).
+
+    ``is_own_lead`` marks the horizon an hour is served at; ``own_only`` unfolds no other.
+    """
+    horizons = list(horizons or lead_horizons(publication_hour))
     tail = (lambda h: f"_h{h}") if len(set(horizons)) > 1 else (lambda h: "")
     per_horizon = [
         F.struct(
@@ -109,17 +124,33 @@ def make_features_by_lead(
         )
         for h in horizons
     ]
+    timed = wide.withColumn("lead_h", lead_hours(ts, tz, publication_hour))
+    wanted = F.array(*per_horizon)
+    if own_only:
+        wanted = F.array_compact(F.array(*[F.when(F.col("lead_h") == h, x) for h, x in zip(horizons, per_horizon)]))
     long = (
-        rows.dropna("any", subset=list(REQUIRED))
-        .select(*keys, ts, *REQUIRED, F.explode(F.array(*per_horizon)).alias("_f"))
-        .select(*keys, ts, *REQUIRED, "_f.*")
-        .dropna("any")
+        timed.select(*keys, ts, *REQUIRED, "lead_h", F.explode(wanted).alias("_f"))
+        .select(*keys, ts, *REQUIRED, "lead_h", "_f.*")
+        .dropna("any", subset=["horizon", "lag_h", "lag_h1", "lag_h24", "lag_week", "lag_week_h", "roll_mean", "roll_std"])
         .withColumnRenamed(LOAD, TARGET)
-        .withColumn("lead_h", lead_hours(ts, tz, publication_hour))
     )
     return _with_calendar(long, tz, ts).withColumn("is_own_lead", F.col("lead_h") == F.col("horizon"))
 
 
+def make_features_by_lead(
+    df: DataFrame, rolling_window: int = DEFAULT_ROLLING_WINDOW, weekly_lag: int = DEFAULT_WEEKLY_LAG,
+    tz: str = DEFAULT_TZ, publication_hour: int = 10, horizons: Sequence[int] | None = None,
+    keys: Sequence[str] = KEYS, ts: str = TS,
+) -> DataFrame:
+    """Feature rows of *all* lead-matched horizons at once, long in ``horizon``.
+
+    Every horizon needs the same frames shifted, so one sorted pass computes the union of
+    their lags. This replaces one full feature build per horizon.
+    """
+    wide = lead_history(df, rolling_window, weekly_lag, publication_hour, horizons, keys, ts)
+    return by_lead(wide, rolling_window, weekly_lag, tz, publication_hour, horizons, False, keys, ts)
+
+
 LEAD_FEATURES = (
     *CALENDAR, "lag_h", "lag_h1", "lag_h24", "lag_week", "lag_week_h", "roll_mean", "roll_std", *WEATHER_OUT,
 )

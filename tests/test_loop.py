@@ -327,6 +327,31 @@ def test_lead_matched_hours_tile_once(stored):
     assert (horizons[0], horizons[1]) == (14, 37)
 
 
+def test_lead_matched_linear_equals_one_fit_per_horizon(spark, stored):
+    """The served values against a plain fit of each horizon's own rows at each origin."""
+    from loadloom.operators import splits as sp
+
+    got = evaluation.run_gate_closure_backtest(stored, 14, 5, 5).filter(F.col("model") == evaluation.GATE_MODEL).toPandas()
+    long = features.make_features_by_lead(stored)
+    table = sp.rolling_origins(long.filter("horizon = 37"), 37, 14, 5, 5).toPandas()
+    for h in (14, 25, 37):
+        data = long.filter(F.col("horizon") == h).toPandas()
+        for sid in "ab":
+            rows, want = data[data.series_id == sid], {}
+            for s in table[table.series_id == sid].sort_values("origin_no").itertuples():
+                train = rows[rows.ts <= s.train_end]
+                test = rows[(rows.ts >= s.test_start) & (rows.ts <= s.test_end) & rows.is_own_lead]
+                x = lambda d: np.column_stack([np.ones(len(d)), d[list(features.LEAD_FEATURES)]]).astype(float)
+                beta = np.linalg.lstsq(x(train), train["target"], rcond=None)[0]
+                # A month or holiday that training never saw has no determined coefficient.
+                known = test.month.isin(train.month.unique()) & test.is_holiday.isin(train.is_holiday.unique())
+                want.update({at: v if k else None for at, v, k in zip(test.ts, x(test) @ beta, known)})
+            mine = got[(got.series_id == sid) & (got.horizon == h)].set_index("ts")["y_pred"]
+            mine = mine[[want[at] is not None for at in mine.index]]
+            assert len(mine) > 10
+            np.testing.assert_allclose(mine.to_numpy(), [want[at] for at in mine.index], rtol=1e-6)
+
+
 def test_drift_check_statuses(spark, stored):
     log = stored.select(F.xxhash64("series_id", "ts").alias("id"), "series_id", F.col("ts").alias("target_time"), F.col("ts").alias("predicted_at"), F.lit(24).alias("horizon_hours"), F.lit("1").alias("model_version"), (F.col("load_mw") * 1.06).alias("load_mw"), F.col("load_mw").alias("actual_mw"))
     scored = log.withColumns({"ape": F.lit(0.06), "tso_mw": F.col("actual_mw")})
