@@ -114,10 +114,11 @@ def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
             extra[order], local[order] = same, same | np.append(same[1:], False)
             h = np.where(extra, scattered(doc, at), h)
             at = np.where(local, -at - 1, at).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(at)], ["h", "doc", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(at), pa.array(doc)], ["h", "at", "doc"])
 
-    # A negative place (-at - 1) is known to repeat within its task's own rows.
-    rows = docs.select("doc", "text").mapInArrow(reduced, "h long, doc long, at int")
+    # A negative place (-at - 1) is known to repeat within its task's own rows. Columns that
+    # vary come first and those that a document's rows share last: so shuffles compress best.
+    rows = docs.select("doc", "text").mapInArrow(reduced, "h long, at int, doc long")
     found = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("at < 0 OR n > 1")
     return found.groupBy("doc").agg(F.collect_set(F.when(F.col("at") < 0, -F.col("at") - 1).otherwise(F.col("at"))).alias("places"))
 
@@ -144,21 +145,22 @@ def _firsts(h1: np.ndarray, h2: np.ndarray, places: list[np.ndarray]) -> tuple[n
 
 
 def _judged(rows: DataFrame) -> DataFrame:
-    """Rows (h1, h2, id, text_key, start, run, known): those known or found to start later
-    than an equal one."""
+    """Rows (h1, h2, start, id, text_key, run): those that start later than an equal one. A
+    negative run is known to."""
     place = F.struct("id", "text_key", "start")
     first = F.min(place).over(Window.partitionBy("h1", "h2"))
-    later = rows.withColumn("first", first).where(F.col("known") | (place > F.col("first")))
-    return later.select("id", "text_key", "start", "run")
+    later = rows.withColumn("first", first).where((F.col("run") < 0) | (place > F.col("first")))
+    return later.select("id", "text_key", "start", F.abs("run").alias("run"))
 
 
-_ROWS = "h1 long, h2 int, id long, text_key long, start int, run int, known boolean"
+_ROWS = "h1 long, h2 int, start int, id long, text_key long, run int"
 
 
 def _batch(h1, h2, doc, key, start, run, known) -> pa.RecordBatch:
     h2 = (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    cols = [h1.view(np.int64), h2, doc, key, start.astype(np.int32), run.astype(np.int32), known]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["h1", "h2", "id", "text_key", "start", "run", "known"])
+    run = np.where(known, -run, run).astype(np.int32)
+    cols = [h1.view(np.int64), h2, start.astype(np.int32), doc, key, run]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["h1", "h2", "start", "id", "text_key", "run"])
 
 
 def later_regions(held: DataFrame, window: int) -> DataFrame:
