@@ -190,7 +190,7 @@ def _(spark, sf):
     out = shared_dir(spark, "scores")
     p, actuals = fr.predictions(spark, sf), fr.history(spark, sf)
     for _ in range(2):
-        pred.rescore(spark, p, out, actuals)
+        pred.rescore(spark, p, out, actuals, grain="month")
     return tables.read_scores(spark, out).select("prediction_id", "actual_mw", "ape")
 
 

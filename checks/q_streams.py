@@ -48,7 +48,7 @@ def _(spark, sf):
     path = shared_dir(spark, "actuals")
     both.repartition(4, F.year("ts")).write.parquet(path)
     actuals = streams.read_stream(spark, path, both.schema, files_per_trigger=2)
-    done = streams.rescore_stream(actuals, p, shared_dir(spark, "stream-scores"), arrival="seq")
+    done = streams.rescore_stream(actuals, p, shared_dir(spark, "stream-scores"), arrival="seq", grain="month")
     return done.select("prediction_id", "actual_mw", "ape")
 
 

@@ -60,12 +60,13 @@ def upsert_scores(existing: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def rescore(
-    spark, predictions: DataFrame | str, scores_path: str, actuals: DataFrame, scored_at=None, arrival: str | None = None
+    spark, predictions: DataFrame | str, scores_path: str, actuals: DataFrame, scored_at=None, arrival: str | None = None,
+    grain: str = "day",
 ) -> None:
-    """Score the hours of ``actuals`` and put the scores into the table of days. Runs jobs.
+    """Score the hours of ``actuals`` and put the scores into their day (or month) folders. Runs jobs.
 
     The log (a frame or its path) is read between the first and the last of those hours.
-    Only the day folders that get a score are read, merged with one join and replaced;
+    Only the folders that get a score are read, merged with one join and replaced;
     the merged rows are stored aside first. The same actuals twice change nothing.
     """
     span = actuals.agg(F.min(TS).alias("a"), F.max(TS).alias("b")).first()
@@ -75,17 +76,17 @@ def rescore(
         log = tables.read_predictions(spark, predictions, span["a"], span["b"])
     else:
         log = tables.filter_predictions(predictions, span["a"], span["b"])
-    day = log.select(F.col("id").alias("prediction_id"), F.to_date("target_time").alias("target_date"))
+    day = log.select(F.col("id").alias("prediction_id"), F.date_format("target_time", tables.GRAINS[grain]).alias("period"))
     fresh = through_table(score(log, actuals, scored_at, arrival=arrival).join(day, "prediction_id"), "fresh-scores")
-    days = [r["target_date"] for r in fresh.select("target_date").distinct().collect()]  # calendar days of one pull
-    if not days:
+    periods = [r["period"] for r in fresh.select("period").distinct().collect()]  # the calendar of one pull
+    if not periods:
         return
-    old = tables.read_scores(spark, scores_path, days).withColumn("_old", F.lit(True)).alias("o")
+    old = tables.read_scores(spark, scores_path, periods).withColumn("_old", F.lit(True)).alias("o")
     new = fresh.withColumn("_new", F.lit(True)).alias("n")
     merged = old.join(new, F.col("o.prediction_id") == F.col("n.prediction_id"), "full").select(
         *[F.when(F.col("_new"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in fresh.columns]
     )
-    tables.write_score_days(through_table(merged, "merged-scores"), scores_path)
+    tables.write_score_periods(through_table(merged, "merged-scores"), scores_path)
 
 
 def scored_predictions(

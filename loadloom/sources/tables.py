@@ -168,20 +168,24 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(f"{path}/version={version:08d}")
 
 
-def read_scores(spark: SparkSession, path: str, days: Sequence | None = None) -> DataFrame:
-    """The score table with its ``target_date``; ``days`` limits the folders that are read."""
-    schema = T.StructType([*SCORES, T.StructField("target_date", T.DateType())])
+#: Folder names of the score table: one folder per target day or month.
+GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+
+
+def read_scores(spark: SparkSession, path: str, periods: Sequence[str] | None = None) -> DataFrame:
+    """The score table with its ``period``; ``periods`` limits the folders that are read."""
+    schema = T.StructType([*SCORES, T.StructField("period", S)])
     if not path_exists(spark, path):
         return empty(spark, schema)
     df = spark.read.schema(schema).parquet(path)
-    return df if days is None else df.filter(F.col("target_date").isin(*days))
+    return df if periods is None else df.filter(F.col("period").isin(*periods))
 
 
-def write_score_days(df: DataFrame, path: str) -> None:
-    """Replace the day folders that ``df`` has rows for; all others keep their files."""
+def write_score_periods(df: DataFrame, path: str) -> None:
+    """Replace the folders that ``df`` has rows for; all others keep their files."""
     (
-        df.repartition("target_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("target_date").parquet(path)
+        df.repartition("period").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("period").parquet(path)
     )
 
 

@@ -159,15 +159,16 @@ def run_complete(stream: DataFrame, name: str, path: str | None = None) -> DataF
 
 
 def rescore_stream(
-    actuals: DataFrame, predictions: DataFrame | str, scores_path: str, name: str = "rescore", arrival: str | None = None
+    actuals: DataFrame, predictions: DataFrame | str, scores_path: str, name: str = "rescore", arrival: str | None = None,
+    grain: str = "day",
 ) -> DataFrame:
     """Upsert the scores of the hours each micro-batch of actuals touches.
 
-    Only the day folders of those hours are read and replaced. A replayed batch yields the
+    Only the folders of those hours are read and replaced. A replayed batch yields the
     same scores, so repeating it changes nothing; a batch with two revisions of an hour
     takes the later arrival.
     """
     upsert_each_batch(
-        actuals, name, lambda batch, _: pred.rescore(batch.sparkSession, predictions, scores_path, batch, arrival=arrival)
+        actuals, name, lambda batch, _: pred.rescore(batch.sparkSession, predictions, scores_path, batch, arrival=arrival, grain=grain)
     )
     return tables.read_scores(actuals.sparkSession, scores_path)

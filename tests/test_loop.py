@@ -71,7 +71,7 @@ def day_files(path):
     import glob
     import os
 
-    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/target_date=*/*.parquet")}
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/period=*/*.parquet")}
 
 
 def test_only_the_days_of_a_pull_are_rewritten(spark, frame):
@@ -84,7 +84,7 @@ def test_only_the_days_of_a_pull_are_rewritten(spark, frame):
     after = day_files(out)
     assert len(before) == 3 and {f for f in before if "08-06" not in f} <= set(after)
     assert all(after[f] == before[f] for f in before if "08-06" not in f)
-    got = {r["target_date"].day: r["actual_mw"] for r in tables.read_scores(spark, out).collect()}
+    got = {int(r["period"][-2:]): r["actual_mw"] for r in tables.read_scores(spark, out).collect()}
     assert got == {5: 20500.0, 6: 20900.0, 7: 20500.0}
 
 
