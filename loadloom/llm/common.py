@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadloom.session import through_table
+from loadloom.session import default_shared_dir, through_table
 
 #: The six ASCII white-space characters; every word and line rule here uses exactly these.
 SPACES = " \t\n\x0b\f\r"
@@ -99,4 +100,5 @@ def importable(spark: SparkSession) -> None:
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
+    default_shared_dir(spark, f"/tmp/loadloom-{os.getpid()}")  # a local session without one; never a cluster's
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
