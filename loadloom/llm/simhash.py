@@ -178,19 +178,20 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, threshold: int = THRESHOLD,
     seeds: Sequence[int] = (SEED,),
 ) -> DataFrame:
-    """(id, text_key, fp0, ..., component_id), one row per input row.
+    """(id, text_key, fp0, ..., component_id, first_key), one row per input row.
 
     Documents are linked if the fingerprints of any one seed differ in at most ``threshold``
     bits. One seed is the plain operator; each further seed is another independent chance
     for a near copy whose bits happen to differ. ``component_id`` is the least id reachable
-    over links, itself included. Texts without a word (null, empty, blank) have the
+    over links, itself included, and ``first_key`` the least text key under it. Texts without a word (null, empty, blank) have the
     fingerprint zero and are linked like any other. Repeated rows share a fingerprint and so
     a component. A null id counts as the smallest.
     """
     names = [f"fp{k}" for k in range(len(seeds))]
     marked = stored(fingerprints(documents(docs, id_col, text_col), size, seeds), "fingerprints")
-    # A node is the least id with the same fingerprints, so the least node is the least id.
-    nodes = stored(marked.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
+    # A node is a set of fingerprints under a number of its own; ids name documents, not nodes.
+    nodes = marked.groupBy(*names).agg(F.min(F.struct("id", "text_key")).alias("least"))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     edges = []
     for name in names:
         owners = nodes.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("owner"))
@@ -202,9 +203,14 @@ def near_duplicates(
         named = owners.select(F.col("fp").alias("a"), F.col("owner").alias("_a"))
         other = owners.select(F.col("fp").alias("b"), F.col("owner").alias("_b"))
         edges.append(found.join(named, "a").join(other, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
-    roots = components(reduce(DataFrame.union, edges))
-    rooted = nodes.join(roots, "node", "left").select(*names, F.coalesce("root", "node").alias("component_id"))
-    return marked.join(rooted, names)
+    rooted = first_documents(nodes, components(reduce(DataFrame.union, edges)))
+    return marked.join(rooted.select(*names, F.col("first.id").alias("component_id"), F.col("first.text_key").alias("first_key")), names)
+
+
+def first_documents(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``nodes`` with ``first``, the least (id, text_key) of the component, beside its own ``least``."""
+    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return rooted.join(rooted.groupBy("root").agg(F.min("least").alias("first")), "root")
 
 
 def result(found: DataFrame) -> DataFrame:
@@ -218,9 +224,15 @@ def result(found: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each component, that of the least id; all columns kept.
 
-    Of rows that share this id one stays.
+    Rows that share only this id are documents of their own: the least text key decides
+    within a component, and repeated rows stay once.
     """
-    found = near_duplicates(docs, id_col, text_col, **how).where("id = component_id")
-    firsts = found.groupBy("id").agg(F.min("text_key").alias("text_key"))
+    found = near_duplicates(docs, id_col, text_col, **how)
+    firsts = found.where("id = component_id AND text_key = first_key").select("id", "text_key").distinct()
+    return only(docs, firsts, id_col, text_col)
+
+
+def only(docs: DataFrame, firsts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` named by (id, text_key) in ``firsts``, each once, all columns kept."""
     rows = whole_rows(docs, id_col, text_col).drop("text").join(firsts, ["id", "text_key"]).dropDuplicates(["id", "text_key"])
     return rows.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])

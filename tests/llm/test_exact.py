@@ -149,6 +149,17 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert sorted((r.doc_id is not None, r.doc_id or 0) for r in kept.collect()) == [(False, 0), (True, 3), (True, 9)]
 
 
+def test_rows_that_share_only_the_id_stay_apart(docs):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 3000, 80)) for _ in range(7)]
+    frame = docs([*((None, t) for t in texts[:3]), *((4, t) for t in texts[3:6]), (9, texts[1]), (8, texts[6]), (5, texts[4])])
+    kept = simhash.first_of_each(frame).collect()
+    assert sorted(r.text for r in kept) == sorted(texts)
+    assert {r.text: r.doc_id for r in kept} == dict(zip(texts, [None] * 3 + [4] * 3 + [8]))
+    found = {(r.id, r.component_id) for r in simhash.near_duplicates(frame).collect()}
+    assert found == {(NO_ID, NO_ID), (4, 4), (9, NO_ID), (8, 8), (5, 4)}
+
+
 # op3
 
 
