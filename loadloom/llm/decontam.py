@@ -7,6 +7,9 @@ index of the passages' q-grams, count the hits in overlapping bands of diagonals
 bands that reach the passage's bound, and verify those by an alignment that stays in the
 band. The filter loses no match; the alignment lets no other region through.
 
+An item is found whole (its passages with up to a tenth of edits) or in part: a quote of
+some of it holds one of the item's short overlapping windows nearly as it is.
+
 Benchmark items are processed in blocks of bounded size, each broadcast after its size is
 checked; the documents are only mapped, never shuffled.
 
@@ -34,6 +37,9 @@ EDIT_SHARE = 0.1
 LEAST_CHARS = 32
 #: Longer items are cut into passages of this length that overlap by half.
 PASSAGE_CHARS = 512
+#: Extracts: every item over this length is also searched in windows of it, at this stride, with
+#: these few edits. A text that holds 149 characters of an item in a row holds a window.
+EXTRACT_CHARS, EXTRACT_STRIDE, EXTRACT_EDITS = 100, 50, 3
 #: Characters of benchmark text in one broadcast block.
 BLOCK_CHARS = 1_000_000
 _BLOOM_BITS = 22
@@ -52,6 +58,8 @@ class Index(NamedTuple):
     offsets: np.ndarray
     passage: np.ndarray
     place: np.ndarray
+    #: Whether a passage is a window of a longer item.
+    extract: np.ndarray
 
 
 @lru_cache
@@ -90,22 +98,22 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
 
 def build(items: list[tuple]) -> Index | None:
     """Index of (item id, text) pairs."""
-    ids, codes = [], []
+    ids, codes, extract = [], [], []
     for item, text in items:
         c = normalised(text or "")[0]
         c = c[int(len(c) > 0 and c[0] == 32) : len(c) - int(len(c) > 1 and c[-1] == 32)]
         if len(c) < LEAST_CHARS:
             continue
         starts = range(0, max(1, len(c) - PASSAGE_CHARS // 2), PASSAGE_CHARS // 2)
-        for s in starts:
-            part = c[s : s + PASSAGE_CHARS]
-            ids.append(item)
-            codes.append(part)
+        windows = [*range(0, len(c) - EXTRACT_CHARS, EXTRACT_STRIDE), len(c) - EXTRACT_CHARS] if len(c) > EXTRACT_CHARS else []
+        codes += [c[s : s + PASSAGE_CHARS] for s in starts] + [c[s : s + EXTRACT_CHARS] for s in windows]
+        ids += [item] * (len(starts) + len(windows))
+        extract += [False] * len(starts) + [True] * len(windows)
     if not codes:
         return None
-    m = np.array([len(c) for c in codes])
+    m, extract = np.array([len(c) for c in codes]), np.array(extract)
     # The budget never leaves the range in which the lemma filters (a bound of 1 at least).
-    edits = np.minimum((m * EDIT_SHARE).astype(int), (m - Q) // Q)
+    edits = np.where(extract, EXTRACT_EDITS, np.minimum((m * EDIT_SHARE).astype(int), (m - Q) // Q))
     hashes = [gram_hashes(c) for c in codes]
     h = np.concatenate(hashes)
     passage = np.repeat(np.arange(len(codes)), [len(x) for x in hashes])
@@ -115,7 +123,7 @@ def build(items: list[tuple]) -> Index | None:
     seen = np.zeros(1 << _BLOOM_BITS, bool)
     seen[grams >> np.uint64(64 - _BLOOM_BITS)] = True
     return Index(
-        ids, codes, edits, m + 1 - Q * (edits + 1), seen, grams, np.append(first, len(h)), passage[order], place[order]
+        ids, codes, edits, m + 1 - Q * (edits + 1), seen, grams, np.append(first, len(h)), passage[order], place[order], extract
     )
 
 
@@ -174,7 +182,8 @@ def align(texts: list[np.ndarray], passages: list[np.ndarray], low: np.ndarray,
 
 
 def matches(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int]]:
-    """(text number, passage number, edits, start, end) of verified regions, best per pair."""
+    """(text number, passage number, edits, start, end) of verified regions, best per pair; a
+    window's only if none of the item's passages is found in the text."""
     docs, where, found = [], [], []
     for i, t in enumerate(texts):
         codes, at = normalised(t)
@@ -186,16 +195,18 @@ def matches(texts: list[str], index: Index) -> list[tuple[int, int, int, int, in
             docs.append(codes)
             where.append(at)
     best: dict[tuple[int, object], tuple] = {}
-    for a in range(0, len(found), 512):
-        part = found[a : a + 512]
-        ps, lows = np.array([f[1] for f in part]), np.array([f[2] for f in part])
-        cost, start, end = align([docs[f[3]] for f in part], [index.codes[p] for p in ps], lows, index.edits[ps])
-        for (i, p, _, d), c, s, e in zip(part, cost.tolist(), start.tolist(), end.tolist()):
-            if c <= index.edits[p]:
-                at = where[d]
-                s, e = max(s, 0), min(max(e, 1), len(at))
-                key, row = (i, index.ids[p]), (c, int(at[min(s, len(at) - 1)]), int(at[e - 1]) + 1, p)
-                best[key] = min(best.get(key, row), row)
+    for windows in (False, True):  # windows only where no passage was found
+        some = [f for f in found if index.extract[f[1]] == windows and not (windows and (f[0], index.ids[f[1]]) in best)]
+        for a in range(0, len(some), 512):
+            part = some[a : a + 512]
+            ps, lows = np.array([f[1] for f in part]), np.array([f[2] for f in part])
+            cost, start, end = align([docs[f[3]] for f in part], [index.codes[p] for p in ps], lows, index.edits[ps])
+            for (i, p, _, d), c, s, e in zip(part, cost.tolist(), start.tolist(), end.tolist()):
+                if c <= index.edits[p]:
+                    at = where[d]
+                    s, e = max(s, 0), min(max(e, 1), len(at))
+                    key, row = (i, index.ids[p]), (c, int(at[min(s, len(at) - 1)]), int(at[e - 1]) + 1, p)
+                    best[key] = min(best.get(key, row), row)
     return [(i, p, c, s, e) for (i, _), (c, s, e, p) in sorted(best.items(), key=lambda x: (x[0][0], x[1]))]
 
 
@@ -222,7 +233,8 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, item_id, n_edits, start, end): the best verified region of each document and item.
 
-    ``start`` and ``end`` count code points of the text. Null or empty texts have no region;
+    Edits and region are those of the whole item (or its passage of ``PASSAGE_CHARS``) where it
+    is found, else of its best window. ``start`` and ``end`` count code points of the text. Null or empty texts have no region;
     repeated rows have their own; an empty benchmark gives no rows; a null document id is
     shown as null.
     """

@@ -286,6 +286,29 @@ def test_leaks_of_odd_rows_long_items_and_empty_tables(spark, docs):
     assert decontam.without_leaks(docs(ODD), benchmark).count() == len(ODD)
 
 
+def test_quotes_of_part_of_an_item_are_found(spark, docs):
+    rng = np.random.default_rng(14)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrst"), rng.integers(3, 9))) for _ in range(4000)]
+    text = lambda n: " ".join(rng.choice(words, n // 4))[:n].strip()
+    items = {1: text(394), 2: text(2000), 3: text(150), 4: text(90)}
+    filler = text(1500)
+    quotes = [
+        (1, items[1][: int(0.85 * 394)]), (1, items[1][60:]), (1, items[1][120:275]), (2, items[2][100:600]), (2, items[2][1733:1885]),
+        (2, items[2][-100:]), (3, items[3][:-45]), (3, items[3][20:]), (4, items[4]),
+    ]
+    slips = [(i, q[:30] + "#" + q[31:70] + q[71:]) for i, q in quotes if len(q) >= 149]
+    data = [(n, f"{filler[: 40 * n]} {q.upper() if n % 2 else q} {filler[900:]}") for n, (_, q) in enumerate(quotes + slips)]
+    # Too little of an item is no leak.
+    data += [(100, filler), (101, filler + items[1][40:120] + filler), (102, filler + items[4][:60] + filler)]
+    benchmark = spark.createDataFrame(list(items.items()), "item_id int, text string")
+    got = decontam.leaks(docs(data), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(n, i) for n, (i, _) in enumerate(quotes + slips)}
+    for r in got:
+        if r.n_edits == 0:
+            assert " ".join(dict(data)[r.doc_id][r.start : r.end].lower().split()) in items[r.item_id]
+    assert {r.doc_id for r in decontam.without_leaks(docs(data), benchmark).collect()} == {100, 101, 102}
+
+
 # op7
 
 
