@@ -28,8 +28,9 @@ from .license_templates import TEMPLATES, UNKNOWN
 NONE, UNDECIDED = "none", "unknown"
 #: Bounds of the training set: documents whose paragraphs are ordinary text, variants a notice.
 ORDINARY_DOCUMENTS, ORDINARY_PARAGRAPHS, VARIANTS = 400, 3000, 40
-#: An n-gram in over this share of ordinary paragraphs is no feature.
-MOST_COMMON = 0.005
+#: An n-gram in over this share of ordinary lines (and in more than one) is no feature, but
+#: every notice keeps this many of its rarest.
+MOST_COMMON, LEAST_FEATURES = 0.005, 4
 #: Share of a template's features that a paragraph must have to confirm it.
 LEAST_SIMILAR = 0.6
 #: Precision that the calibrated probability must reach on held-out rows.
@@ -43,6 +44,8 @@ class Model(NamedTuple):
     coefficients: DataFrame
     templates: DataFrame
     threshold: float
+    #: The features' n-grams, at most those of the fixed notices.
+    vocabulary: list[str]
 
 
 def literal_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -79,9 +82,32 @@ def _variants(spark: SparkSession) -> DataFrame:
     return many.select("family", thin.alias("words"))
 
 
+#: Stands for every line in the counts; no n-gram holds a line break.
+_ALL = "\n"
+
+
+def _line_counts(docs: DataFrame, known: list[str], notices: list[list[str]], id_col: str, text_col: str) -> dict[str, int]:
+    """Ordinary lines of the whole corpus that hold each known n-gram; ``_ALL``: all of them.
+
+    Set aside are lines with half of a notice's word pairs, and lines at least half of whose
+    pairs, three or more, are those of one notice: parts of a wrapped one.
+    """
+    grams = paragraphs(docs, id_col, text_col).select(ngrams(words_of(F.col("paragraph"))).alias("grams"))
+    is_pair = lambda g: F.contains(g, F.lit(" "))
+    held = grams.select(F.filter("grams", lambda g: g.isin(known)).alias("held"), F.size(F.filter("grams", is_pair)).alias("n_pairs"))
+    held = held.withColumn("pairs", F.filter("held", is_pair))
+    like = F.lit(False)
+    for pairs in sorted({tuple(sorted(g for g in n if " " in g)) for n in notices}):
+        both = F.size(F.array_intersect("pairs", F.array(*[F.lit(g) for g in pairs])))
+        like = like | (2 * both >= len(pairs)) | ((both >= 3) & (2 * both >= F.col("n_pairs")))
+    ordinary = held.where(~F.when(F.size("pairs") > 0, like).otherwise(False))
+    counted = ordinary.select(F.explode(F.concat("held", F.array(F.lit(_ALL)))).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    return {r["g"]: r["n"] for r in counted.collect()}
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Train on notices and on the paragraphs of a bounded set of documents (the ids with the
-    smallest hash). An empty corpus leaves the notices alone to train on."""
+    smallest hash); what is too common for a feature is counted over every line. An empty corpus leaves the notices alone to train on."""
     spark = docs.sparkSession
     ids = documents(docs, id_col, text_col).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(ORDINARY_DOCUMENTS)
     ordinary = (
@@ -89,19 +115,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
         .orderBy(F.xxhash64("paragraph"), "id", "pos").limit(ORDINARY_PARAGRAPHS)
         .select(ngrams(words_of(F.col("paragraph"))).alias("grams")).coalesce(1).persist()
     )
-    n_ordinary = ordinary.count()
     notices = _variants(spark).select("family", ngrams(F.col("words")).alias("grams"))
-    known = notices.select(F.explode("grams").alias("g")).distinct()
-    common = (
-        ordinary.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > MOST_COMMON * n_ordinary).select("g")
-    )
-    vocabulary = [r["g"] for r in known.join(common, "g", "left_anti").orderBy("g").collect()]
+    known = sorted(r["g"] for r in notices.select(F.explode("grams").alias("g")).distinct().collect())
+    every = literal_rows(spark, [{"family": f, "notice": t} for f, t in [*TEMPLATES, *((UNDECIDED, t) for t in UNKNOWN)]], "family: string, notice: string")
+    every = [(r["family"], r["grams"]) for r in every.select("family", ngrams(words_of(F.col("notice"))).alias("grams")).collect()]
+    counts = _line_counts(docs, known, [g for _, g in every], id_col, text_col)
+    most = max(MOST_COMMON * counts.get(_ALL, 0), 1)
+    kept = {g for g in known if counts.get(g, 0) <= most}
+    for _, g in every:  # no notice loses its last distinguishing n-grams
+        kept |= set(sorted(g, key=lambda x: (counts.get(x, 0), x))[:LEAST_FEATURES])
+    vocabulary = sorted(kept)
     grams = F.array(*[F.lit(g) for g in vocabulary])
-    # Ordinary paragraphs that hold a notice are not ordinary: half of a notice's features.
+    # Ordinary lines that hold a notice are not ordinary.
     whole = literal_rows(spark, [{"family": f, "notice": t} for f, t in TEMPLATES], "family: string, notice: string").select(
         "family", F.array_intersect(ngrams(words_of(F.col("notice"))), grams).alias("features")
-    ).where(F.size("features") > 0)
+    )
     held = whole.select(F.explode("features").alias("g")).distinct()
     suspect = ordinary.withColumn("row", F.xxhash64("grams")).select("row", F.explode("grams").alias("g")).join(F.broadcast(held), "g")
     suspect = suspect.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").select("row")
@@ -126,12 +154,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
             threshold = p
     ordinary.unpersist()
     rows.unpersist()
-    kept = [
+    weighted = [
         {"g": g, "weights": [float(matrix[k][j]) for k in present]} for j, g in enumerate(vocabulary) if abs(matrix[:, j]).max() > 0
     ]
-    coefficients = literal_rows(spark, kept, "g: string, weights: array<double>").select(F.xxhash64("g").alias("h"), "weights")
+    coefficients = literal_rows(spark, weighted, "g: string, weights: array<double>").select(F.xxhash64("g").alias("h"), "weights")
     templates = whole.select("family", F.transform("features", lambda g: F.xxhash64(g)).alias("hashes"))
-    return Model(families[: len(present)], [float(x) for x in fitted.interceptVector], coefficients, templates, max(0.5, min(threshold, 0.99)))
+    return Model(families[: len(present)], [float(x) for x in fitted.interceptVector], coefficients, templates, max(0.5, min(threshold, 0.99)), [r["g"] for r in weighted])
 
 
 def _vector(c: Column) -> Column:

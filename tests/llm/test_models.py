@@ -146,6 +146,20 @@ def test_licence_wording(docs, licences):
     assert license_scan.scan(docs(ODD), licences).count() == 0
 
 
+@pytest.mark.parametrize("n", [12, 300])
+def test_a_notice_in_a_third_of_all_documents_is_found(docs, n):
+    rng = np.random.default_rng(n)
+    notices = ["Released under the MIT License.", "Licensed under CC BY-NC 4.0."]
+    rows = []
+    for i in range(n):
+        lines = [" ".join(f"w{w}" for w in rng.integers(0, 900, 12)) for _ in range(9)]
+        rows.append((i, "\n".join(lines + ([notices[i // 3 % 2]] if i % 3 == 0 else []))))
+    model = license_scan.fit(docs(rows))
+    found = sorted((r.doc_id, r.pos, r.family) for r in license_scan.scan(docs(rows), model).collect())
+    assert found == [(i, 9, ("MIT", "CC-BY-NC")[i // 3 % 2]) for i in range(0, n, 3)]
+    assert {f for f, _ in license_scan.TEMPLATES} == {r.family for r in model.templates.where("size(hashes) >= 4").collect()}
+
+
 # pipeline
 
 
