@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, license_scan, line_dedup, quality_knn, quality_rules, simhash, substring_dedup, url_filter
+from . import bpe, decontam, fill_middle, langid, license_scan, line_dedup, quality_knn, quality_rules, simhash, substring_dedup, url_filter
 from .common import read, shown_id
 from .queries_sql import ORACLES  # noqa: F401
 
@@ -82,10 +82,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, form and digests of the fill-in-the-middle output of every document."""
+    return fill_middle.digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_license_scan, op3_byte_bpe, op4_language_id, op5_quality_rules,
         op6_benchmark_decontamination, op7_substring_dedup, op8_url_filter, op9_line_dedup, op10_quality_classifier,
+        op12_fill_middle,
     )
 }
