@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fill_middle, langid, license_scan, line_dedup, quality_knn, quality_rules, simhash, substring_dedup, url_filter
+from . import bpe, decontam, fill_middle, langid, license_scan, line_dedup, packing, quality_knn, quality_rules, simhash, substring_dedup, url_filter
 from .common import read, shown_id
 from .queries_sql import ORACLES  # noqa: F401
 
@@ -82,6 +82,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The vocabulary of the packed sequences, a file of the tokenizers library.
+PACKED_FILE = "byte_bpe_50k.json"
+
+
+def packed_vocabulary() -> packing.Vocabulary:
+    return packing.Vocabulary(packing.ranks_of(public_tokenizers.path(PACKED_FILE)), public_tokenizers.PATTERN)
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    vocabulary = packed_vocabulary()
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), vocabulary), vocabulary.width)
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, form and digests of the fill-in-the-middle output of every document."""
     return fill_middle.digests(read(spark, sf_dir, "documents"))
@@ -92,6 +106,6 @@ QUERIES = {
     for f in (
         op1_simhash_near_dedup, op2_license_scan, op3_byte_bpe, op4_language_id, op5_quality_rules,
         op6_benchmark_decontamination, op7_substring_dedup, op8_url_filter, op9_line_dedup, op10_quality_classifier,
-        op12_fill_middle,
+        op11_packing, op12_fill_middle,
     )
 }
