@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fill_middle, langid, license_scan, line_dedup, packing, quality_knn, quality_rules, simhash, substring_dedup, url_filter
+from . import bpe, decontam, fill_middle, langid, license_scan, line_dedup, packing, prefix_trie, quality_knn, quality_rules, simhash, substring_dedup, url_filter
 from .common import read, shown_id
 from .queries_sql import ORACLES  # noqa: F401
 
@@ -101,11 +101,16 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(read(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.nodes(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_license_scan, op3_byte_bpe, op4_language_id, op5_quality_rules,
         op6_benchmark_decontamination, op7_substring_dedup, op8_url_filter, op9_line_dedup, op10_quality_classifier,
-        op11_packing, op12_fill_middle,
+        op11_packing, op12_fill_middle, op13_prefix_trie,
     )
 }

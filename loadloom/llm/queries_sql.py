@@ -101,4 +101,34 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
        sha256(text) AS restored_sha256 FROM p""",
+    "op13_prefix_trie": r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))),
+own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, xor(4294967295::BIGINT, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))) % 4 AS h FROM own, crc),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:h], []), c.turns[h + 1:]) AS seq
+  FROM h c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, d, len(seq) = d AS ends, coalesce(len(regexp_extract_all(seq[d].x, '[^\x20\x09-\x0D]+')), 0) AS words, seq[1:d] AS prefix
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)),
+named AS (SELECT conv_id, d, ends, words, min(conv_id) OVER (PARTITION BY d, prefix) AS m FROM prefixes),
+nodes AS (
+  SELECT m, d, count(*) AS n, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM named GROUP BY m, d),
+edges AS (SELECT v.m, v.d, p.m AS pm FROM nodes v JOIN named p ON p.conv_id = v.m AND p.d = v.d - 1),
+children AS (SELECT pm AS m, d - 1 AS d, count(*) AS n FROM edges GROUP BY ALL),
+below AS (
+  SELECT u.m, u.d, sum((v.n - 1) * v.words)::BIGINT AS saved_tokens, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves
+  FROM nodes v JOIN named u ON u.conv_id = v.m AND u.d <= v.d LEFT JOIN children c ON c.m = v.m AND c.d = v.d GROUP BY u.m, u.d)
+SELECT v.m AS conv_id, v.d AS depth, e.pm AS parent_conv_id, v.n AS n_convs, coalesce(c.n, 0) AS n_children, b.n_leaves, b.saved_tokens, v.ends_sha256
+FROM nodes v JOIN below b USING (m, d) LEFT JOIN edges e USING (m, d) LEFT JOIN children c USING (m, d)""",
 }
