@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, fill_middle, langid, license_scan, line_dedup, packing, prefix_trie, quality_knn, quality_rules, simhash, substring_dedup, url_filter
-from .common import read, shown_id
+from .common import read, shown_id, stored
 from .queries_sql import ORACLES  # noqa: F401
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -25,7 +25,8 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence paragraphs of every document."""
     docs = read(spark, sf_dir, "documents")
-    return license_scan.scan(docs, license_scan.fit(docs))
+    found = stored(license_scan.hits(docs), "licence-hits")
+    return license_scan.scan(docs, license_scan.fit(docs, found=found), found=found)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

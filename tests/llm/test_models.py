@@ -1,5 +1,9 @@
 """Trained operators: held-out quality on the tables, defined results on awkward rows."""
 
+import re
+import textwrap
+from collections import defaultdict
+
 import numpy as np
 import pytest
 
@@ -160,6 +164,80 @@ def test_a_notice_in_a_third_of_all_documents_is_found(docs, n):
     assert {f for f, _ in license_scan.TEMPLATES} == {r.family for r in model.templates.where("size(hashes) >= 4").collect()}
 
 
+def test_wrapped_notices_are_one_row(docs, licences):
+    notice = {f: max((t for g, t in license_scan.TEMPLATES if g == f), key=len) for f in ("MIT", "Apache-2.0", "BSD", "ISC", "GPL-3.0")}
+    rows, want = [], []
+    for i, (family, text) in enumerate(notice.items()):
+        for width in (60, 78):
+            lines = textwrap.wrap(text, width)
+            at = len(rows)
+            rows.append((at, "\n".join(["Plain words of a story here.", "", *lines, "", "The end of it all."])))
+            want.append((at, 2, len(lines), family))
+            # Without its last third, and as comment lines.
+            part = ["# " + x for x in lines[: -(len(lines) // 3)]]
+            rows.append((at + 1, "\n".join([*part, "", "def run():"])))
+            want.append((at + 1, 0, len(part), family))
+    found = license_scan.scan(docs(rows), licences).where("family <> 'unknown'").collect()
+    for i, pos, n, family in want:
+        mine = [(r.pos, r.n_lines, r.family) for r in found if r.doc_id == i]
+        assert {f for _, _, f in mine} == {family}, (i, mine)
+        # A last line of a word or two may not belong to it.
+        assert len(mine) == 1 and mine[0][0] == pos and n - 1 <= mine[0][1] <= n or all(k == 1 for _, k, _ in mine), (i, mine)
+    assert sum(len([r for r in found if r.doc_id == i]) == 1 for i, *_ in want) >= len(want) - 4
+
+
+def test_neighbouring_notices_stay_apart(docs, licences):
+    found = license_scan.scan(docs([(1, "Released under the MIT License.\nLicensed under CC BY-NC 4.0.")]), licences).collect()
+    assert sorted((r.pos, r.n_lines, r.family) for r in found) == [(0, 1, "MIT"), (1, 1, "CC-BY-NC")]
+
+
+def test_licence_scores_are_those_of_a_plain_computation(spark, medium, licences):
+    texts = {r.doc_id: r.text for r in read(spark, medium, "documents").where("doc_id < 150 OR text LIKE '%icense%'").collect()}
+    weights = {g: w for g, w in zip(licences.vocabulary, [r.weights for r in sorted_by_vocabulary(licences)])}
+    templates = defaultdict(list)
+    for family, text in license_scan.TEMPLATES:
+        templates[family].append(grams(text) & {n for n in kept_names(licences)})
+    want = {}
+    for d, text in texts.items():
+        for pos, line in enumerate(text.split("\n")):
+            held = grams(line) & set(weights)
+            if not line.strip(" ") or not held:
+                continue
+            s = np.array(licences.intercepts) + sum(np.array(weights[g]) for g in held)
+            best = int(s.argmax())
+            if licences.families[best] != "none":
+                share = max((len(held & t) / len(t) for t in templates[licences.families[best]]), default=0.0)
+                want[d, pos] = (licences.families[best], 1 / np.exp(s - s.max()).sum(), share)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {(r.id, r.pos): (r.guess, r.probability, r.similarity) for r in license_scan._scored(
+        license_scan.hits(frame).selectExpr("id", "text_key", "pos", "1 AS n_lines", "held"), licences).collect()}
+    assert found.keys() == want.keys() and len(want) > 5
+    for k, (family, p, share) in want.items():
+        assert found[k][0] == family and abs(found[k][1] - p) < 1e-6 and abs(found[k][2] - share) < 1e-9, k
+
+
+def grams(text):
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    return {*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))}
+
+
+def kept_names(model):
+    names = license_scan._known(model.templates.sparkSession)[1]
+    return {names[h] for r in model.templates.collect() for h in r.hashes}
+
+
+def sorted_by_vocabulary(model):
+    names = license_scan._known(model.coefficients.sparkSession)[1]
+    place = {g: i for i, g in enumerate(model.vocabulary)}
+    return sorted(model.coefficients.collect(), key=lambda r: place[names[r.h]])
+
+
+def test_a_line_is_split_once(docs):
+    """Neither the hits nor what reads them repeats the split of a line."""
+    plan = license_scan.hits(docs([(1, "a b")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(lower(") == 1 and len(plan) < 200_000
+
+
 # pipeline
 
 
