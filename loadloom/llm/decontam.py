@@ -10,8 +10,11 @@ band. The filter loses no match; the alignment lets no other region through.
 An item is found whole (its passages with up to a tenth of edits) or in part: a quote of
 some of it holds one of the item's short overlapping windows nearly as it is.
 
-Benchmark items are processed in blocks of bounded size, each broadcast after its size is
-checked; the documents are only mapped, never shuffled.
+The passages are cut from the items in tasks and dealt into blocks of bounded size whatever an
+item's length; one block at a time is collected, broadcast and released, and its index is built
+in the Python workers. The documents are only mapped, never shuffled. Texts of any length and
+form take bounded memory: long repetitions of a few characters are shortened first (a match
+lies within one end of them or is repeated there), and hits are counted stretch by stretch.
 
 Texts are compared in lower case with runs of white space as one space; offsets are given
 in the text as it is.
@@ -20,15 +23,16 @@ in the text as it is.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 from typing import NamedTuple
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, pick, pieces, shown_id
+from .common import documents, pick, pieces, shown_id, stored
 
 Q = 8
 #: Edits allowed, as a share of a passage's characters.
@@ -40,8 +44,12 @@ PASSAGE_CHARS = 512
 #: Extracts: every item over this length is also searched in windows of it, at this stride, with
 #: these few edits. A text that holds 149 characters of an item in a row holds a window.
 EXTRACT_CHARS, EXTRACT_STRIDE, EXTRACT_EDITS = 100, 50, 3
-#: Characters of benchmark text in one broadcast block.
-BLOCK_CHARS = 1_000_000
+#: Characters of passages in one broadcast block, about.
+BLOCK_CHARS = 2_000_000
+#: Characters that any match stays under, with its edits and a q-gram at its ends.
+_REACH = 640
+#: Characters of a text looked at in one stretch, and hits counted in one step.
+STRETCH, STEP_HITS = 1 << 16, 1 << 21
 _BLOOM_BITS = 22
 _MUL = 0x9E3779B97F4A7C15
 
@@ -96,21 +104,41 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(_MUL)
 
 
-def build(items: list[tuple]) -> Index | None:
-    """Index of (item id, text) pairs."""
-    ids, codes, extract = [], [], []
-    for item, text in items:
-        c = normalised(text or "")[0]
-        c = c[int(len(c) > 0 and c[0] == 32) : len(c) - int(len(c) > 1 and c[-1] == 32)]
-        if len(c) < LEAST_CHARS:
-            continue
-        starts = range(0, max(1, len(c) - PASSAGE_CHARS // 2), PASSAGE_CHARS // 2)
-        windows = [*range(0, len(c) - EXTRACT_CHARS, EXTRACT_STRIDE), len(c) - EXTRACT_CHARS] if len(c) > EXTRACT_CHARS else []
-        codes += [c[s : s + PASSAGE_CHARS] for s in starts] + [c[s : s + EXTRACT_CHARS] for s in windows]
-        ids += [item] * (len(starts) + len(windows))
-        extract += [False] * len(starts) + [True] * len(windows)
-    if not codes:
-        return None
+def shortened(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and places without the middle of long runs that repeat 1 to ``Q`` characters.
+
+    Both ends of a run stay, longer than any match, and the cut is a multiple of the period:
+    every stretch of ``_REACH`` characters of the text still occurs, and no other.
+    """
+    for period in range(1, Q + 1):
+        if len(codes) <= 3 * _REACH:
+            break
+        same = np.concatenate([[False], codes[period:] == codes[:-period], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        starts, ends = edges[::2], edges[1::2] + period
+        long = ends - starts > 3 * _REACH
+        if long.any():
+            keep = np.ones(len(codes), bool)
+            for a, b in zip(starts[long].tolist(), ends[long].tolist()):
+                keep[a + _REACH : a + _REACH + (b - a - 2 * _REACH) // period * period] = False
+            codes, at = codes[keep], at[keep]
+    return codes, at
+
+
+def cut(text: str) -> list[tuple[np.ndarray, bool]]:
+    """(characters, whether a window of a longer item) of one item's passages; short items have none."""
+    c = normalised(text)[0]
+    c = c[int(len(c) > 0 and c[0] == 32) : len(c) - int(len(c) > 1 and c[-1] == 32)]
+    if len(c) < LEAST_CHARS:
+        return []
+    starts = range(0, max(1, len(c) - PASSAGE_CHARS // 2), PASSAGE_CHARS // 2)
+    windows = [*range(0, len(c) - EXTRACT_CHARS, EXTRACT_STRIDE), len(c) - EXTRACT_CHARS] if len(c) > EXTRACT_CHARS else []
+    return [(c[s : s + PASSAGE_CHARS], False) for s in starts] + [(c[s : s + EXTRACT_CHARS], True) for s in windows]
+
+
+def build(passages: list[tuple[object, np.ndarray, bool]]) -> Index:
+    """Index of (item id, characters, window) passages."""
+    ids, codes, extract = ([p[k] for p in passages] for k in range(3))
     m, extract = np.array([len(c) for c in codes]), np.array(extract)
     # The budget never leaves the range in which the lemma filters (a bound of 1 at least).
     edits = np.where(extract, EXTRACT_EDITS, np.minimum((m * EDIT_SHARE).astype(int), (m - Q) // Q))
@@ -131,7 +159,8 @@ def bands(codes: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     """(passage, lowest diagonal) of the bands whose shared q-grams reach the bound.
 
     A band is ``2 k + 2`` diagonals wide and starts at a multiple of ``k + 1``, so the
-    diagonals of any alignment with k edits fit into one.
+    diagonals of any alignment with k edits fit into one. Stretches overlap by more than a
+    match, so each match has all its hits in one of them.
     """
     h = gram_hashes(codes)
     at = np.flatnonzero(index.seen[h >> np.uint64(64 - _BLOOM_BITS)])
@@ -139,17 +168,35 @@ def bands(codes: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     hit = index.grams[np.minimum(g, len(index.grams) - 1)] == h[at]
     at, g = at[hit], g[hit]
     n = index.offsets[g + 1] - index.offsets[g]
-    posting = np.repeat(index.offsets[g] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-    p = index.passage[posting]
-    step = index.edits[p] + 1
-    band = (np.repeat(at, n) - index.place[posting] + PASSAGE_CHARS) // step
-    key = (p << 40) + band
-    key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-    key = key[count >= index.bound[key >> 40]]
+    reached = [np.zeros(0, np.int64)]
+    for low in range(0, len(codes), STRETCH):
+        a, b = np.searchsorted(at, (low, low + STRETCH + _REACH))
+        if a < b:
+            reached.append(_reached(at[a:b], g[a:b], n[a:b], index))
+    key = np.unique(np.concatenate(reached))
     p = key >> 40
     return p, (key & ((1 << 40) - 1)) * (index.edits[p] + 1) - PASSAGE_CHARS
 
 
+def _reached(at: np.ndarray, g: np.ndarray, n: np.ndarray, index: Index) -> np.ndarray:
+    """Keys (passage and band) of one stretch that reach their bound; hits are counted in steps of ``STEP_HITS``."""
+    part = np.cumsum(n) // STEP_HITS
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(at)]
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for a, b in zip(edges, edges[1:]):
+        some = n[a:b]
+        posting = np.repeat(index.offsets[g[a:b]] - np.append(0, np.cumsum(some)[:-1]), some) + np.arange(some.sum())
+        p = index.passage[posting]
+        band = (np.repeat(at[a:b], some) - index.place[posting] + PASSAGE_CHARS) // (index.edits[p] + 1)
+        key = (p << 40) + band
+        key, count = np.unique(np.concatenate([key, key[band > 0] - 1]), return_counts=True)
+        if len(keys):
+            key, back = np.unique(np.concatenate([keys, key]), return_inverse=True)
+            count = np.bincount(back, np.concatenate([counts, count])).astype(np.int64)
+        keys, counts = key, count
+    return keys[counts >= index.bound[keys >> 40]]
+
+
 def align(texts: list[np.ndarray], passages: list[np.ndarray], low: np.ndarray, edits: np.ndarray):
     """Banded alignment of many (text, passage, band) at once: edits, start and end in the text.
 
@@ -186,7 +233,7 @@ def matches(texts: list[str], index: Index) -> list[tuple[int, int, int, int, in
     window's only if none of the item's passages is found in the text."""
     docs, where, found = [], [], []
     for i, t in enumerate(texts):
-        codes, at = normalised(t)
+        codes, at = shortened(*normalised(t))
         if len(codes) < Q:
             continue
         for p, low in zip(*bands(codes, index)):
@@ -210,22 +257,50 @@ def matches(texts: list[str], index: Index) -> list[tuple[int, int, int, int, in
     return [(i, p, c, s, e) for (i, _), (c, s, e, p) in sorted(best.items(), key=lambda x: (x[0][0], x[1]))]
 
 
-def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[Index]:
-    """The benchmark as indexes of bounded size; null texts and short items have none."""
+def _passages(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, str, int]:
+    """The passages (item, codes, extract, block) as a table, the items' type, and the number of
+    blocks; null texts and short items have none."""
     items = pick(benchmark, item=item_col, text=text_col).where(F.col("text").isNotNull()).distinct()
-    if dict(items.dtypes)["item"] not in ("tinyint", "smallint", "int", "bigint"):
-        items = items.withColumn("item", F.col("item").cast("string"))
-    total = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
-    n, out = max(1, -(-2 * total // BLOCK_CHARS)), []
-    items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    for b in range(n):
-        part = items.where(F.col("block") == b)
-        size = part.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0] if n > 1 else total
-        if size > 4 * BLOCK_CHARS:
-            raise ValueError(f"benchmark block of {size} characters; an item is too long to broadcast")
-        index = build([(r["item"], r["text"]) for r in part.orderBy("item", "text").collect()])
-        out += [index] if index else []
-    return out
+    # Integer item ids are carried as long, all others as text.
+    kind = "long" if dict(items.dtypes)["item"] in ("tinyint", "smallint", "int", "bigint") else "string"
+    items = items.withColumn("item", F.col("item").cast(kind))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, 16):
+            rows = [(i, c.tobytes(), x) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for c, x in cut(t)]
+            for at in range(0, len(rows), 4096):
+                cols = zip(zip(*rows[at : at + 4096]), (pa.int64() if kind == "long" else pa.string(), pa.binary(), pa.bool_()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], ["item", "codes", "extract"])
+
+    cut_ = stored(items.mapInArrow(mapped, f"item {kind}, codes binary, extract boolean"), "passages")
+    total = cut_.agg(F.coalesce(F.sum(F.octet_length("codes")), F.lit(0))).first()[0] // 4
+    n = -(-total // BLOCK_CHARS)
+    return cut_.withColumn("block", F.pmod(F.xxhash64("item", "codes"), F.lit(max(n, 1)))), kind, n
+
+
+_INDEXES: dict[str, Index] = {}
+
+
+def _index(shared, key: str) -> Index:
+    """One block's index per Python worker."""
+    if key not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[key] = build([(i, np.frombuffer(c, np.uint32), x) for i, c, x in shared.value])
+    return _INDEXES[key]
+
+
+def per_block(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text"):
+    """(index of a block, inside a task) for each block in turn; the block before is released then."""
+    table, _, n = _passages(benchmark, item_col, text_col)
+    for k in range(n):
+        rows = sorted(((r["item"], bytes(r["codes"]), r["extract"]) for r in table.where(F.col("block") == k).collect()), key=lambda r: (r[2], str(r[0]), r[1]))
+        if not rows:
+            continue
+        shared, key = benchmark.sparkSession.sparkContext.broadcast(rows), uuid4().hex
+        del rows
+        yield lambda shared=shared, key=key: _index(shared, key), n
+        if n > 1:
+            shared.unpersist()
 
 
 def leaks(
@@ -238,41 +313,47 @@ def leaks(
     repeated rows have their own; an empty benchmark gives no rows; a null document id is
     shown as null.
     """
-    spark, base = docs.sparkSession, documents(docs, id_col, text_col)
-    # Integer item ids are carried as long, all others as text.
+    spark, base = docs.sparkSession, documents(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     kind = "long" if dict(benchmark.dtypes)[item_col] in ("tinyint", "smallint", "int", "bigint") else "string"
-    schema = f"id long, item_id {kind}, n_edits int, start int, end int"
-    out = []
-    for index in blocks(benchmark, item_col):
-        shared = spark.sparkContext.broadcast(index)
+    schema = f"id long, row long, item_id {kind}, window boolean, n_edits int, start int, end int"
+    types = [pa.int64(), pa.int64(), pa.int64() if kind == "long" else pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.int32()]
+    out = None
+    for index, n in per_block(benchmark, item_col):
 
-        def mapped(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            x = shared.value
+        def mapped(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            x = index()
             for b in pieces(batches):
-                ids = b.column(0).to_pylist()
-                rows = [(ids[i], x.ids[p], c, s, e) for i, p, c, s, e in matches(b.column(2).to_pylist(), x)]
-                cols = list(zip(*rows)) if rows else [()] * 5
-                types = [pa.int64(), pa.int64() if kind == "long" else pa.string(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "item_id", "n_edits", "start", "end"])
-
-        out.append(base.mapInArrow(mapped, schema))
-    if not out:
+                ids, row = b.column(0).to_pylist(), b.column(3).to_pylist()
+                rows = [(ids[i], row[i], x.ids[p], bool(x.extract[p]), c, s, e) for i, p, c, s, e in matches(b.column(2).to_pylist(), x)]
+                cols = list(zip(*rows)) if rows else [()] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "row", "item_id", "window", "n_edits", "start", "end"])
+
+        found = base.mapInArrow(mapped, schema)
+        found = stored(found, "leaks") if n > 1 else found  # its block may go then
+        out = found if out is None else out.union(found)
+    if out is None:
         return spark.createDataFrame([], schema).select(shown_id().alias("doc_id"), "item_id", "n_edits", "start", "end")
-    return reduce(DataFrame.union, out).select(shown_id().alias("doc_id"), "item_id", "n_edits", "start", "end")
+    if n > 1:  # an item's passages may lie in several blocks: its best region, a passage before a window
+        out = out.groupBy("id", "row", "item_id").agg(F.min(F.struct("window", "n_edits", "start", "end")).alias("r")).select("id", "item_id", "r.*")
+    return out.select(shown_id().alias("doc_id"), "item_id", "n_edits", "start", "end")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns kept, in one pass per block."""
+    """The rows of ``docs`` that hold no benchmark item, all columns kept, in one pass per block.
+
+    Null and empty texts stay; of repeated rows all stay or go; an empty benchmark keeps all.
+    """
     names = docs.columns
     at, out = names.index(text_col), docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    for index in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for index, n in per_block(benchmark):
 
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            x = index()
             for b in pieces(batches):
                 keep = np.ones(b.num_rows, bool)
-                keep[[m[0] for m in matches([t or "" for t in b.column(at).to_pylist()], shared.value)]] = False
+                keep[[m[0] for m in matches([t or "" for t in b.column(at).to_pylist()], x)]] = False
                 yield b.filter(pa.array(keep))
 
         out = out.mapInArrow(clean, out.schema)
+        out = stored(out, "clean") if n > 1 else out
     return out.toDF(*names)

@@ -1,6 +1,7 @@
 """Operators against brute force, on the small tables and on awkward rows."""
 
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
 import duckdb
@@ -309,6 +310,55 @@ def test_quotes_of_part_of_an_item_are_found(spark, docs):
     assert {r.doc_id for r in decontam.without_leaks(docs(data), benchmark).collect()} == {100, 101, 102}
 
 
+def repetitive(rng, n):
+    """A text with long runs of short periods between words."""
+    parts = []
+    while sum(map(len, parts)) < n:
+        unit = "".join(rng.choice(list("_-=. ab"), int(rng.integers(1, 9))))
+        parts += [unit * int(rng.integers(1, 900)), " ".join(f"w{w}" for w in rng.integers(0, 50, 6))]
+    return " ".join(parts)
+
+
+def test_shortened_texts_hold_the_same_stretches():
+    rng = np.random.default_rng(17)
+    for _ in range(12):
+        codes, at = decontam.normalised(repetitive(rng, 12_000))
+        short, where = decontam.shortened(codes, at)
+        grams = lambda c: {c[i : i + decontam._REACH].tobytes() for i in range(len(c) - decontam._REACH + 1)}
+        assert grams(codes) == grams(short) and len(short) == len(where) <= len(codes)
+        assert (codes[np.searchsorted(at, where)] == short).all()
+
+
+def test_repetitive_texts_take_little_memory():
+    item = "Name: " + "_" * 120 + " Date: " + "-=" * 60 + " Answer in one line"
+    index = decontam.build([("blank", c, x) for c, x in decontam.cut(item)])
+    texts = ["_" * 10_000_000, "-=" * 3_000_000, "_ " * 500_000 + item, "x" * 300_000 + item.replace("Date", "Data") + "_" * 300_000]
+    tracemalloc.start()
+    found = {i: (c, s, e) for i, _, c, s, e in decontam.matches(texts, index)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10**9 and {2, 3} <= set(found)
+    c, s, e = found[3]
+    assert c == 1 and 300_000 <= s < 300_020 and abs(e - s - len(item)) < 20
+
+
+@pytest.mark.parametrize("size", [2_000_000, 900])
+def test_leaks_do_not_depend_on_blocks_steps_and_stretches(spark, docs, small, monkeypatch, size):
+    words = [f"w{i}" for i in range(3000)]
+    rng = np.random.default_rng(18)
+    items = [(i, " ".join(rng.choice(words, int(rng.integers(8, 400))))) for i in range(12)]
+    data = [(i, " ".join(rng.choice(words, 300)) + " " + items[i % 12][1][: 700 if i % 2 else None]) for i in range(24)] + [(3, None), (4, "")]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    want = sorted(map(tuple, decontam.leaks(docs(data), benchmark).collect()))
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", size)
+    monkeypatch.setattr(decontam, "STEP_HITS", 50)
+    monkeypatch.setattr(decontam, "STRETCH", 256)
+    got = sorted(map(tuple, decontam.leaks(docs(data), benchmark).collect()))
+    assert got == want and len(want) >= 24
+    clean = decontam.without_leaks(docs(data), benchmark)
+    assert clean.count() == 2
+
+
 # op7
 
 
