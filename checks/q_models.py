@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loadloom.functions import errors
 from loadloom.functions.names import feature_columns
 from loadloom.operators import scores, splits
 from loadloom.operators.scores import WEATHER_TREES
-from loadloom.plans import evaluation, features, lifecycle, models, predictions as pred, training
+from loadloom.plans import evaluation, features, lifecycle, models, predictions as pred, quantiles, training
 from loadloom.session import shared_dir, through_table
 from loadloom.sources import tables
 
@@ -239,6 +240,72 @@ def _(spark, sf):
     return _masked(evaluation.run_backtest(fr.stored(spark, sf), 24, **SCHEDULE, trees=[]), [scores.LINEAR])
 
 
+PINBALL = "avg(greatest(quantile * (y_true - y_pred), (quantile - 1) * (y_true - y_pred)))"
+TAUS = "(VALUES (0.1::DOUBLE), (0.5), (0.9)) v(quantile)"
+EXACT = f""", ranked AS (SELECT series_id, target, row_number() OVER (PARTITION BY series_id ORDER BY target) AS k, count(*) OVER (PARTITION BY series_id) AS n FROM hist2),
+value AS (SELECT series_id, quantile, n, min(target) AS y_pred FROM ranked, {TAUS} WHERE k >= ceil(quantile * n - 1e-9) GROUP BY ALL)
+SELECT v.series_id, v.quantile, v.n, v.y_pred, {PINBALL.replace("y_true", "h.target")} AS pinball FROM value v JOIN hist2 h USING (series_id) GROUP BY ALL"""
+EXACT = ", hist2 AS (SELECT series_id, load_mw AS target FROM canon WHERE load_mw IS NOT NULL)" + EXACT
+
+
+@query("m3_quantile_regression_constant", EXACT, "y_pred pinball")
+def _(spark, sf):
+    """Without columns the fit is the sample quantile of each series, with the least pinball loss there is."""
+    rows = fr.stored(spark, sf).filter("load_mw IS NOT NULL").withColumn("target", F.col("load_mw"))
+    fits = quantiles.fit_quantiles(rows, [])
+    joined = rows.select("series_id", "target").join(fits.withColumn("y_pred", F.col("coefficients")[0]), "series_id")
+    return joined.groupBy("series_id", "quantile", "y_pred").agg(F.count(F.lit(1)).alias("n"), F.avg(errors.pinball("target", "y_pred", F.col("quantile"))).alias("pinball"))
+
+
+BEST = LATER.replace("later AS", "unused AS") + f"SELECT DISTINCT series_id, quantile, true AS best, true AS below_flat, true AS ordered FROM feats, {TAUS} WHERE ts < (SELECT min(v0) FROM e)"
+
+
+@query("m3_quantile_regression", BEST, "quantile")
+def _(spark, sf):
+    """Each series' three quantiles on calendar and weather: each is best at its own pinball loss on the training
+    rows, beats the constant quantile there, and no band crosses."""
+    train, _ = _train_later(spark, sf)
+    keep = ["series_id", "ts", "target"]
+    fits = through_table(quantiles.fit_quantiles(train, LINEAR), "fits")
+    band = quantiles.band_of(train, fits, LINEAR, ["series_id"], keep)
+    flat = quantiles.band_of(train, quantiles.fit_quantiles(train, []), [], ["series_id"], keep).withColumnRenamed("y_pred", "flat")
+    judged = band.withColumnRenamed("quantile", "fitted").join(flat, keep).withColumn("loss", errors.pinball("target", "y_pred", F.col("quantile")))
+    sums = judged.groupBy("series_id", "quantile", "fitted").agg(F.sum("loss").alias("loss"), F.sum(errors.pinball("target", "flat", F.col("quantile"))).alias("flat"))
+    # A series of a few rows is met exactly by every fit: a loss of zero but for rounding.
+    own = F.max(F.when(F.col("fitted") == F.col("quantile"), F.col("loss") - 1e-6))
+    best = sums.groupBy("series_id", "quantile").agg((own <= F.min("loss")).alias("best"), (own <= F.max("flat")).alias("below_flat"))
+    order = band.groupBy(*keep).agg(F.array_sort(F.collect_list(F.struct("quantile", "y_pred"))).alias("b"))
+    order = order.groupBy("series_id").agg(F.min((F.col("b")[0]["y_pred"] <= F.col("b")[1]["y_pred"]) & (F.col("b")[1]["y_pred"] <= F.col("b")[2]["y_pred"])).alias("ordered"))
+    return best.join(order, "series_id")
+
+
+TRAILING = f"""{ROLLING.split("tested AS")[0]}trained AS (
+  SELECT o.series_id, o.t0, f.target, row_number() OVER w AS k, count(*) OVER (PARTITION BY o.series_id, o.t0) AS n
+  FROM origins o JOIN feats f ON f.series_id = o.series_id AND {hour_no('f.ts')} <= o.t0 - 24 WINDOW w AS (PARTITION BY o.series_id, o.t0 ORDER BY f.target)),
+fit AS (SELECT series_id, t0, quantile, min(target) AS y_pred FROM trained, {TAUS} WHERE k >= ceil(quantile * n - 1e-9) GROUP BY ALL),
+banded AS (SELECT f.series_id, f.ts, f.target AS y_true, b.quantile, b.y_pred FROM feats f JOIN origins o ON o.series_id = f.series_id
+  AND {hour_no('f.ts')} BETWEEN o.t0 AND least(o.t0 + 95, h1) JOIN fit b ON b.series_id = o.series_id AND b.t0 = o.t0
+  QUALIFY row_number() OVER (PARTITION BY f.series_id, f.ts, b.quantile ORDER BY o.t0 DESC) = 1)
+"""
+
+
+def _band_backtest(spark, sf):
+    long = evaluation.run_backtest(fr.stored(spark, sf), 24, **SCHEDULE, trees=[], quantiles=quantiles.BAND, band_columns=[])
+    return long.filter(F.col("model") == evaluation.QUANTILE_BAND)
+
+
+@query("c17_quantile_band_backtest", TRAILING + "SELECT series_id, ts, quantile, y_true, y_pred FROM banded", "y_true y_pred")
+def _(spark, sf):
+    """Bands of every rolling origin: the sample quantiles of its own training rows on its test rows."""
+    return _band_backtest(spark, sf).drop("model")
+
+
+@query("c37_backtest_pinball", TRAILING + f"SELECT series_id, quantile, {PINBALL} AS pinball FROM banded GROUP BY ALL", "pinball")
+def _(spark, sf):
+    """Pinball loss per quantile of the band of a rolling-origin backtest."""
+    return scores.pinball_table(_band_backtest(spark, sf), ["series_id"])
+
+
 OWN = f""", own AS (SELECT series_id, ts, load_mw, {lead('ts')} AS h FROM canon WHERE load_mw IS NOT NULL AND temp_c IS NOT NULL AND wind_ms IS NOT NULL AND cloud_cover IS NOT NULL),
 roll AS (SELECT series_id, ts, CASE WHEN count(load_mw) OVER w = 24 THEN avg(load_mw) OVER w END AS m, CASE WHEN count(load_mw) OVER w = 24 THEN stddev_samp(load_mw) OVER w END AS s
   FROM canon WINDOW w AS (PARTITION BY series_id ORDER BY ts RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW))

@@ -34,8 +34,10 @@ from .features import (
     make_features,
     swap_weather,
 )
+from .quantiles import band_by_origin
 
 GATE_MODEL = "gate_closure"
+QUANTILE_BAND = "quantile_band"
 FLAT, GATE_OBSERVED, GATE_FORECAST = "A", "B", "C"
 
 
@@ -112,11 +114,16 @@ def run_backtest(
     max_splits: int | None = None, first_test_start=None, trees: Sequence[str] = (CALENDAR_TREES, WEATHER_TREES),
     tuned_params: dict | None = None, inner_validation_days: int = 45, rolling_window: int = 24,
     weekly_lag: int = 168, tz: str = DEFAULT_TZ, seed: int = models.SEED, keys=KEYS, ts: str = TS,
+    quantiles: Sequence[float] = (), band_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rolling-origin backtest: ``(keys, ts, y_true, model, y_pred)`` on common hours. Runs jobs.
 
     Every model and reference is scored on exactly the hours all of them have. Pass the
     parameters found once on the first origin (``tune_first_origin``) as ``tuned_params``.
+
+    With ``quantiles`` a column ``quantile`` is added, null for the point models, and the rows
+    of model ``quantile_band`` hold each origin's fitted quantiles on all its test hours. They
+    use ``band_columns``, by default all features; none make the trailing sample quantiles.
     """
     keys = list(keys)
     features = through_table(
@@ -145,7 +152,12 @@ def run_backtest(
         winner = last_block_wins(blocks, "y_pred", "origin_no", [*keys, ts, "model"])
         sides.append(winner.groupBy(*keys, ts).pivot("model", list(specs)).agg(F.first("y_pred")))
     wide = on_common_rows(base, sides, keys, ts)
-    return to_long(wide, [NAIVE, REFERENCE, LINEAR, *specs], "actual", keys, ts)
+    long = to_long(wide, [NAIVE, REFERENCE, LINEAR, *specs], "actual", keys, ts)
+    if not quantiles:
+        return long
+    band = band_by_origin(features, splits, names if band_columns is None else band_columns, quantiles, keys, ts)
+    point = long.withColumn("quantile", F.lit(None).cast("double"))
+    return point.unionByName(band.withColumn("model", F.lit(QUANTILE_BAND)))
 
 
 def tune_first_origin(
