@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadloom.functions import clock, names, scalars
+from loadloom.operators import asof
 from loadloom.plans import features as feats
 from loadloom.session import shared_dir
 from loadloom.sources import canonical, payload, tables
 
 from . import frames as fr
-from .base_sql import CANON, FEATURES, lead
+from .base_sql import CANON, FEATURES, lead, midnight
 from .registry import query
 
 EVENTS_SCHEMA = T.StructType(
@@ -208,6 +209,35 @@ def _(spark, sf):
     return swapped.select("series_id", "ts", "load_mw", "temp_c", "wind_ms")
 
 
+#: Hours before the target at which a vintage was issued; the last one came after every publication time.
+ISSUED = (5, 16, 23, 30, 41, 54)
+VINTAGES = f""", vintages AS (SELECT series_id, ts, temp_c + k AS temp_c, wind_ms, ts - to_hours(k) AS issued_at FROM weather, (SELECT unnest({list(ISSUED)!r}) AS k) WHERE (hour(ts) + k) % 7 <> 0),
+pub AS (SELECT series_id, ts, {midnight('ts')} - to_hours(14) AS known FROM (SELECT DISTINCT series_id, ts FROM vintages))
+"""
+
+
+def vintages(spark, sf):
+    """Several forecasts of every hour, some missing."""
+    w = fr.weather(spark, sf).withColumn("k", F.explode(F.array(*[F.lit(k) for k in ISSUED]))).filter((F.hour("ts") + F.col("k")) % 7 != 0)
+    return w.select("series_id", "ts", (F.col("temp_c") + F.col("k")).alias("temp_c"), "wind_ms", clock.plus_hours("ts", -F.col("k")).alias("issued_at"))
+
+
+@query("s4_as_known_at", VINTAGES + """SELECT p.series_id, p.ts, v.temp_c, v.wind_ms, v.issued_at FROM pub p ASOF JOIN vintages v
+  ON v.series_id = p.series_id AND v.ts = p.ts AND p.known >= v.issued_at""", "temp_c wind_ms")
+def _(spark, sf):
+    """For each hour the newest weather forecast that was out at its publication time."""
+    return asof.as_known_at(vintages(spark, sf), ["temp_c", "wind_ms"])
+
+
+@query("s4_last_reading_at_forecast_time", """, made AS (SELECT id, series_id, predicted_at FROM preds), known AS (SELECT series_id, ts, load_mw FROM hist WHERE load_mw IS NOT NULL)
+SELECT m.id, m.series_id, m.predicted_at, k.load_mw AS known_mw, k.ts AS matched_at FROM made m ASOF LEFT JOIN known k ON k.series_id = m.series_id AND m.predicted_at >= k.ts""", "known_mw")
+def _(spark, sf):
+    """The last actual that each forecast could have known, whatever its own hour."""
+    made = fr.predictions(spark, sf).select("id", "series_id", "predicted_at")
+    known = fr.history(spark, sf).filter("load_mw IS NOT NULL").select("series_id", "ts", F.col("load_mw").alias("known_mw"))
+    return asof.asof_join(made, known, ["known_mw"], "predicted_at")
+
+
 @query(
     "s14_date_chunks",
     """, ranges AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e FROM orders GROUP BY 1),

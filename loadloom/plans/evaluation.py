@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import DEFAULT_TZ, KEYS, TS
 from ..functions.names import TARGET, feature_columns
 from ..operators.align import matched_rows, on_common_rows, with_scalars
+from ..operators.asof import as_known_at, publication_time
 from ..operators.history import seasonal_naive
 from ..operators.latest import last_block_wins
 from ..operators.scores import (
@@ -240,15 +241,21 @@ def run_gate_closure_backtest(
 def audit(
     frame: DataFrame, day_ahead_weather: DataFrame, swap: Sequence[str] = ("temp_c",), horizon: int = 24,
     learner: str = "linear", tz: str = DEFAULT_TZ, publication_hour: int = 10, keys=KEYS, ts: str = TS,
-    **schedule,
+    issued: str | None = None, **schedule,
 ) -> DataFrame:
     """Variants A (flat horizon), B (lead-matched), C (B with forecast weather), matched. Runs jobs.
 
+    With ``issued``, the name of an issue time, ``day_ahead_weather`` holds vintages, and each
+    hour is served the newest one that was out at its publication time.
+
     All three see the same span, the one archived forecasts cover, and are scored on the
     hours all three scored. Long, with column ``variant`` and models ``model`` (the
     variant's own), the seasonal naive and the reference.
     """
     keys = list(keys)
+    if issued is not None:
+        known = publication_time(ts, tz, publication_hour)
+        day_ahead_weather = as_known_at(day_ahead_weather, swap, known, issued, keys=keys, ts=ts)
     forecast_frame = through_table(swap_weather(frame, day_ahead_weather, swap, keys, ts), "audit-frame")
     observed = frame.join(forecast_frame.select(*keys, ts), [*keys, ts], "left_semi")
     trees = [WEATHER_TREES] if learner == "trees" else []
