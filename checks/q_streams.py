@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadloom.operators import spine
 from loadloom.plans import predictions as pred
 from loadloom.session import shared_dir
 from loadloom.streaming import streams
@@ -57,12 +56,19 @@ SELECT series_id, make_timestamp(d * 86400000000) AS window_start, make_timestam
 FROM b GROUP BY ALL"""
 
 
+def _clock(spark, times, at, name):
+    """One row two months after the last time of a table: whatever came before is final then."""
+    late = times.agg((F.max(at).cast("timestamp") + F.expr("INTERVAL 60 DAYS")).alias(at))
+    return _folder_stream(late, name)
+
+
 @query("x4_sliding_performance_stream", X4, "model_mape")
 def _(spark, sf):
+    """Daily panes, then windows of fourteen of them, chained in append mode."""
     p = fr.predictions(spark, sf)
     standing = pred.scored_predictions(p, pred.score(p, fr.history(spark, sf))).select("series_id", "target_time", "ape")
-    windows = streams.sliding_performance_stream(_folder_stream(standing, "standing"))
-    return streams.run_upserted(windows, "x4", ["series_id", "window_start"])
+    rows = streams.with_clock(_folder_stream(standing, "standing"), _clock(spark, p, "target_time", "x4-clock"), "target_time")
+    return streams.run_available(streams.sliding_performance_stream(rows), "x4").filter("series_id IS NOT NULL")
 
 
 X5 = """, m AS (SELECT series_id, ts FROM spine EXCEPT SELECT series_id, ts FROM hourly),
@@ -72,8 +78,10 @@ SELECT series_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS hours FRO
 
 @query("x5_outage_session_stream", X5)
 def _(spark, sf):
-    missing = spine.missing_hours(fr.hourly(spark, sf))
-    return streams.run_complete(streams.outage_sessions_stream(_folder_stream(missing, "missing")), "x5")
+    """Outages found in the stream of readings itself, by keyed state and timers."""
+    readings = streams.with_clock(_readings_stream(spark, sf), _clock(spark, fr.table(spark, sf, "events"), "ts", "x5-clock"))
+    found = streams.run_available(streams.absence_stream(readings), "x5")
+    return found.filter("kind = 'outage'").drop("kind")
 
 
 @query("x6_prediction_actual_stream_join", "SELECT p.id, p.series_id, p.target_time, p.load_mw, h.load_mw AS actual_mw FROM preds p JOIN hist h ON h.series_id = p.series_id AND h.ts = p.target_time", "load_mw actual_mw")
