@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loadloom.operators import quality, reference_window as ref, scores, spine, splits, twosample
-from loadloom.plans import dataset, features, lifecycle, monitoring, predictions as pred
+from loadloom.plans import dataset, features, lifecycle, monitoring, predictions as pred, revisions
 from loadloom.session import shared_dir
 from loadloom.sources import canonical, tables
 
@@ -194,6 +194,48 @@ def _(spark, sf):
     return tables.read_scores(spark, out).select("prediction_id", "actual_mw", "ape")
 
 
+FIRST_PULL, SECOND_PULL = "2000-01-01 00:00:00", "2000-02-01 00:00:00"
+
+
+def _revised_history(spark, sf):
+    """Two pulls, the second of them with other values from 1998 on; its changed hours."""
+    path, actuals = shared_dir(spark, "revisions"), fr.history(spark, sf)
+    revisions.apply_revisions(spark, path, actuals, FIRST_PULL)
+    later = actuals.filter(F.year("ts") >= 1997).withColumn("load_mw", F.col("load_mw") + F.when(F.year("ts") >= 1998, 1).otherwise(0))
+    changed = revisions.apply_revisions(spark, path, later, SECOND_PULL)
+    return revisions.read_history(spark, path, revisions.history_schema(actuals)), changed
+
+
+W7 = f""", later AS (SELECT * FROM hist WHERE ts >= TIMESTAMP '1998-01-01' AND load_mw IS NOT NULL)
+SELECT h.series_id, h.ts, h.load_mw, TIMESTAMP '{FIRST_PULL}' AS valid_from, CASE WHEN l.ts IS NOT NULL THEN TIMESTAMP '{SECOND_PULL}' END AS valid_to
+FROM hist h LEFT JOIN later l ON l.series_id = h.series_id AND l.ts = h.ts
+UNION ALL SELECT series_id, ts, load_mw + 1, TIMESTAMP '{SECOND_PULL}', NULL FROM later"""
+
+
+@query("w7_revision_intervals", W7, "load_mw")
+def _(spark, sf):
+    """Every value with the interval in which it was the known one."""
+    history, _ = _revised_history(spark, sf)
+    return history.select("series_id", "ts", "load_mw", "valid_from", "valid_to")
+
+
+@query("c20_score_as_known_at", "SELECT prediction_id, actual_mw, ape FROM scores", "actual_mw ape")
+def _(spark, sf):
+    """Scores as they were between the two pulls, from the history that has both."""
+    history, _ = _revised_history(spark, sf)
+    return revisions.score_as_known(fr.predictions(spark, sf), history, "2000-01-15 00:00:00").select("prediction_id", "actual_mw", "ape")
+
+
+@query("c20_rescore_changed", "SELECT prediction_id, actual_mw + CASE WHEN year(p.target_time) >= 1998 THEN 1 ELSE 0 END AS actual_mw FROM scores s JOIN preds p ON p.id = s.prediction_id", "actual_mw")
+def _(spark, sf):
+    """Stored scores, redone for the changed hours only."""
+    out, p = shared_dir(spark, "changed-scores"), fr.predictions(spark, sf)
+    history, changed = _revised_history(spark, sf)
+    pred.rescore(spark, p, out, revisions.as_of(history, "2000-01-15 00:00:00"), grain="month")
+    revisions.rescore_changed(spark, p, out, history, changed, grain="month")
+    return tables.read_scores(spark, out).select("prediction_id", "actual_mw")
+
+
 @query("c21_standing_scored", "SELECT id, series_id, target_time, load_mw, actual_mw, ape FROM standing WHERE target_time >= TIMESTAMP '1997-01-01'", "load_mw actual_mw ape")
 def _(spark, sf):
     p = fr.predictions(spark, sf)

@@ -65,17 +65,17 @@ def rescore(
 ) -> None:
     """Score the hours of ``actuals`` and put the scores into their day (or month) folders. Runs jobs.
 
-    The log (a frame or its path) is read between the first and the last of those hours.
-    Only the folders that get a score are read, merged with one join and replaced;
+    The log (a frame or its path) is read on the days of those hours, and on no day between
+    them. Only the folders that get a score are read, merged with one join and replaced;
     the merged rows are stored aside first. The same actuals twice change nothing.
     """
-    span = actuals.agg(F.min(TS).alias("a"), F.max(TS).alias("b")).first()
-    if span["a"] is None:
+    days = [r["d"] for r in actuals.select(F.to_date(TS).alias("d")).filter("d IS NOT NULL").distinct().collect()]  # a calendar
+    if not days:
         return
     if isinstance(predictions, str):
-        log = tables.read_predictions(spark, predictions, span["a"], span["b"])
+        log = tables.read_predictions(spark, predictions, days=days)
     else:
-        log = tables.filter_predictions(predictions, span["a"], span["b"])
+        log = tables.filter_predictions(predictions, days=days)
     day = log.select(F.col("id").alias("prediction_id"), F.date_format("target_time", tables.GRAINS[grain]).alias("period"))
     fresh = through_table(score(log, actuals, scored_at, arrival=arrival).join(day, "prediction_id"), "fresh-scores")
     periods = [r["period"] for r in fresh.select("period").distinct().collect()]  # the calendar of one pull

@@ -75,9 +75,9 @@ def append_predictions(predictions: DataFrame, path: str, batch_id: str | None =
 
 
 def read_predictions(
-    spark: SparkSession, path: str, since=None, until=None, model_version: str | None = None
+    spark: SparkSession, path: str, since=None, until=None, model_version: str | None = None, days: Sequence | None = None
 ) -> DataFrame:
-    """Logged predictions by target hour, both ends inclusive.
+    """Logged predictions by target hour, both ends inclusive, or by a set of target days.
 
     The bounds reach the scan twice: as partition pruning on the day and as row-group
     filters on the hour. Order with ``in_log_order`` at the sink.
@@ -86,11 +86,13 @@ def read_predictions(
         return empty(spark, PREDICTIONS)
     schema = T.StructType([*PREDICTIONS, T.StructField("target_date", T.DateType())])
     df = spark.read.schema(schema).parquet(path)
-    return filter_predictions(df, since, until, model_version).drop("target_date")
+    return filter_predictions(df, since, until, model_version, days).drop("target_date")
 
 
-def filter_predictions(df: DataFrame, since=None, until=None, model_version: str | None = None) -> DataFrame:
+def filter_predictions(df: DataFrame, since=None, until=None, model_version: str | None = None, days: Sequence | None = None) -> DataFrame:
     by_day = "target_date" in df.columns
+    if days is not None:
+        df = df.filter((F.col("target_date") if by_day else F.to_date("target_time")).isin(*days))
     if since is not None:
         low = F.lit(since).cast("timestamp")
         df = df.filter(F.col("target_time") >= low)
