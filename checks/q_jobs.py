@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loadloom.operators import quality, reference_window as ref, scores, spine, splits, twosample
-from loadloom.plans import dataset, features, lifecycle, monitoring, predictions as pred, revisions
-from loadloom.session import shared_dir
+from loadloom.plans import dataset, features, folders, lifecycle, monitoring, predictions as pred, revisions
+from loadloom.session import shared_dir, through_table
 from loadloom.sources import canonical, tables
 
 from . import frames as fr
@@ -539,3 +539,29 @@ def _(spark, sf):
     """The issues of the whole stored table after an ingest."""
     _, issues = _ingested(spark, sf)
     return issues.select("series_id", "name", "severity", "n")
+
+
+def _pulled_in_parts(spark, sf, **how):
+    """The table built by three pulls, the later ones of its last days and of some in its middle; its folder state."""
+    path, state = shared_dir(spark, "parts"), shared_dir(spark, "parts-state")
+    load, weather = through_table(fr.load_frame(spark, sf), "load"), through_table(fr.weather(spark, sf), "weather")
+    for days in (range(1, 20), range(15, 32), range(3, 6)):
+        some = F.dayofmonth("ts").isin(*days)
+        dataset.ingest(spark, path, load.filter(some), weather.filter(some), "run-test", grain="day", whole=False, state_path=state)
+    return path, folders.read_state(spark, state)
+
+
+@query("a15_folder_state", "SELECT series_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, max(ts) FILTER (load_mw IS NOT NULL) AS last_value_ts FROM canon GROUP BY 1")
+def _(spark, sf):
+    """Hours, ends and newest value of every series from the state of its folders."""
+    _, state = _pulled_in_parts(spark, sf)
+    return folders.merged_state(state).select("series_id", "n", "first_ts", "last_ts", "last_value_ts")
+
+
+@query("a18_incremental_fingerprint", "SELECT series_id, count(*) AS n, true AS same_as_whole FROM canon GROUP BY 1")
+def _(spark, sf):
+    """Fingerprints kept up by folder equal those of the whole table read at once."""
+    path, state = _pulled_in_parts(spark, sf)
+    whole = folders.fingerprints(folders.folder_state(canonical.read_periods(spark, path), "month"), ["series_id"])
+    kept = folders.fingerprints(state, ["series_id"]).withColumnRenamed("fingerprint", "kept").drop("n")
+    return whole.join(kept, "series_id").select("series_id", "n", (F.col("fingerprint") == F.col("kept")).alias("same_as_whole"))

@@ -14,18 +14,20 @@ from ..session import through_table
 from .blocks import block_of
 
 
-#: A side of at most so many rows, counted first, is broadcast.
-BROADCAST_ROWS = 50_000
+#: A side of at most so many bytes, measured first, is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def with_scalars(df: DataFrame, scalars: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a few values per key onto a table. Runs a job: the values are stored and counted.
+    """Join a few values per key onto a table. Runs a job: the values are stored and measured.
 
-    Up to ``BROADCAST_ROWS`` keys they are broadcast, so the table is not shuffled and one
-    hot key is not one task. Beyond that the join shuffles, and its skewed keys are split.
+    Up to ``BROADCAST_BYTES`` they are broadcast, so the table is not shuffled and one hot key
+    is not one task. Beyond that the join shuffles, and its skewed keys are split. Arrays count
+    with all they hold: the size is that of the rows written out as text.
     """
     scalars = through_table(scalars, "scalars")
-    few = scalars.count() <= BROADCAST_ROWS
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in scalars.columns])))
+    few = (scalars.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
     return df.join(F.broadcast(scalars) if few else scalars, list(keys), how)
 
 

@@ -17,6 +17,7 @@ from ..operators.spine import hours_between
 from ..operators.splits import minimum_training_hours
 from ..session import through_table
 from ..sources import canonical, tables
+from . import folders
 
 # Re-pull and weather-archive settings.
 TRAILING_DAYS = 14
@@ -92,10 +93,11 @@ def trailing_window(
     return state.withColumn("window_start", widened).withColumn("window_end", end)
 
 
-def resume_points(existing: DataFrame, successes: DataFrame, keys=KEYS, ts: str = TS) -> DataFrame:
-    """Where an ingest resumes: its last success, else the newest stored actual."""
+def resume_points(existing: DataFrame, successes: DataFrame, keys=KEYS, ts: str = TS, state: DataFrame | None = None) -> DataFrame:
+    """Where an ingest resumes: its last success, else the newest stored actual; with the
+    table's folder ``state`` that is found without reading it."""
     return (
-        high_water(existing, keys=keys, ts=ts)
+        (high_water(existing, keys=keys, ts=ts) if state is None else folders.high_water_of(state, keys))
         .join(successes, list(keys), "full")
         .withColumn("resume_from", F.coalesce("last_success", "last_actual"))
     )
@@ -103,13 +105,17 @@ def resume_points(existing: DataFrame, successes: DataFrame, keys=KEYS, ts: str
 
 def rebuild_decision(
     known: DataFrame, existing: DataFrame, configured_start, validation_days: int, horizon: int,
-    weekly_lag: int, keys=KEYS, ts: str = TS,
+    weekly_lag: int, keys=KEYS, ts: str = TS, state: DataFrame | None = None,
 ) -> DataFrame:
     """Rebuild the full history? With no data at all, or when the stored rows are both too
-    few to train on and start more than a day later than configured."""
+    few to train on and start more than a day later than configured. ``state``: the table's
+    folder state, read in its place."""
     needed = minimum_training_hours(validation_days, horizon, weekly_lag)
     start = configured_start if isinstance(configured_start, Column) else F.lit(configured_start).cast("timestamp")
-    stored = existing.groupBy(*keys).agg(F.count(F.lit(1)).alias("hours"), F.min(ts).alias("first_ts"))
+    if state is None:
+        stored = existing.groupBy(*keys).agg(F.count(F.lit(1)).alias("hours"), F.min(ts).alias("first_ts"))
+    else:
+        stored = folders.merged_state(state, keys).select(*keys, F.col("n").alias("hours"), "first_ts")
     late = F.unix_seconds("first_ts") > F.unix_seconds(start) + 86400
     return known.join(stored, list(keys), "left").select(
         *known.columns,
@@ -122,14 +128,19 @@ def rebuild_decision(
     )
 
 
-def touched_periods(stored: DataFrame, incoming: DataFrame, pattern: str, keys=KEYS, ts: str = TS) -> list[str]:
+def touched_periods(
+    stored: DataFrame, incoming: DataFrame, pattern: str, keys=KEYS, ts: str = TS, state: DataFrame | None = None
+) -> list[str]:
     """Folders a merge can change, over all series: those of the pulled hours, and those of
     the hole between a series' stored hours and them. A list of months or days for the driver.
+    With the table's folder ``state`` no stored row is read.
     """
     hours = incoming.select(F.date_format(ts, pattern).alias("p")).distinct()
+    ends = stored.select(*keys, F.col(ts).alias("first_ts"), F.col(ts).alias("last_ts")) if state is None else state
+    low, high = F.min(hour_number("first_ts")), F.max(hour_number("last_ts"))
+    there = ends.groupBy(*keys).agg(low.alias("s_lo"), high.alias("s_hi"))
     h = hour_number(ts)
-    spans = [d.groupBy(*keys).agg(F.min(h).alias(f"{n}_lo"), F.max(h).alias(f"{n}_hi")) for n, d in (("s", stored), ("i", incoming))]
-    both = spans[0].join(spans[1], list(keys))
+    both = there.join(incoming.groupBy(*keys).agg(F.min(h).alias("i_lo"), F.max(h).alias("i_hi")), list(keys))
     # Hours after the stored end and before the pull, or after the pull and before the stored start.
     hole = both.select(
         F.explode(F.array(
@@ -146,6 +157,7 @@ def touched_periods(stored: DataFrame, incoming: DataFrame, pattern: str, keys=K
 def ingest(
     spark, path: str, load: DataFrame, weather: DataFrame, run_id: str | None = None,
     events_path: str | None = None, at=None, tz: str = DEFAULT_TZ, grain: str = "month", whole: bool = True,
+    state_path: str | None = None,
 ) -> DataFrame:
     """Merge one pull into the stored table, write, then record the success. Runs jobs.
 
@@ -154,6 +166,10 @@ def ingest(
     table is never read and overwritten in one plan. Data is written also when it has
     issues: the returned issue table is that of the whole stored table (``whole=False``:
     of the rewritten folders). The success marker comes last.
+
+    ``state_path`` names the table's folder state: the folders to touch are then found without
+    reading the table, and the state of the rewritten ones is replaced. A table that has no
+    state yet gets one from a single full reading.
     """
     # The pull is landed first: assembling it reads each input twice.
     load, weather = through_table(load, "pull-load"), through_table(weather, "pull-weather")
@@ -161,7 +177,12 @@ def ingest(
     if canonical.path_exists(spark, path):
         pattern = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[grain]
         stored = canonical.read_periods(spark, path)
-        periods = touched_periods(stored, incoming, pattern)
+        state = None
+        if state_path is not None:
+            if not canonical.path_exists(spark, state_path):
+                folders.write_state(folders.folder_state(stored, grain), state_path)
+            state = folders.read_state(spark, state_path)
+        periods = touched_periods(stored, incoming, pattern, state=state)
         touched = canonical.read_periods(spark, path, periods)
         # Folders between touched ones are complete as they are and stay out of the merge.
         rows = merge_datasets(touched, incoming, tz).filter(F.date_format(TS, pattern).isin(*periods))
@@ -169,6 +190,8 @@ def ingest(
     else:
         merged = incoming
     canonical.write_table(merged, path, grain=grain)
+    if state_path is not None:
+        folders.write_state(folders.folder_state(merged, grain), state_path)
     if events_path is not None:
         marker = spark.range(1).select(
             F.lit(None).cast("string").alias("series_id"),

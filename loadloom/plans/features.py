@@ -24,7 +24,7 @@ from ..operators.history import (
     with_history,
 )
 from ..operators.spine import hours_between
-from ..session import require_columns, require_rows
+from ..session import require_columns, require_rows, through_table
 from ..sources.canonical import FORECAST, LOAD, WEATHER
 from .dataset import build_dataset, high_water
 
@@ -175,14 +175,22 @@ def features_for_targets(
 ) -> DataFrame:
     """Feature rows for the requested hours that can be built. Runs a job.
 
-    The history is cut to what those hours can reach before anything is joined or sorted;
-    the bound is a literal, so a partitioned table is read from there on only.
+    The history is cut to what those hours can reach before anything is joined or sorted: by
+    a literal, so that a partitioned table is read from there on only, and by each series' own
+    reach behind it, so that one series that lags does not widen the others' windows.
     """
-    span = targets.agg(F.min(hour_number(ts)).alias("a"), F.max(hour_number(ts)).alias("b")).first()
-    low = (span["a"] or 0) - look_back_hours(horizon, weekly_lag, rolling_window)
-    from_reach = F.col(ts) >= F.timestamp_seconds(F.lit(low * 3600))
+    reach = look_back_hours(horizon, weekly_lag, rolling_window)
+    h = hour_number(ts)
+    spans = through_table(targets.groupBy(*keys).agg((F.min(h) - reach).alias("_low"), F.max(h).alias("_high")), "target-spans")
+    span = spans.agg(F.min("_low").alias("a"), F.max("_high").alias("b")).first()
+    from_reach = F.col(ts) >= F.timestamp_seconds(F.lit((span["a"] or 0) * 3600))
     upto = F.col(ts) < F.timestamp_seconds(F.lit(((span["b"] or 0) + 1) * 3600))
-    frame = inference_frame(history.filter(from_reach & upto), weather_forecast.filter(from_reach & upto), tz, keys, ts)
+
+    def reached(df: DataFrame) -> DataFrame:
+        own = with_scalars(df.filter(from_reach & upto), spans, keys)
+        return own.filter(h.between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
+
+    frame = inference_frame(reached(history), reached(weather_forecast), tz, keys, ts)
     built = make_features(frame, horizon, rolling_window, weekly_lag, False, tz, keys, ts)
     return built.join(targets.select(*keys, ts), [*keys, ts], "left_semi")
 
