@@ -149,6 +149,14 @@ def proportions(grams: np.ndarray, model: Model) -> np.ndarray:
         if value - best <= cost:
             break
         chosen, share, best = [*chosen, more], new, value
+    # A language that stood in for others goes again once they are there.
+    while len(chosen) > 1:
+        kept = [[k for k in chosen if k != c] for c in chosen]
+        fits = [mixture(p[k], n, np.full(len(k), 1 / len(k))) for k in kept]
+        least = int(np.argmax([value for _, value in fits]))
+        if best - fits[least][1] > cost:
+            break
+        chosen, (share, best) = kept[least], fits[least]
     out = np.zeros(len(p))
     out[chosen] = share
     return out

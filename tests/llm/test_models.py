@@ -3,6 +3,7 @@
 import re
 import textwrap
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -72,6 +73,32 @@ def test_mixture_maximises_the_likelihood():
     assert abs(share.sum() - 1) < 1e-9 and value >= max(grid) - 1e-3
 
 
+def test_chosen_languages_are_the_best_subset():
+    """Against all subsets of four languages by the same penalised likelihood."""
+    rng = np.random.default_rng(19)
+    log_p = np.log(rng.dirichlet(np.full(60, 0.2), 4) + 1e-6).astype(np.float32)
+    model, right = langid.Model(list("abcd"), log_p, np.log(np.full(4, 0.25))), 0
+    for _ in range(30):
+        truth = rng.choice(4, int(rng.integers(1, 4)), replace=False)
+        share = rng.dirichlet(np.full(len(truth), 4.0))
+        mix = share @ np.exp(log_p[truth].astype(float))
+        grams = rng.choice(60, 4000, p=mix / mix.sum())
+        found = langid.proportions(grams, model)
+        at, n = np.unique(grams, return_counts=True)
+        n = n / langid.OVERLAP
+        p = np.exp(log_p[:, at].astype(float) - log_p[:, at].max(0))
+        values = {}
+        for k in range(1, 5):
+            for subset in combinations(range(4), k):
+                _, value = langid.mixture(p[list(subset)], n, np.full(k, 1 / k))
+                values[subset] = value - (k - 1) * langid.PENALTY * np.log(max(n.sum(), np.e))
+        chosen = tuple(np.flatnonzero(found > 0).tolist())
+        # The greedy set is the best one, or as good as it but for the tolerance of the steps.
+        right += values[chosen] >= max(values.values()) - 1.0
+        assert abs(found.sum() - 1) < 1e-9
+    assert right == 30
+
+
 # op10
 
 
@@ -164,6 +191,12 @@ def test_a_notice_in_a_third_of_all_documents_is_found(docs, n):
     assert {f for f, _ in license_scan.TEMPLATES} == {r.family for r in model.templates.where("size(hashes) >= 4").collect()}
 
 
+def test_licence_fit_on_an_empty_table(docs):
+    model = license_scan.fit(docs([]))
+    found = license_scan.scan(docs([(1, "Released under the MIT License."), (2, None)]), model).collect()
+    assert [(r.doc_id, r.family) for r in found] == [(1, "MIT")] and license_scan.scan(docs([]), model).count() == 0
+
+
 def test_wrapped_notices_are_one_row(docs, licences):
     notice = {f: max((t for g, t in license_scan.TEMPLATES if g == f), key=len) for f in ("MIT", "Apache-2.0", "BSD", "ISC", "GPL-3.0")}
     rows, want = [], []
