@@ -30,7 +30,7 @@ def signed_ape(y_true, y_pred) -> Column:
 def pinball(y_true, y_pred, quantile) -> Column:
     if not isinstance(quantile, Column):
         if not 0 < quantile < 1:
-            raise ValueError(f"quantile must be in (0, 1), got {quantile}")
+            raise ValueError(f"no quantile: {quantile}")
         quantile = F.lit(float(quantile))
     error = col(y_true) - col(y_pred)
     return F.greatest(quantile * error, (quantile - 1) * error)

@@ -15,7 +15,7 @@ from ..operators.align import outer_align, overlay_cells, replace_rows
 from ..operators.quality import validate
 from ..operators.spine import hours_between
 from ..operators.splits import minimum_training_hours
-from ..session import through_table
+from ..session import require_positive, through_table
 from ..sources import canonical, tables
 from . import folders
 
@@ -84,8 +84,7 @@ def trailing_window(
     state: DataFrame, now, trailing_days: int = TRAILING_DAYS, resume: str = "resume_from"
 ) -> DataFrame:
     """Window to pull per row of ``state``: trailing days, widened back to ``resume``."""
-    if trailing_days < 1:
-        raise ValueError("trailing_days must be at least 1")
+    require_positive(trailing_days=trailing_days)
     at = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     start = floor_to("day", F.timestamp_seconds(F.unix_seconds(at) - trailing_days * 86400))
     end = ceil_to("day", F.timestamp_seconds(F.unix_seconds(at) + 86400))

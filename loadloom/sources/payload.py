@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import require_positive
+
 # Provider variable -> house column, and the vintage suffix.
 HOUSE_COLUMNS = {
     "temperature_2m": "temp_c",
@@ -20,8 +22,7 @@ CHUNK_DAYS = 365
 
 
 def vintage_suffix(lead_days: int) -> str:
-    if lead_days < 1:
-        raise ValueError(f"lead_days must be at least 1, got {lead_days}")
+    require_positive(lead_days=lead_days)
     return f"{VINTAGE_SUFFIX}{lead_days}"
 
 
@@ -101,8 +102,7 @@ def vintages_long(df: DataFrame, keys: Sequence[str], variables: Sequence[str],
 
 def date_chunks(ranges: DataFrame, start: str = "start_date", end: str = "end_date", days: int = CHUNK_DAYS) -> DataFrame:
     """Closed windows of at most ``days`` days covering each closed date range."""
-    if days < 1:
-        raise ValueError("days must be at least 1")
+    require_positive(days=days)
     chunk = F.explode(F.sequence(F.lit(0), F.floor(F.datediff(end, start) / days).cast("int")))
     others = [c for c in ranges.columns if c not in (start, end)]
     return (
