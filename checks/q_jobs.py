@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadloom.operators import quality, reference_window as ref, scores, spine, splits, twosample
@@ -335,6 +336,27 @@ def _(spark, sf):
     return twosample.drift_verdict(twosample.two_sample(per_station.unionByName(per_series), ["feature"]), twosample.P_VALUE)
 
 
+# Equal samples of k values: the reflected paths have a closed form.
+FORTY = """SELECT feature, value, is_current FROM (SELECT series_id || ':' || station AS feature, temp_c + 0.001 * hour(ts) + 0.00001 * day(ts) + 0.0000001 * row_number() OVER (PARTITION BY series_id, station ORDER BY ts) AS value, day(ts) > 20 AS is_current,
+  row_number() OVER (PARTITION BY series_id, station, day(ts) > 20 ORDER BY ts) AS k FROM stations WHERE temp_c IS NOT NULL) WHERE k <= 40"""
+EXACT_P = two_sample_sql(FORTY) + """, equal_sized AS (SELECT feature, n_current AS n, CAST(round(ks * n_current) AS BIGINT) AS k FROM stats WHERE n_current = 40 AND n_reference = 40)
+SELECT feature, n, least(1.0, 2 * list_sum(list_transform(range(1, n // k + 1), lambda i: CASE WHEN i % 2 = 1 THEN 1.0 ELSE -1.0 END
+  * exp(2 * lgamma(n + 1) - lgamma(n - i * k + 1) - lgamma(n + i * k + 1))))) AS ks_p_exact, 'ks_p_exact' AS method FROM equal_sized"""
+
+
+@query("c26_exact_p_value", EXACT_P, "ks_p_exact")
+def _(spark, sf):
+    """Small samples of equal size: the lattice-path p-value against its closed form."""
+    s = fr.stations(spark, sf).filter("temp_c IS NOT NULL").withColumn("is_current", F.dayofmonth("ts") > 20)
+    name = F.concat_ws(":", "series_id", "station")
+    of_station, of_side = Window.partitionBy("series_id", "station").orderBy("ts"), Window.partitionBy("series_id", "station", "is_current").orderBy("ts")
+    # No ties: every value gets a trace of its place.
+    value = F.col("temp_c") + 0.001 * F.hour("ts") + 0.00001 * F.dayofmonth("ts") + 0.0000001 * F.row_number().over(of_station)
+    some = s.select(name.alias("feature"), value.alias("value"), "is_current", F.row_number().over(of_side).alias("k")).filter("k <= 40")
+    found = twosample.drift_verdict(twosample.two_sample(some, ["feature"]), twosample.BY_SIZE)
+    return found.filter("n_current = 40 AND n_reference = 40").select("feature", F.col("n_current").alias("n"), "ks_p_exact", "method")
+
+
 MON = "load_lag_24 load_lag_25 load_lag_48 load_lag_168 load_lag_192 load_roll_mean_24 load_roll_std_24 temp_c temp_sq wind_ms cloud_cover".split()
 MONLONG = " UNION ALL ".join(
     f"SELECT series_id || '|' || '{f}' AS feature, {f} AS value, is_current FROM tagged" for f in MON

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,12 +17,16 @@ P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1
 MINIMUM_SPREAD = 0.001
 P_VALUE, DISTANCE = "ks_p_value", "wasserstein_normed"
+#: The exact p-value, and the choice by size: it up to so many reference values, the distance beyond.
+EXACT, BY_SIZE, SIZE_LIMIT = "ks_p_exact", "by_size", 1000
+#: Largest sample, and most cells of its grid, for which the exact value is computed; beyond, the asymptotic one is exact enough.
+EXACT_SAMPLE, EXACT_CELLS = 10_000, 4_000_000
 
 SERIES_TERMS = 100
 
 
 def kolmogorov_p(statistic: Column, n_current: Column, n_reference: Column) -> Column:
-    """Asymptotic two-sided p-value. Small samples have no exact correction here."""
+    """Asymptotic two-sided p-value; ``kolmogorov_p_exact`` has that of small samples."""
     size = n_current * n_reference / (n_current + n_reference)
     lam2 = statistic * statistic * size
     terms = F.transform(
@@ -32,6 +38,40 @@ def kolmogorov_p(statistic: Column, n_current: Column, n_reference: Column) -> C
     return F.when(lam2 < 0.04, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))
 
 
+def path_p_value(n: int, m: int, gap: int) -> float:
+    """P(D >= gap / (n m)) for two samples of n and m values in random order, without ties.
+
+    An order of the values is a lattice path from (0, 0) to (n, m); it stays below the
+    statistic if no point (i, j) on it has ``|i m - j n| >= gap``. Cell (i, j) holds the share of
+    inner paths among all that lead there, scaled by ``i / (i + m)`` per row so that the last
+    cell is a probability. The inner cells of a row are one stretch, and a running sum fills it.
+    """
+    if gap <= 0:
+        return 1.0
+    j = np.arange(m + 1)
+    row = (j * n < gap).astype(float)  # i = 0: a straight edge until it leaves the band
+    for i in range(1, n + 1):
+        inner = np.abs(i * m - j * n) < gap
+        row = np.where(inner, np.cumsum(np.where(inner, row * (i / (i + m)), 0.0)), 0.0)
+    return float(min(1.0, max(0.0, 1.0 - row[m])))
+
+
+def kolmogorov_p_exact(statistic: Column, n_current: Column, n_reference: Column) -> Column:
+    """The exact two-sided p-value of small samples; null for large ones and for empty ones.
+
+    With ties it is an upper bound, as the statistic then looks at fewer points.
+    """
+
+    @F.pandas_udf("double")
+    def exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([path_p_value(int(b), int(a), round(x * a * b)) for x, a, b in zip(d, n, m)], dtype="float64")
+
+    small = (n_current > 0) & (n_reference > 0) & (F.greatest(n_current, n_reference) <= EXACT_SAMPLE) & (n_current * n_reference <= EXACT_CELLS)
+    # Groups that are too large get a grid of one cell, whose value is not used.
+    size = lambda n: F.when(small, n).otherwise(1).cast("long")
+    return F.when(small, exact(F.when(small, statistic).otherwise(0.0), size(n_current), size(n_reference)))
+
+
 def _distinct_values(samples: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Counts per distinct value: duplicates merge on the map side, however many."""
     current = F.col("is_current").cast("int")
@@ -154,26 +194,35 @@ def two_sample(
 
 def drift_verdict(
     stats: DataFrame, method: str = DISTANCE,
-    p_threshold: float = P_VALUE_THRESHOLD, distance_threshold: float = DISTANCE_THRESHOLD,
+    p_threshold: float = P_VALUE_THRESHOLD, distance_threshold: float = DISTANCE_THRESHOLD, size_limit: int = SIZE_LIMIT,
 ) -> DataFrame:
     """Both scores and both verdicts of every row; ``method`` says which one is ``drifted``.
 
-    The method is the caller's, the same for every group and at every size. A p-value
-    drifts low, a distance drifts high.
+    The method is the caller's. ``EXACT`` adds the column of the exact p-value, which then makes
+    the p-value's verdict where there is one. ``BY_SIZE`` does so too and decides per group: by
+    the p-value up to ``size_limit`` reference values, by the distance beyond; column ``method``
+    says which. A p-value drifts low, a distance drifts high.
     """
-    if method not in (P_VALUE, DISTANCE):
-        raise ValueError(f"method is {P_VALUE} or {DISTANCE}, not {method!r}")
+    if method not in (P_VALUE, DISTANCE, EXACT, BY_SIZE):
+        raise ValueError(f"method is one of {P_VALUE}, {DISTANCE}, {EXACT} and {BY_SIZE}, not {method!r}")
+    ks, n, m = F.col("ks"), F.col("n_current"), F.col("n_reference")
     judged = stats.withColumns(
         {
-            P_VALUE: kolmogorov_p(F.col("ks"), F.col("n_current"), F.col("n_reference")),
+            P_VALUE: kolmogorov_p(ks, n, m),
             DISTANCE: F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(MINIMUM_SPREAD)),
         }
     )
-    by_p, by_distance = F.col(P_VALUE) < p_threshold, F.col(DISTANCE) >= distance_threshold
+    p = F.col(P_VALUE)
+    if method in (EXACT, BY_SIZE):
+        judged, p = judged.withColumn(EXACT, kolmogorov_p_exact(ks, n, m)), F.coalesce(EXACT, P_VALUE)
+    by_p, by_distance = p < p_threshold, F.col(DISTANCE) >= distance_threshold
+    own = F.lit(method)
+    if method == BY_SIZE:
+        own = F.when(m > size_limit, DISTANCE).otherwise(F.when(F.col(EXACT).isNull(), P_VALUE).otherwise(EXACT))
     return judged.withColumns(
         {
             "drifted_by_p_value": by_p, "drifted_by_distance": by_distance,
-            "method": F.lit(method), "drifted": by_p if method == P_VALUE else by_distance,
+            "method": own, "drifted": F.when(own == DISTANCE, by_distance).otherwise(by_p),
         }
     )
 
