@@ -18,10 +18,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import KEYS, TS
 from ..functions.clock import hour_number, hour_start
-from ..operators.latest import latest_per_key
 from ..plans import predictions as pred
-from ..session import shared_dir
+from ..session import shared_dir, through_table
 from ..sources import tables
+from ..sources.canonical import path_exists
 
 LATENESS = "14 days"
 
@@ -216,29 +216,49 @@ def run_available(stream: DataFrame, name: str, path: str | None = None, checkpo
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def upsert_each_batch(stream: DataFrame, name: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+def upsert_each_batch(
+    stream: DataFrame, name: str, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None
+) -> None:
     """Run ``handle`` on every micro-batch of what is available."""
     query = (
         stream.writeStream.outputMode(mode).foreachBatch(handle)
-        .option("checkpointLocation", shared_dir(stream.sparkSession, f"{name}-checkpoint"))
+        .option("checkpointLocation", checkpoint or shared_dir(stream.sparkSession, f"{name}-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
 
 
-def run_upserted(stream: DataFrame, name: str, key: Sequence[str], path: str | None = None) -> DataFrame:
-    """Process what is there in update mode and read the current row of each key.
+def run_upserted(stream: DataFrame, name: str, key: Sequence[str], path: str | None = None, at: str = TS, checkpoint: str | None = None) -> DataFrame:
+    """Process what is there in update mode into a table with the current row of each key.
 
-    Every micro-batch appends the rows it changed to a folder of its own number, so a
-    replayed batch replaces itself and nothing else is rewritten. The reader takes the row
-    of the latest batch per key: all of the input is there, its newest part included.
+    Each micro-batch replaces its keys in the day folders of ``at`` (one of the key's columns)
+    that it touches, and reads no other: the table holds every key once and needs no ranking.
+    A replayed batch writes the same rows again. With ``path`` and ``checkpoint`` a later call
+    goes on where this one ended.
     """
-    out = path or shared_dir(stream.sparkSession, f"{name}-changes")
-    upsert_each_batch(stream, name, lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"), "update")
-    schema = T.StructType([*stream.schema, T.StructField("batch", T.LongType())])
-    changes = stream.sparkSession.read.schema(schema).parquet(out)
-    return latest_per_key(changes, key, ["batch"]).drop("batch")
+    spark, key = stream.sparkSession, list(key)
+    out = path or shared_dir(spark, f"{name}-table")
+    schema = T.StructType([*stream.schema, T.StructField("period", T.StringType())])
+
+    def merge(batch: DataFrame, n: int) -> None:
+        fresh = through_table(batch.withColumn("period", F.date_format(at, tables.GRAINS["day"])), f"{name}-batch")
+        periods = [r["period"] for r in fresh.select("period").distinct().collect()]  # a calendar
+        if not periods:
+            return
+        session = batch.sparkSession
+        if path_exists(session, out):
+            old = session.read.schema(schema).parquet(out).filter(F.col("period").isin(*periods))
+            fresh = through_table(old.join(fresh.select(*key), key, "left_anti").unionByName(fresh), f"{name}-merged")
+        (
+            fresh.repartition("period", *key).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(out)
+        )
+
+    upsert_each_batch(stream, name, merge, "update", checkpoint)
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(schema).parquet(out).drop("period")
 
 
 def rescore_stream(

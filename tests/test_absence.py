@@ -98,3 +98,23 @@ def test_panes_give_the_windows_of_the_rows(spark, tmp_path):
     batch = spark.createDataFrame(rows, schema).groupBy("series_id", F.window("target_time", "14 days", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"), (F.avg("ape") * 100).alias("m"))
     got = sorted((r.series_id, r.window_start, r.scored, round(r.model_mape, 9)) for r in found.collect())
     assert got == sorted((r.series_id, r.w.start, r.n, round(r.m, 9)) for r in batch.collect())
+
+
+def test_upserted_table_holds_every_key_once_and_goes_on(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    schema = "series_id string, ts timestamp, value double, ingest_seq long"
+
+    def run(rows):
+        data = [(s, T0 + timedelta(hours=h), v, q) for s, h, v, q in rows]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(folder)
+        slots = streams.revised_slots_stream(streams.read_stream(spark, folder, schema, files_per_trigger=1), "1 hour")
+        return streams.run_upserted(slots, "t", ["series_id", "ts"], out, checkpoint=checkpoint)
+
+    def shown(df):
+        return sorted((r.series_id, int((r.ts - T0).total_seconds() // 3600), r.value) for r in df.collect())
+
+    assert shown(run([("a", 0, 1.0, 1), ("a", 30, 2.0, 2), ("b", 0, 3.0, 3)])) == [("a", 0, 1.0), ("a", 30, 2.0), ("b", 0, 3.0)]
+    before = (tmp_path / "out" / "period=2024-01-02")
+    kept = sorted(p.name for p in before.iterdir())
+    assert shown(run([("a", 0, 9.0, 4), ("c", 1, 5.0, 5)])) == [("a", 0, 9.0), ("a", 30, 2.0), ("b", 0, 3.0), ("c", 1, 5.0)]
+    assert sorted(p.name for p in before.iterdir()) == kept  # an untouched day is not rewritten
