@@ -141,9 +141,10 @@ def links(fps: DataFrame, threshold: int = THRESHOLD, reach: int | None = None)
             e = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(e[:, 0])), pa.array(np.ascontiguousarray(e[:, 1]))], ["a", "b"])
 
-    # A count of partitions that stays: small ones, joined before the replication, make few tasks of its many rows.
+    # A count of partitions that stays, by another key than the grouping's: small partitions that
+    # are joined before the replication make few tasks of its many rows.
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = fps.select("fp").repartition(parts, "fp").mapInArrow(replicated, "anchor long, fp long")
+    near = fps.select("fp").repartition(parts, F.xxhash64("fp")).mapInArrow(replicated, "anchor long, fp long")
     groups = near.groupBy("anchor").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
     return groups.mapInArrow(compared, "a long, b long").distinct()
 
