@@ -31,8 +31,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the least id.
 
-    Linked by five-word shingles at a Jaccard similarity of 0.8 or more, exactly confirmed;
-    the candidates come from MinHash bands, as no 64-bit fingerprint reaches down to 0.8.
+    Linked by five-word shingles at a Jaccard similarity of 0.8 or more, exactly confirmed:
+    first by SimHash fingerprints under anchor points, then, exactly, between what these left apart.
     """
     return near_copies.first_of_each(docs)
 

@@ -73,33 +73,33 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS, seeds: Sequence[int
 
 
 @lru_cache
-def anchor_masks(reach: int) -> list[np.ndarray]:
-    """For each of the 64 syndromes, the bit changes that lead to an anchor within ``reach``.
+def anchor_masks(reach: int, width: int = 64) -> list[np.ndarray]:
+    """For each syndrome (64 of them at 64 bits), the bit changes that lead to an anchor within ``reach``.
 
-    Bit i < 63 has the check column i + 1 and bit 63 none: a set of bits leads to an anchor
-    exactly if its columns add up to the syndrome.
+    Bit i < width - 1 has the check column i + 1 and the last bit none: a set of bits leads to
+    an anchor exactly if its columns add up to the syndrome. ``width`` is a power of two.
     """
     found = defaultdict(list)
     for n in range(reach + 1):
-        for bits in combinations(range(64), n):
+        for bits in combinations(range(width), n):
             syndrome = 0
             for i in bits:
-                syndrome ^= i + 1 if i < 63 else 0
+                syndrome ^= i + 1 if i < width - 1 else 0
             found[syndrome].append(sum(1 << i for i in bits))
-    return [np.array(found[s], np.uint64) for s in range(64)]
+    return [np.array(found[s], np.uint64) for s in range(width)]
 
 
-def syndromes(fps: np.ndarray) -> np.ndarray:
+def syndromes(fps: np.ndarray, width: int = 64) -> np.ndarray:
     out = np.zeros(len(fps), np.int64)
-    for k in range(6):
-        check = np.uint64(sum(1 << i for i in range(63) if (i + 1) >> k & 1))
+    for k in range(width.bit_length() - 1):
+        check = np.uint64(sum(1 << i for i in range(width - 1) if (i + 1) >> k & 1))
         out |= (np.bitwise_count(fps & check) & 1).astype(np.int64) << k
     return out
 
 
-def anchors(fps: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+def anchors(fps: np.ndarray, reach: int, width: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """(anchor, fingerprint) for every anchor within ``reach`` of each fingerprint."""
-    masks, own = anchor_masks(reach), syndromes(fps)
+    masks, own = anchor_masks(reach, width), syndromes(fps, width)
     a, f = [], []
     for s in np.unique(own):
         part = fps[own == s]
@@ -122,17 +122,18 @@ def forest(group: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(fps: DataFrame, threshold: int = THRESHOLD, reach: int | None = None) -> DataFrame:
+def links(fps: DataFrame, threshold: int = THRESHOLD, reach: int | None = None, width: int = 64) -> DataFrame:
     """(a, b): links whose components are those of all pairs within ``threshold`` bits.
 
     ``fps`` has one row per distinct fingerprint in column ``fp``. ``reach`` may be given to
-    widen the replication; the links stay the same.
+    widen the replication; the links stay the same. Fingerprints of fewer bits, ``width`` a
+    power of two, may hold a number above them: only those with the same number are linked.
     """
     reach = RADIUS + -(-threshold // 2) if reach is None else reach
 
     def replicated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 4096):
-            a, f = anchors(b.column(0).to_numpy().view(np.uint64), reach)
+            a, f = anchors(b.column(0).to_numpy().view(np.uint64), reach, width)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(f.view(np.int64))], ["anchor", "fp"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -127,3 +127,55 @@ def test_stage_on_nulls_repeated_rows_and_clashing_names(spark):
         (False, 0, "another text without an id"), (False, 0, text), (True, 4, ""), (True, 4, "one id on"), (True, 4, "two texts here"),
     ]
     assert near_copies.first_of_each(frame.limit(0)).count() == 0
+
+
+def test_first_links_come_from_the_simhash_operator(spark, docs, monkeypatch):
+    """Fingerprints under anchor points give the first candidates, and nearly all links above 0.95."""
+    calls, given, rng, rows = [], near_copies.simhash.links, np.random.default_rng(17), []
+    monkeypatch.setattr(near_copies.simhash, "links", lambda *a, **k: calls.append(k) or given(*a, **k))
+    for i in range(0, 200, 2):
+        words = [f"w{w}" for w in rng.integers(0, 4000, 300)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(changed(rng, words, 1)))]
+    assert stage(spark, docs(rows)) == kept_by_brute_force(rows) == set(range(0, 200, 2))
+    assert calls == [{"width": near_copies.WIDTH}]
+    nodes = spark.createDataFrame([(i, 296, near_copies.prints(t.encode()).tolist()) for i, t in rows], "node long, n int, fps array<long>")
+    pairs = {(r.a, r.b) for r in near_copies.fingerprint_pairs(nodes).collect()}
+    assert len(pairs & {(i, i + 1) for i in range(0, 200, 2)}) >= 95 and len(pairs) < 110
+
+
+def test_short_fingerprints_link_within_two_bits_and_one_number(spark):
+    """Components by anchors of 32 bits are those of brute force, and numbers above the bits never meet."""
+    rng, fps = np.random.default_rng(18), set()
+    for base in rng.integers(0, 2**32, 60):
+        for _ in range(6):
+            flips = sum(1 << int(i) for i in rng.choice(32, int(rng.integers(0, 4)), replace=False))
+            fps.add(int(rng.integers(0, 2)) << 32 | int(base) ^ flips)
+    fps, root = sorted(fps), {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    def joined(edges):
+        root.clear()
+        for a, b in edges:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+        return {f: find(f) for f in fps}
+
+    want = joined([(a, b) for a in fps for b in fps if a < b and a >> 32 == b >> 32 and (a ^ b).bit_count() <= 2])
+    found = near_copies.simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), width=32)
+    assert joined([(r.a, r.b) for r in found.collect()]) == want and len(set(want.values())) < len(fps) - 50
+
+
+def test_texts_of_common_shingles_keep_their_links(spark, docs, monkeypatch):
+    """With no link from fingerprints, all pairs come from prefixes, also of texts made of common ones."""
+    monkeypatch.setattr(near_copies, "fingerprint_pairs", lambda nodes: nodes.selectExpr("node AS a", "node AS b").limit(0))
+    rng, rows = np.random.default_rng(19), []
+    form = [f"f{i}" for i in range(150)]
+    for i in range(120):
+        rows.append((i, " ".join(form[: int(rng.integers(60, 150))] + [f"u{i}.{k}" for k in range(int(rng.integers(0, 60)))])))
+    for i in range(40):
+        rows.append((1000 + i, " ".join(changed(rng, rows[3 * i][1].split(), int(rng.integers(1, 4))))))
+    assert stage(spark, docs(rows)) == kept_by_brute_force(rows)
